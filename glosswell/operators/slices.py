@@ -1,0 +1,92 @@
+"""Time slices for hot keys.
+
+Ordered per-key work (latest version at a time, running totals) normally puts all rows of a key
+into one task. A key that holds a large share of the rows is cut into consecutive time slices
+instead; each slice is its own group, and a small per-slice summary carries the state from one
+slice to the next. The result is the same for any choice of slices: they only move work.
+"""
+
+from __future__ import annotations
+
+import json
+from dataclasses import dataclass, field
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+# A key is hot when one task would get more rows than this from it ...
+ROWS_PER_SLICE = 4_000_000
+# ... and more than this share of all rows. The share bounds the number of hot keys.
+MAX_HOT_KEYS = 1_000
+
+# Size of the frequent-items sketch, and how many partial sketches meet in one merge step.
+SKETCH_ITEMS = 10_000
+SKETCH_GROUPS = 256
+
+HISTOGRAM_MICROS = 60_000_000
+NULL_SPREAD = 1_024
+
+
+@dataclass(frozen=True)
+class Slices:
+    """Slice bounds (epoch microseconds, ascending) of each hot key; empty means no hot key."""
+
+    bounds: dict[str, list[int]] = field(default_factory=dict)
+
+    def __bool__(self) -> bool:
+        return bool(self.bounds)
+
+    def is_hot(self, key: Column) -> Column:
+        return key.isin(list(self.bounds))
+
+    def index(self, key: Column, at: Column) -> Column:
+        """Slice number of a row: 0 for cold keys. Null keys match nothing, so they are spread."""
+        spread = F.pmod(F.xxhash64(at), F.lit(NULL_SPREAD)).cast("int")
+        if not self.bounds:
+            return F.when(key.isNull(), spread).otherwise(F.lit(0))
+        table = F.from_json(F.lit(json.dumps(self.bounds)), "map<string,array<bigint>>")
+        passed = F.size(F.filter(F.element_at(table, key), lambda b: b <= F.unix_micros(at)))
+        return F.when(key.isNull(), spread).when(self.is_hot(key), passed).otherwise(F.lit(0))
+
+
+NO_SLICES = Slices()
+
+
+def plan_slices(rows: DataFrame, key: str, at: str, rows_per_slice: int = ROWS_PER_SLICE) -> Slices:
+    """Find the hot keys of ``rows`` and cut each into slices of about ``rows_per_slice`` rows.
+
+    Runs one aggregation over the two columns (a bounded sketch, merged in two steps), and a
+    second one over the rows of hot keys where there are any. What reaches the driver is at
+    most ``MAX_HOT_KEYS`` keys and twice as many bounds.
+    """
+    keyed = rows.select(F.col(key).alias("key"), F.unix_micros(at).alias("micros"))
+    partial = keyed.groupBy((F.spark_partition_id() % SKETCH_GROUPS).alias("part")).agg(
+        F.expr(f"approx_top_k_accumulate(key, {SKETCH_ITEMS})").alias("sketch"),
+        F.count(F.lit(1)).alias("n"),
+    )
+    found = partial.agg(
+        F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch), {MAX_HOT_KEYS})").alias("top"),
+        F.sum("n").alias("n"),
+    ).first()
+    limit = max(rows_per_slice, (found["n"] or 0) // MAX_HOT_KEYS)
+    hot = [item["item"] for item in found["top"] or [] if item["count"] > limit]
+    if not hot:
+        return NO_SLICES
+
+    histogram = (
+        keyed.where(F.col("key").isin(hot))
+        .groupBy("key", F.floor(F.col("micros") / F.lit(HISTOGRAM_MICROS)).alias("minute"))
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    before = Window.partitionBy("key").orderBy("minute").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        histogram.withColumn("slice", F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / F.lit(limit)))
+        .groupBy("key", "slice")
+        .agg(F.min("minute").alias("minute"))
+        .collect()
+    )
+    bounds: dict[str, list[int]] = {k: [] for k in hot}
+    for row in starts:
+        if row["slice"] > 0:
+            bounds[row["key"]].append(row["minute"] * HISTOGRAM_MICROS)
+    return Slices({k: sorted(v) for k, v in bounds.items() if v})
