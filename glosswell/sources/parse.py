@@ -23,6 +23,11 @@ HEADER = "approveDate,"
 MIN_SECONDS = -62_135_596_800
 MAX_SECONDS = 253_402_300_799
 
+# Fields a token can fail; the other ones are taken as they are.
+CHECKED_FIELDS = [
+    f.name for f in COMMENT_SCHEMA.fields if not isinstance(f.dataType, T.StringType) or f.name == "user_id"
+]
+
 MARK = "\u0001"
 
 
@@ -35,35 +40,33 @@ def split_line(line: Column) -> Column:
     look-ahead pattern states the same rule but rescans the rest of the line at each comma; it
     remains for lines that contain the mark themselves.
     """
-    pieces = F.split(line, '"', -1)
-    parity = F.size(pieces) % 2
-    marked = F.array_join(
-        F.transform(
-            pieces,
-            lambda piece, i: F.when((i + F.lit(1)) % 2 == parity, F.translate(piece, ",", MARK)).otherwise(piece),
-        ),
-        '"',
-    )
     return (
         F.when(~F.contains(line, F.lit('"')), F.split(line, ",", -1))
         .when(F.contains(line, F.lit(MARK)), F.split(line, QUOTED_SPLIT, -1))
-        .otherwise(F.split(marked, MARK, -1))
+        .otherwise(F.split(_mark_separators(line), MARK, -1))
     )
 
 
-def _number(token: Column, kind: str) -> Column:
-    return F.when(token.rlike(NUMBER), token.try_cast(kind))
+def _mark_separators(line: Column) -> Column:
+    def joined(pieces: Column) -> Column:
+        def marked(piece: Column, i: Column) -> Column:
+            separates = (F.size(pieces) - i) % 2 == 1
+            return F.when(separates, F.translate(piece, ",", MARK)).otherwise(piece)
 
+        return F.array_join(F.transform(pieces, marked), '"')
 
-def _seconds(token: Column) -> Column:
-    seconds = _number(token, "bigint")
-    return F.when(seconds.between(MIN_SECONDS, MAX_SECONDS), F.timestamp_seconds(seconds))
+    # The outer one-element transform binds the pieces, so they are made once per line.
+    return F.transform(F.array(F.split(line, '"', -1)), joined)[0]
 
 
-def _field(token: Column, field: T.StructField) -> Column:
-    """A typed field, null where the token is malformed."""
+def _number(token: Column, kind: str) -> Column:
+    return F.when(token.rlike(NUMBER), token.try_cast(kind))
+
+
+def _raw_field(token: Column, field: T.StructField) -> Column:
+    """A field out of its token, null where malformed; times are still epoch seconds."""
     if isinstance(field.dataType, T.TimestampType):
-        return _seconds(token)
+        return _number(token, "bigint")
     if isinstance(field.dataType, T.IntegerType):
         return _number(token, "int")
     if isinstance(field.dataType, T.BooleanType):
@@ -73,25 +76,43 @@ def _field(token: Column, field: T.StructField) -> Column:
     return token
 
 
+def _field(field: T.StructField) -> Column:
+    if isinstance(field.dataType, T.TimestampType):
+        seconds = F.col(field.name)
+        return F.when(seconds.between(MIN_SECONDS, MAX_SECONDS), F.timestamp_seconds(seconds))
+    return F.col(field.name)
+
+
 def parse_lines(lines: DataFrame) -> DataFrame:
     """``value``, the typed comment fields, and ``reason``: null for a good line.
 
     The reason names what failed first: ``tokens`` or a field. Header lines are left out. Works
     on tables and streams.
     """
-    raw = lines.where(~F.col("value").startswith(HEADER)).select(
-        "value", F.explode(F.array(split_line(F.rtrim(F.col("value"), F.lit("\r\n"))))).alias("tokens")
+    value = F.col("value")
+    line = F.when(F.endswith(value, F.lit("\n")), F.rtrim(value, F.lit("\r\n"))).otherwise(value)
+    # The one-element explode and inline pin their results: filters and columns above them use
+    # the tokens and fields as they are, where a projection would be merged and work repeated.
+    tokens = lines.where(~value.startswith(HEADER)).select(
+        "value", F.explode(F.array(split_line(line))).alias("tokens")
     )
-    typed = raw.select(
+    raw = tokens.select(
         "value",
         F.size("tokens").alias("size"),
-        *[
-            _field(F.get("tokens", F.lit(i)), field).alias(field.name)
-            for i, field in enumerate(COMMENT_SCHEMA.fields)
-        ],
+        F.inline(
+            F.array(
+                F.struct(
+                    *[
+                        _raw_field(F.get("tokens", F.lit(i)), field).alias(field.name)
+                        for i, field in enumerate(COMMENT_SCHEMA.fields)
+                    ]
+                )
+            )
+        ),
     )
+    typed = raw.select("value", "size", *[_field(f).alias(f.name) for f in COMMENT_SCHEMA.fields])
     reason = F.when(F.col("size") < len(COMMENT_FIELDS), F.lit("tokens"))
-    for name in COMMENT_FIELDS:
+    for name in CHECKED_FIELDS:
         reason = reason.when(F.col(name).isNull(), F.lit(name))
     return typed.select("value", *COMMENT_FIELDS, reason.alias("reason"))
 
