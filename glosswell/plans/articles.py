@@ -29,5 +29,10 @@ def article_top3(comments: DataFrame, window_hours: int) -> DataFrame:
     return rank_articles(article_counts(comments, window_hours))
 
 
+def count_lines(counts: DataFrame) -> DataFrame:
+    """Result lines out of the counts."""
+    return ranking_lines(rank_articles(counts), F.col("article_id"), F.col("n"))
+
+
 def article_top3_lines(comments: DataFrame, window_hours: int) -> DataFrame:
-    return ranking_lines(article_top3(comments, window_hours), F.col("article_id"), F.col("n"))
+    return count_lines(article_counts(comments, window_hours))
