@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from glosswell.operators.running import running_totals
@@ -20,20 +20,27 @@ BLOCK_TICKS = 720
 DAY_TICKS = 17_280
 
 
+def tick_of(stamp: str) -> Column:
+    """Number of five-second ticks since the epoch."""
+    return F.floor(F.unix_seconds(stamp) / F.lit(TICK_SECONDS))
+
+
 def tick_counts(rows: DataFrame, stamp: str) -> DataFrame:
-    """Rows per stage and tick, with the count so far: ``stage, tick, n, cumulative``.
+    """Rows per stage and tick: ``stage, tick, n``. Empty ticks have no row."""
+    return rows.groupBy("stage", tick_of(stamp).alias("tick")).agg(F.count(F.lit(1)).alias("n"))
 
-    ``tick`` is the number of five-second ticks since the epoch; empty ticks have no row.
-    """
-    tick = F.floor(F.unix_seconds(stamp) / F.lit(TICK_SECONDS)).alias("tick")
-    counts = rows.groupBy("stage", tick).agg(F.count(F.lit(1)).alias("n"))
+
+def counts_so_far(ticks: DataFrame) -> DataFrame:
+    """Add ``cumulative``, the rows of a stage up to and including the tick."""
     return running_totals(
-        counts, ["stage"], ["tick"], {"cumulative": "n"}, F.floor(F.col("tick") / F.lit(DAY_TICKS))
+        ticks, ["stage"], ["tick"], {"cumulative": "n"}, F.floor(F.col("tick") / F.lit(DAY_TICKS))
     )
 
 
 def one_minute_rates(ticks: DataFrame) -> DataFrame:
-    """The one-minute rate in rows per second after each tick: ``stage, tick, n, rate``.
+    """The one-minute rate in rows per second after each tick.
+
+    Takes ``stage, tick, n, cumulative`` and adds ``rate``.
 
     The rate starts as the plain rate of the first tick and then moves by ALPHA towards the
     rate of each tick, which makes it a sum over past ticks with falling weights. The time axis
@@ -52,5 +59,5 @@ def one_minute_rates(ticks: DataFrame) -> DataFrame:
         .withColumn("weighted", F.col("n") * weight * F.exp(age))
         .withColumn("rate", F.sum("weighted").over(frame) * F.exp(-age) / F.lit(float(TICK_SECONDS)))
         .where(block == F.col("block"))
-        .select("stage", "tick", "n", "rate")
+        .select("stage", "tick", "n", "cumulative", "rate")
     )

@@ -25,11 +25,16 @@ def running_totals(
     shuffled once and everything above them is computed once; only summaries move again.
     """
     group = [*keys, "slice"]
+    # Rows without a key have no total. Said up front, both sides of the join below filter alike
+    # and share one shuffle; left to the join, each side would get its own filter and shuffle.
+    sliced = rows.withColumn("slice", slice_by)
+    for name in group:
+        sliced = sliced.where(F.col(name).isNotNull())
     inside = (
         Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     earlier = Window.partitionBy(*keys).orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    local = rows.withColumn("slice", slice_by).select(
+    local = sliced.select(
         "*", *[F.sum(source).over(inside).alias(name) for name, source in totals.items()]
     )
     in_slice = local.groupBy(*group).agg(

@@ -12,10 +12,11 @@ from pyspark.sql import functions as F
 from glosswell.functions.times import SLOT_MINUTES, days, hour_of_day, hours
 from glosswell.operators.counts import start_rows, window_count, window_sum
 from glosswell.operators.filters import direct_comments
-from glosswell.operators.meters import one_minute_rates, tick_counts
+from glosswell.operators.meters import TICK_SECONDS, counts_so_far, one_minute_rates, tick_counts, tick_of
 from glosswell.operators.slices import Slices
 from glosswell.plans.popularity import likes
 from glosswell.plans.threads import reply_credits
+from glosswell.schema import DIRECT
 
 STAMP = "ingest_ts"
 
@@ -95,12 +96,17 @@ def _stage(rows: DataFrame, name: str) -> DataFrame:
     return rows.select(F.lit(name).alias("stage"), STAMP)
 
 
-def input_rows(comments: DataFrame) -> DataFrame:
-    """One row per comment and query that takes it in: ``stage, ingest_ts``."""
-    stages = F.array(
-        F.lit("query1_in"), F.when(F.col("depth") == 1, F.lit("query2_in")), F.lit("query3_in")
+def input_ticks(comments: DataFrame) -> DataFrame:
+    """Comments each query takes in per tick: ``stage, tick, n``.
+
+    Counted once per tick and then told apart by query, so comments are not multiplied.
+    """
+    counts = comments.groupBy(tick_of(STAMP).alias("tick")).agg(
+        F.count(F.lit(1)).alias("every"), F.count_if(F.col("depth") == DIRECT).alias("direct")
     )
-    return comments.select(F.explode(F.array_compact(stages)).alias("stage"), STAMP)
+    stages = {"query1_in": "every", "query2_in": "direct", "query3_in": "every"}
+    per_stage = F.array(*[F.struct(F.lit(s).alias("stage"), F.col(c).alias("n")) for s, c in stages.items()])
+    return counts.select("tick", F.inline(per_stage)).where(F.col("n") > 0).select("stage", "tick", "n")
 
 
 def stage_rows(
@@ -126,14 +132,19 @@ def stage_rows(
     return rows
 
 
-def throughput(rows: DataFrame) -> DataFrame:
+def stage_ticks(comments: DataFrame, slices: Slices | None = None) -> DataFrame:
+    """Records that enter each window stage per tick: ``stage, tick, n``."""
+    return tick_counts(stage_rows(comments, slices=slices), STAMP)
+
+
+def throughput(ticks: DataFrame) -> DataFrame:
     """Records per five-second tick and so far: ``stage, tick, n, cumulative``."""
-    return tick_counts(rows, STAMP)
+    return counts_so_far(ticks)
 
 
-def throughput_rates(rows: DataFrame) -> DataFrame:
-    """One-minute rate per tick: ``stage, tick, n, rate``."""
-    return one_minute_rates(tick_counts(rows, STAMP))
+def throughput_rates(ticks: DataFrame) -> DataFrame:
+    """One-minute rate per tick: ``stage, tick, n, cumulative, rate``."""
+    return one_minute_rates(counts_so_far(ticks))
 
 
 # Latency
@@ -207,8 +218,9 @@ def latency_lines(rows: DataFrame) -> DataFrame:
     return rows.select("window_start", line.alias("line"))
 
 
-def throughput_lines(rows: DataFrame) -> DataFrame:
+def throughput_lines(ticks: DataFrame) -> DataFrame:
     """``stage , tick_ms , count so far , rate`` per tick."""
-    millis = (F.col("tick") * F.lit(5_000)).cast("string")
+    rated = throughput_rates(ticks)
+    millis = (F.col("tick") * F.lit(TICK_SECONDS * 1_000)).cast("string")
     line = F.concat_ws(" , ", "stage", millis, F.col("cumulative").cast("string"), F.col("rate").cast("string"))
-    return rows.select("stage", "tick", line.alias("line"))
+    return rated.select("stage", "tick", line.alias("line"))

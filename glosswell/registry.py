@@ -417,9 +417,9 @@ _register(
 # Operational reports
 
 
-def _tick_report(rows, report, *columns: str):
+def _tick_report(ticks):
     def build(spark: SparkSession, folder: str) -> DataFrame:
-        return report(rows(read_event_comments(spark, folder))).select(*columns)
+        return reports.throughput(ticks(read_event_comments(spark, folder)))
 
     return build
 
@@ -462,22 +462,21 @@ SELECT a.stage, a.tick, any_value(a.n) AS n,
 FROM metered a JOIN metered b ON a.stage = b.stage AND b.tick BETWEEN a.tick - 168 AND a.tick
 GROUP BY a.stage, a.tick"""
 
-_METER_COLUMNS = ("stage", "tick", "n", "cumulative")
 
 
 def _rates(spark: SparkSession, folder: str) -> DataFrame:
-    rates = reports.throughput_rates(reports.input_rows(read_event_comments(spark, folder)))
-    return rates.withColumn("rate", F.round("rate", 6))
+    rates = reports.throughput_rates(reports.input_ticks(read_event_comments(spark, folder)))
+    return rates.select("stage", "tick", "n", F.round("rate", 6).alias("rate"))
 
 
 _register(
     "input_throughput",
-    _tick_report(reports.input_rows, reports.throughput, *_METER_COLUMNS),
+    _tick_report(reports.input_ticks),
     f"WITH {COMMENTS}, {_INPUT_ROWS}, {_TICKS} SELECT stage, tick, n, cumulative FROM metered",
 )
 _register(
     "stage_throughput",
-    _tick_report(reports.stage_rows, reports.throughput, *_METER_COLUMNS),
+    _tick_report(reports.stage_ticks),
     f"WITH {COMMENTS}, {CREDITS}, {_STAGES}, {_TICKS} SELECT stage, tick, n, cumulative FROM metered",
 )
 _register("ewma_rate", _rates, f"WITH {COMMENTS}, {_INPUT_ROWS}, {_TICKS} {_RATES}")

@@ -109,4 +109,5 @@ def lines_from_events(events: DataFrame) -> DataFrame:
         .when(variant("header"), F.lit("approveDate,articleID,articleWordCount"))
         .otherwise(line)
     )
-    return comments.select(value.alias("value"))
+    # explode of one element: readers of the column do not build the line again.
+    return comments.select(F.explode(F.array(value)).alias("value"))

@@ -149,7 +149,7 @@ def test_rates_follow_the_recurrence(spark):
 
 
 def test_input_throughput_counts_every_comment(table):
-    last = reports.throughput(reports.input_rows(table)).groupBy("stage").agg(F.max("cumulative"))
+    last = reports.throughput(reports.input_ticks(table)).groupBy("stage").agg(F.max("cumulative"))
     assert dict(map(tuple, last.collect())) == {
         "query1_in": table.count(),
         "query2_in": table.where("depth = 1").count(),
@@ -157,6 +157,12 @@ def test_input_throughput_counts_every_comment(table):
     }
 
 
+def test_throughput_lines(table):
+    lines = reports.throughput_lines(reports.input_ticks(table))
+    assert re.fullmatch(r"query\d_in , \d{13} , \d+ , \d.*", lines.first().line)
+    assert lines.count() == reports.input_ticks(table).count()
+
+
 def test_latency_leaves_out_the_open_window(table):
     rows = reports.article_latency(table, 24)
     assert rows.count() == articles.article_top3(table, 24).select("window_start").distinct().count() - 1
