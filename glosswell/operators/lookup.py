@@ -23,7 +23,7 @@ def latest_version(
     fields: list[str],
     slices: Slices = NO_SLICES,
 ) -> DataFrame:
-    """``requests`` plus a struct column ``found`` (null on a miss) with ``fields``.
+    """``requests`` plus a struct column ``found`` (null on a miss) with ``since`` and ``fields``.
 
     Both sides have a time column ``at``. A version counts for requests of the same instant;
     versions of one key and instant are ordered by their fields.
@@ -47,8 +47,8 @@ def latest_version(
         F.lit(None).cast(version_type).alias("version"),
         request.alias("request"),
     )
-    both = offered.unionByName(asked).withColumn("slice", slices.index(F.col("key"), F.col("at")))
-
+    index = slices.index(F.col("key"), F.col("at")).alias("slice")
+    both = offered.unionByName(asked).select("*", index)
     so_far = (
         Window.partitionBy("key", "slice")
         .orderBy("at", "side", "version")
@@ -58,20 +58,26 @@ def latest_version(
         F.col("side") == 1
     )
     if slices:
-        answered = _carry_over(both, answered, slices)
-    return answered.select("request.*", F.col("found").dropFields("since").alias("found"))
+        carried = _carried(offered.select("key", "version", index), slices)
+        answered = answered.join(carried, ["key", "slice"], "left").withColumn(
+            "found", F.coalesce("found", "carried")
+        )
+    return answered.select("request.*", "found")
 
 
-def _carry_over(both: DataFrame, answered: DataFrame, slices: Slices) -> DataFrame:
-    """Answer requests that come before the first version of their slice from earlier slices."""
-    earlier = Window.partitionBy("key").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        both.where(slices.is_hot(F.col("key")))
-        .groupBy("key", "slice")
-        .agg(F.max("version").alias("last_version"))
-        .withColumn("carried", F.last("last_version", ignorenulls=True).over(earlier))
-        .select("key", "slice", "carried")
+def _carried(offered: DataFrame, slices: Slices) -> DataFrame:
+    """Last version before each slice of a hot key: ``key, slice, carried``.
+
+    One row per slice, planned ones included, so a slice without versions passes on what it got.
+    """
+    planned = offered.sparkSession.createDataFrame(slices.numbers(), "key string, slice int").withColumn(
+        "version", F.lit(None).cast(offered.schema["version"].dataType)
     )
-    return answered.join(carried, ["key", "slice"], "left").withColumn(
-        "found", F.coalesce("found", "carried")
+    last = (
+        offered.where(slices.is_hot(F.col("key")))
+        .unionByName(planned)
+        .groupBy("key", "slice")
+        .agg(F.max("version").alias("last"))
     )
+    earlier = Window.partitionBy("key").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    return last.select("key", "slice", F.last("last", ignorenulls=True).over(earlier).alias("carried"))

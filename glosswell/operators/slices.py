@@ -24,7 +24,7 @@ SKETCH_ITEMS = 10_000
 SKETCH_GROUPS = 256
 
 HISTOGRAM_MICROS = 60_000_000
-NULL_SPREAD = 1_024
+NULL_SPREAD = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -36,6 +36,10 @@ class Slices:
     def __bool__(self) -> bool:
         return bool(self.bounds)
 
+    def numbers(self) -> list[tuple[str, int]]:
+        """Every (hot key, slice number)."""
+        return [(key, i) for key, starts in self.bounds.items() for i in range(len(starts) + 1)]
+
     def is_hot(self, key: Column) -> Column:
         return key.isin(list(self.bounds))
 

@@ -57,14 +57,20 @@ def reply_credits(
     asked = replies(comments).select(
         F.col("comment_id").alias("reply_id"), "in_reply_to", "create_date", *keep
     )
+    # A comment's own parent is looked up once per comment, not once per reply to it: however
+    # busy a thread gets, the second hop asks for no comment more often than it is answered.
     entries = author_versions(comments, slices)
     resolved = latest_version(
         asked, entries, "in_reply_to", "comment_id", "create_date", ["user_id", "parent_user_id"], slices
     )
-    credited = F.array("found.user_id", "found.parent_user_id")
     return (
         resolved.where(F.col("found").isNotNull())
-        .select("reply_id", "create_date", *keep, F.posexplode(credited).alias("pos", "user_id"))
+        .select(
+            "reply_id",
+            "create_date",
+            *keep,
+            F.posexplode(F.array("found.user_id", "found.parent_user_id")).alias("pos", "user_id"),
+        )
         .where(F.col("user_id").isNotNull())
         .select(
             "reply_id",
