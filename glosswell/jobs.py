@@ -1,7 +1,7 @@
 """Command line: one query over comment lines or a comment table, as a table job or a stream.
 
-    spark-submit --py-files glosswell.zip -m glosswell.jobs articles --lines IN --out OUT --size 24
-    spark-submit ... -m glosswell.jobs daytime --kafka HOST:PORT --out OUT --checkpoint CK --size 7
+    spark-submit --py-files glosswell.zip glosswell/jobs.py articles --lines IN --out OUT --size 24
+    spark-submit ... glosswell/jobs.py daytime --kafka HOST:PORT --stream --out OUT --size 7
 
 ``--size`` counts hours for ``articles``, ``users`` and ``running`` and days for ``daytime``.
 """
@@ -20,6 +20,10 @@ from glosswell.sources.parse import comments_of, parse_lines, rejects_of
 from glosswell.streaming import metrics, popularity as live, threads as live_threads
 from glosswell.streaming.watermarks import ascending, bounded
 
+# A backlog is worked off in batches of at most this many messages or files.
+MESSAGES_PER_TRIGGER = 5_000_000
+FILES_PER_TRIGGER = 100
+
 DEFAULT_SIZES = {"articles": 24, "daytime": 7, "users": 720, "running": 720}
 
 
@@ -93,6 +97,11 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--stream", action="store_true")
     parser.add_argument("--latency", action="store_true", help="stream window latency instead of results")
     parser.add_argument("--checkpoint")
+    parser.add_argument(
+        "--per-trigger",
+        type=int,
+        help="most messages (Kafka) or files a micro-batch takes; bounds what one key can bring at once",
+    )
     args = parser.parse_args(argv)
 
     spark = prepare(SparkSession.builder.appName(f"glosswell-{args.query}").getOrCreate())
@@ -122,10 +131,15 @@ def _lines(spark: SparkSession, args) -> DataFrame:
 
 
 def _stream_comments(spark: SparkSession, args) -> DataFrame:
+    files = args.per_trigger or FILES_PER_TRIGGER
     if args.comments:
         schema = spark.read.parquet(args.comments).schema
-        return spark.readStream.schema(schema).parquet(args.comments)
-    lines = stream_kafka_lines(spark, args.kafka, args.topic) if args.kafka else stream_lines(spark, args.lines)
+        return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(args.comments)
+    if args.kafka:
+        messages = args.per_trigger or MESSAGES_PER_TRIGGER
+        lines = stream_kafka_lines(spark, args.kafka, args.topic, max_per_trigger=messages)
+    else:
+        lines = stream_lines(spark, args.lines, files)
     return comments_of(parse_lines(lines))
 
 

@@ -10,15 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from glosswell.functions.scores import REPLY_CENTS
-from glosswell.functions.times import hours, last_instant
+from glosswell.functions.times import last_instant
 from glosswell.plans.popularity import TOP_USERS, like_scores, likes, user_scores
 
-RUNNING_TYPE = (
-    "at timestamp, is_like int, reply_id string, hop int, user_id string, cents decimal(38,0)"
-)
 WAITING_TYPE = "at_us bigint, is_like int, reply_id string, hop int, cents bigint"
 SCORED_TYPE = "at_us bigint, is_like int, reply_id string, hop int, user_id string, cents decimal(38,0)"
-TOP_TYPE = "window_start timestamp, " + RUNNING_TYPE
 SALTS = 64
 
 
@@ -119,32 +115,31 @@ def running_scores(comments: DataFrame, credits: DataFrame, window_hours: int) -
 
 
 class TopRows(StatefulProcessor):
-    """The best rows of one share of a window, given out when the watermark passes its end."""
+    """The best rows of one share of a window, given out when the watermark passes its end.
+
+    A row is late only when its window has closed.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.best = handle.getValueState("best", f"rows array<struct<{_struct_fields()}>>")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        if key[1] <= timerValues.getCurrentWatermarkInMs():
+            return iter(())
         best = [tuple(r) for r in self.best.get()[0]] if self.best.exists() else []
         for row in rows:
-            best.append((row.at, row.is_like, row.reply_id, row.hop, row.user_id, row.cents))
+            best.append((row.at_us, row.is_like, row.reply_id, row.hop, row.user_id, row.cents))
             if len(best) > 20 * TOP_USERS:
                 best = _best(best)
         self.best.update((_best(best),))
-        self.handle.registerTimer(int(key[1]))
+        self.handle.registerTimer(key[1])
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        for at, is_like, reply_id, hop, user_id, cents in self.best.get()[0]:
+        for at_us, is_like, reply_id, hop, user_id, cents in self.best.get()[0]:
             yield Row(
-                window_start=key[0],
-                at=at,
-                is_like=is_like,
-                reply_id=reply_id,
-                hop=hop,
-                user_id=user_id,
-                cents=cents,
+                at_us=at_us, is_like=is_like, reply_id=reply_id, hop=hop, user_id=user_id, cents=cents
             )
         self.best.clear()
 
@@ -153,7 +148,7 @@ class TopRows(StatefulProcessor):
 
 
 def _struct_fields() -> str:
-    return ", ".join(f"{name}: {kind}" for name, kind in (f.split(" ") for f in RUNNING_TYPE.split(", ")))
+    return ", ".join(f"{name}: {kind}" for name, kind in (f.split(" ") for f in SCORED_TYPE.split(", ")))
 
 
 def _best(rows: list[tuple]) -> list[tuple]:
@@ -168,16 +163,21 @@ def top_running(scores: DataFrame, window_hours: int) -> DataFrame:
     month-long window keeps many tasks busy; what is left for the final ranking of a batch
     (``plans.rank_running``) is at most ten rows per salt and window.
     """
-    window = F.window("at", hours(window_hours))
+    size_us = window_hours * 3_600_000_000
+    at_us = F.unix_micros("at")
     spread = scores.select(
-        "*",
-        window["start"].alias("window_start"),
-        F.unix_millis(window["end"]).alias("end_ms"),
-        F.pmod(F.xxhash64("user_id", "at", "reply_id", "hop"), F.lit(SALTS)).alias("salt"),
+        at_us.alias("at_us"),
+        "is_like",
+        "reply_id",
+        "hop",
+        "user_id",
+        "cents",
+        F.floor((at_us - F.pmod(at_us, F.lit(size_us)) + F.lit(size_us)) / F.lit(1_000)).alias("end_ms"),
+        F.pmod(F.xxhash64("user_id", at_us, "reply_id", "hop"), F.lit(SALTS)).alias("salt"),
     )
-    return spread.groupBy("window_start", "end_ms", "salt").transformWithState(
-        statefulProcessor=TopRows(),
-        outputStructType=TOP_TYPE,
-        outputMode="Append",
-        timeMode="EventTime",
+    best = spread.groupBy("salt", "end_ms").transformWithState(
+        statefulProcessor=TopRows(), outputStructType=SCORED_TYPE, outputMode="Append", timeMode="EventTime"
+    )
+    return best.select(
+        F.timestamp_micros("at_us").alias("at"), "is_like", "reply_id", "hop", "user_id", "cents"
     )

@@ -4,7 +4,6 @@ from pathlib import Path
 
 import duckdb
 import pytest
-from helpers import rows_of
 
 import __spark_entry__ as entry
 
