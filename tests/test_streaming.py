@@ -143,6 +143,28 @@ def test_late_rows_leave_windows_but_not_the_record(spark, tmp_path):
     assert [(r.reply_id, r.user_id) for r in spark.read.parquet(str(tmp_path / "cr")).collect()] == [("3", "L")]
 
 
+def test_running_ranking_takes_late_rows_while_the_window_is_open(spark, tmp_path):
+    folder = str(tmp_path / "s")
+    batches = [[(600, 5)], [(1800, 7)], [(1900, 8)], [(300, 100)], [(10800, 1)], [(11000, 1)], [(1200, 1000), (14400, 1)], [(20000, 1)]]
+    for rows in batches:
+        frame = spark.createDataFrame([(t, f"r{t}", c) for t, c in rows], "t bigint, r string, c bigint")
+        frame.select(
+            F.timestamp_seconds("t").alias("at"),
+            F.lit(0).alias("is_like"),
+            F.col("r").alias("reply_id"),
+            F.lit(1).alias("hop"),
+            F.lit("u").alias("user_id"),
+            F.col("c").cast("decimal(38,0)").alias("cents"),
+        ).coalesce(1).write.mode("append").parquet(folder)
+        time.sleep(1.1)
+    schema = spark.read.parquet(folder).schema
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    rank = lambda batch: popularity.rank_running(batch, 1)
+    run(each_batch(live.top_running(bounded(stream, "at"), 1), rank, str(tmp_path / "o"), str(tmp_path / "ck")))
+    first = spark.read.parquet(str(tmp_path / "o")).where("unix_seconds(window_start) = 0").orderBy("rank")
+    assert [int(r.cents) for r in first.collect()] == [100, 8, 7, 5]
+
+
 def test_author_record(spark, table, live_comments, tmp_path):
     run(upsert_authors(live_threads.author_entries(live_comments()), str(tmp_path / "a"), str(tmp_path / "ck")))
     want = rows_of(threads.latest_authors(threads.author_versions(table, NO_SLICES)))
