@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glosswell.llm import bpe
+from glosswell.llm import bpe, lines
 from glosswell.llm.common import read, sha256
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -41,3 +41,33 @@ def token_digests(documents: DataFrame) -> DataFrame:
 def op9_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's tokens, and the text decoded from them."""
     return token_digests(read(spark, sf_dir, "documents"))
+
+
+@registered
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that a later one keeps."""
+    return lines.drop_repeated_lines(read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", sha256(F.col("text")).alias("kept_sha256")
+    )
+
+
+ORACLES["op5_line_dedup"] = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS n
+  FROM documents
+), keyed AS (
+  SELECT *, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines
+), common AS (
+  SELECT key, max(doc_id) AS keeper FROM keyed
+  WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+), marked AS (
+  SELECT k.doc_id, k.n, k.line, c.keeper IS NOT NULL AND k.doc_id <> c.keeper AS gone
+  FROM keyed k LEFT JOIN common c ON k.key = c.key
+)
+SELECT doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (gone))::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
