@@ -28,7 +28,7 @@ from glosswell.llm.common import map_rows
 #: Fixed value: how byte-level BPE cuts text into words.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words whose encodings a worker remembers before it starts anew; bounds memory, never results.
-REMEMBERED_WORDS = 1_000_000
+REMEMBERED_WORDS = 500_000
 REMEMBERED_LENGTH = 64
 NEVER = 1 << 40
 #: The same cut for texts of these characters alone, by the faster standard module.

@@ -7,12 +7,13 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows and bytes of one slice that a task works on at once: bounds memory, never results.
 SLICE_ROWS = 2_000
-SLICE_BYTES = 16_000_000
+SLICE_BYTES = 4_000_000
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -45,7 +46,7 @@ def slices(batches: Iterable[pa.RecordBatch], sized: str | None = None) -> Itera
                 yield part
                 continue
             begin, held = 0, 0
-            for i, size in enumerate(pa.compute.binary_length(part.column(sized)).to_pylist()):
+            for i, size in enumerate(pc.binary_length(part.column(sized)).to_pylist()):
                 if held and held + (size or 0) > SLICE_BYTES:
                     yield part.slice(begin, i - begin)
                     begin, held = i, 0
