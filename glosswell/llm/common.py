@@ -10,6 +10,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Rows and bytes of one slice that a task works on at once: bounds memory, never results.
 SLICE_ROWS = 2_000
@@ -55,13 +56,11 @@ def slices(batches: Iterable[pa.RecordBatch], sized: str | None = None) -> Itera
 
 
 def map_rows(
-    df: DataFrame, work: Callable[[pa.RecordBatch], dict | None], schema: str, sized: str | None = None
+    df: DataFrame, work: Callable[[pa.RecordBatch], dict | None], schema: str | StructType, sized: str | None = None
 ) -> DataFrame:
     """``work`` on every slice of ``df``; it returns the columns of ``schema`` or None."""
     from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import _parse_datatype_string
-
-    kinds = to_arrow_schema(_parse_datatype_string(schema))
+    kinds = to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, sized):

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glosswell.llm import bpe, chat, decontaminate, lines
-from glosswell.llm.common import read, sha256
+from glosswell.llm import bpe, chat, decontaminate, lines, toxicity
+from glosswell.llm.common import held_out, read, sha256
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -164,3 +164,16 @@ SELECT conv_id, count(*)::BIGINT AS n_turns,
     AND arg_max(role, n) = 'assistant' AS valid
 FROM sized GROUP BY conv_id
 """
+
+
+@registered
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's toxicity by dictionaries of the documents that are not held out."""
+    documents = read(spark, sf_dir, "documents")
+    model = toxicity.train(documents, read(spark, sf_dir, "labels"))
+    return toxicity.score(documents.select("doc_id", "text"), model).select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
+    )
