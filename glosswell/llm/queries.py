@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glosswell.llm import bpe, chat, decontaminate, lines, toxicity
+from glosswell.llm import bpe, chat, decontaminate, languages, lines, toxicity
 from glosswell.llm.common import held_out, read, sha256
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -177,3 +177,13 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("toxicity").alias("score"),
         (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
     )
+
+
+@registered
+def op8_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's main language by n-grams of the documents that are not held out."""
+    documents = read(spark, sf_dir, "documents")
+    model = languages.train(documents.where(~held_out(F.col("doc_id"))).select("text", "lang"))
+    return languages.identify(documents, model).select(
+        "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"
+    )
