@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glosswell.llm import bpe, chat, decontaminate, languages, lines, toxicity
+from glosswell.llm import bpe, chat, decontaminate, languages, lines, shingles, toxicity
 from glosswell.llm.common import held_out, read, sha256
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -187,3 +187,35 @@ def op8_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.identify(documents, model).select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score"
     )
+
+
+@registered
+def op10_shingle_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's group of near duplicates."""
+    return shingles.near_duplicates(read(spark, sf_dir, "documents"))
+
+
+ORACLES["op10_shingle_join"] = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS s
+  FROM docs, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS r(i) WHERE len(w) > 0
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * k >= 75 * (p.n + q.n - k)
+), reached AS (
+  SELECT doc_id AS x, doc_id AS y FROM docs
+  UNION SELECT r.x, l.y FROM reached r JOIN links l ON r.y = l.x
+)
+SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
+FROM docs d LEFT JOIN sizes USING (doc_id)
+JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reached GROUP BY x) USING (doc_id)
+"""
