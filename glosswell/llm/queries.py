@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glosswell.llm import bpe, chat, decontaminate, languages, lines, shingles, toxicity
+from glosswell.llm import bpe, chat, decontaminate, languages, lines, shingles, spans, toxicity
 from glosswell.llm.common import held_out, read, sha256
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -219,3 +219,11 @@ SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id
 FROM docs d LEFT JOIN sizes USING (doc_id)
 JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reached GROUP BY x) USING (doc_id)
 """
+
+
+@registered
+def op1_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the passages that an earlier one holds, and where they were."""
+    return spans.drop_repeated_spans(read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_sentences", "n_removed", "spans", sha256(F.col("text")).alias("kept_sha256")
+    )
