@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glosswell.llm import bpe, chat, decontaminate, languages, lines, shingles, spans, toxicity
+from glosswell.llm import bpe, chat, decontaminate, languages, lines, neighbours, shingles, spans, toxicity
 from glosswell.llm.common import held_out, read, sha256
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -227,3 +227,9 @@ def op1_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.drop_repeated_spans(read(spark, sf_dir, "documents")).select(
         "doc_id", "n_sentences", "n_removed", "spans", sha256(F.col("text")).alias("kept_sha256")
     )
+
+
+@registered
+def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth."""
+    return neighbours.nearest(read(spark, sf_dir, "embeddings"))
