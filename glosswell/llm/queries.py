@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glosswell.llm import bpe, chat, decontaminate, languages, lines, neighbours, shingles, spans, toxicity
+from glosswell.llm import bpe, chat, decontaminate, languages, licenses, lines, neighbours, shingles, spans, toxicity
 from glosswell.llm.common import held_out, read, sha256
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -233,3 +233,9 @@ def op1_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest vectors of every fiftieth."""
     return neighbours.nearest(read(spark, sf_dir, "embeddings"))
+
+
+@registered
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's licences and the wording they were confirmed by."""
+    return licenses.scan(read(spark, sf_dir, "documents"))
