@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glosswell.llm.common import map_rows
+from glosswell.llm.common import map_rows, written
 
 #: Sentences of a run; words it has at least; words from which one or two sentences are a run too.
 RUN, WORDS, LONG_WORDS = 3, 10, 25
@@ -92,6 +92,8 @@ def drop_repeated_spans(
         .where(~F.col("stays").eqNullSafe(F.col("last")))
         .select("a", "b", "stays")
     )
+    # A table of its own, so that the join may split a run that most documents hold.
+    repeated = written(repeated, "repeated")
     gone = (
         found.join(repeated, ["a", "b"])
         .where(~place.eqNullSafe(F.col("stays")))
