@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from glosswell.llm.common import map_rows, written
 from glosswell.llm.filters import collected_bits, is_set
@@ -45,7 +46,11 @@ def hashed(texts: list[str | None], min_chars: int) -> tuple[np.ndarray, np.ndar
 
 
 def drop_repeated_lines(
-    documents: DataFrame, min_docs: int = 5, min_chars: int = 40, filter_log2: int = FILTER_LOG2
+    documents: DataFrame,
+    min_docs: int = 5,
+    min_chars: int = 40,
+    filter_log2: int = FILTER_LOG2,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """doc_id, text, n_lines, n_dropped: the documents without lines that others keep.
 
@@ -55,9 +60,10 @@ def drop_repeated_lines(
 
     One row per row of ``documents``. A null or empty text is one empty line. Rows that share an id
     are one document when counting. Null ids are not counted and never the one that keeps a line.
-    Further columns are not read.
+    Further columns are not read, but for those named in ``carry``, which come along unchanged.
     """
-    documents = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    whole = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *carry)
+    documents = whole.select("doc_id", "text")
     mask = (1 << filter_log2) - 1
 
     def positions(part: pa.RecordBatch) -> dict:
@@ -97,13 +103,13 @@ def drop_repeated_lines(
         .where("doc_id is null or doc_id <> keeper")
         .groupBy("doc_id")
         .agg(F.collect_set(F.struct("a", "b")).alias("drops"))
-        .withColumnRenamed("doc_id", "drop_id")
+        .toDF("drop_id", "drops")
     )
 
     def cut(part: pa.RecordBatch) -> dict:
         from xxhash import xxh3_128_digest
 
-        out = {"doc_id": part.column("doc_id"), "text": [], "n_lines": [], "n_dropped": []}
+        out = {c: part.column(c) for c in ("doc_id", *carry)} | {"text": [], "n_lines": [], "n_dropped": []}
         drops = part.column("drops")
         for i, text in enumerate(part.column("text").to_pylist()):
             lines, gone = (text or "").split("\n"), []
@@ -118,9 +124,6 @@ def drop_repeated_lines(
             out["n_dropped"].append(len(gone))
         return out
 
-    return map_rows(
-        documents.join(drops, F.col("doc_id").eqNullSafe(F.col("drop_id")), "left").drop("drop_id"),
-        cut,
-        "doc_id long, text string, n_lines long, n_dropped long",
-        "text",
-    )
+    schema = StructType(whole.schema.fields).add("n_lines", "long").add("n_dropped", "long")
+    marked = whole.join(drops, F.col("doc_id").eqNullSafe(F.col("drop_id")), "left").drop("drop_id")
+    return map_rows(marked, cut, schema, "text")
