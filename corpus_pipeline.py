@@ -29,10 +29,10 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that five or more share, but for the one that keeps them. Those that
-    lose all their lines go."""
+    """Documents without lines that five or more share, but for the one that keeps them. One that
+    loses all its lines stays, with an empty text."""
     kept = lines.drop_repeated_lines(docs.select(*COLUMNS), carry=("lang", "source", "n_chars"))
-    return kept.where("n_dropped < n_lines").select(
+    return kept.select(
         "doc_id",
         "text",
         "lang",
