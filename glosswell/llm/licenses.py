@@ -3,7 +3,7 @@
 Sentences with a word that licences use are gathered into blocks with their neighbours. A block is
 compressed alone and with each template as a raw dictionary; templates are ranked by how much shorter
 it gets. The best are confirmed by their exact wording: the words of the template that the block
-lacks, and those it adds in between, must be few, and none that tells the licence or its version.
+lacks, and those it adds in between, must be few, and none that tells this licence from another or its version.
 """
 
 from __future__ import annotations
@@ -163,6 +163,7 @@ class Scanner:
             for t in templates
         ]
         self.words = [words_of(t.text) for t in templates]
+        self.telling = {w for t in templates for w in t.names}
 
     def findings(self, block: str) -> list[dict]:
         """Confirmed templates of a block, the largest saving first; of one licence the best."""
@@ -184,6 +185,7 @@ class Scanner:
             if (
                 len(missing) + len(added) <= self.settings.most_missing * len(wanted)
                 and not set(missing) & set(template.names)
+                and not set(added) & self.telling - set(template.names)
             ):
                 out.append({"license": template.license, "saving": saving, "missing": missing, "added": added, "block": block})
         return out
