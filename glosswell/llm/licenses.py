@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from glosswell.llm.common import map_rows
 from glosswell.llm.spans import sentences
 
-HINTS = re.compile(r"licen[sc]|copyright|warrant|redistribut|permission|public domain|spdx", re.I)
+HINTS = re.compile(r"licen[sc]|copyright|warrant|distribut|permission|public domain|spdx", re.I)
 TOKENS = re.compile(r"[^\W_]+")
 
 
