@@ -17,16 +17,6 @@ def days(n: int) -> str:
     return f"{n} days"
 
 
-def start_seconds(window: Column) -> Column:
-    """Window start as epoch seconds, the form the result lines use."""
-    return F.unix_seconds(window["start"])
-
-
-def start_millis(window: Column) -> Column:
-    """Window start as epoch milliseconds, the form the latency lines use."""
-    return F.unix_millis(window["start"])
-
-
 def hour_of_day(ts: Column) -> Column:
     """UTC hour of a timestamp."""
     return F.pmod(F.floor(F.unix_seconds(ts) / F.lit(3600)), F.lit(24)).cast("int")

@@ -2,8 +2,12 @@
 
 Every request carries a key and a time and is answered with the newest version of that key not
 younger than the request. A join on the key would pair each request with every version of it;
-here versions and requests are sorted together once per key and the last version seen is taken,
-so the work is linear in the rows, for repeated keys as well.
+here versions and requests are sorted together and the last version seen is taken, so the work is
+linear in the rows, for repeated keys as well.
+
+The time axis of a key is cut into buckets of a fixed width. Each (key, bucket) is sorted on its own,
+and the last version before it is carried in by a pass over one summary row per bucket. So a key that
+holds most of the rows is as many groups as it has busy buckets, whatever the size of the table.
 """
 
 from __future__ import annotations
@@ -11,7 +15,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from glosswell.operators.slices import NO_SLICES, Slices
+# Width of a bucket. It moves work and never changes a result: what one key brings within it is one
+# sort, which may spill. Narrow buckets cost a summary row each.
+BUCKET_SECONDS = 3_600
+NULL_SPREAD = 1 << 20
 
 
 def latest_version(
@@ -21,7 +28,7 @@ def latest_version(
     version_key: str,
     at: str,
     fields: list[str],
-    slices: Slices = NO_SLICES,
+    bucket_seconds: int = BUCKET_SECONDS,
 ) -> DataFrame:
     """``requests`` plus a struct column ``found`` (null on a miss) with ``since`` and ``fields``.
 
@@ -47,37 +54,34 @@ def latest_version(
         F.lit(None).cast(version_type).alias("version"),
         request.alias("request"),
     )
-    index = slices.index(F.col("key"), F.col("at")).alias("slice")
-    both = offered.unionByName(asked).select("*", index)
+    # Null keys match nothing and are spread. Key and bucket are never null after this, so the join
+    # below puts no filter of its own under one side, and both sides share one shuffle.
+    spread = F.pmod(F.xxhash64("at"), F.lit(NULL_SPREAD))
+    bucket = F.floor(F.unix_seconds("at") / F.lit(bucket_seconds))
+    both = offered.unionByName(asked).select(
+        F.coalesce("key", F.lit("")).alias("key"),
+        F.col("key").isNull().alias("keyless"),
+        F.coalesce(F.when(F.col("key").isNull(), spread).otherwise(bucket), F.lit(0)).alias("bucket"),
+        "at",
+        "side",
+        "version",
+        "request",
+    )
+    group = ["key", "keyless", "bucket"]
     so_far = (
-        Window.partitionBy("key", "slice")
+        Window.partitionBy(*group)
         .orderBy("at", "side", "version")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    answered = both.withColumn("found", F.last("version", ignorenulls=True).over(so_far)).where(
-        F.col("side") == 1
-    )
-    if slices:
-        carried = _carried(offered.select("key", "version", index), slices)
-        answered = answered.join(carried, ["key", "slice"], "left").withColumn(
-            "found", F.coalesce("found", "carried")
-        )
-    return answered.select("request.*", "found")
-
-
-def _carried(offered: DataFrame, slices: Slices) -> DataFrame:
-    """Last version before each slice of a hot key: ``key, slice, carried``.
-
-    One row per slice, planned ones included, so a slice without versions passes on what it got.
-    """
-    planned = offered.sparkSession.createDataFrame(slices.numbers(), "key string, slice int").withColumn(
-        "version", F.lit(None).cast(offered.schema["version"].dataType)
-    )
-    last = (
-        offered.where(slices.is_hot(F.col("key")))
-        .unionByName(planned)
-        .groupBy("key", "slice")
+    local = both.withColumn("here", F.last("version", ignorenulls=True).over(so_far))
+    earlier = Window.partitionBy("key", "keyless").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        local.groupBy(*group)
         .agg(F.max("version").alias("last"))
+        .select(*group, F.last("last", ignorenulls=True).over(earlier).alias("carried"))
+    )
+    return (
+        local.join(carried, group)
+        .where(F.col("side") == 1)
+        .select("request.*", F.coalesce("here", "carried").alias("found"))
     )
-    earlier = Window.partitionBy("key").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
-    return last.select("key", "slice", F.last("last", ignorenulls=True).over(earlier).alias("carried"))

@@ -5,11 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Default slice of the time axis, in seconds.
-DAY_SECONDS = 86_400
 
-
-def time_slice(at: Column, seconds: int = DAY_SECONDS) -> Column:
+def time_slice(at: Column, seconds: int) -> Column:
     return F.floor(F.unix_seconds(at) / F.lit(seconds))
 
 

@@ -10,10 +10,10 @@ from glosswell.functions.text import ranking_lines
 from glosswell.functions.times import hours, last_instant
 from glosswell.operators.counts import start_rows, window_sum
 from glosswell.operators.filters import direct_comments
+from glosswell.operators.lookup import BUCKET_SECONDS
 from glosswell.operators.ranking import top_k
-from glosswell.operators.running import DAY_SECONDS, running_totals, time_slice
+from glosswell.operators.running import running_totals, time_slice
 from glosswell.plans.threads import reply_credits
-from glosswell.operators.slices import Slices
 
 TOP_USERS = 10
 WINDOW_HOURS = (24, 168, 720)
@@ -45,12 +45,12 @@ def rank_users(scores: DataFrame) -> DataFrame:
     return ranked.select("window_start", "rank", "user_id", "cents")
 
 
-def popular_users(comments: DataFrame, window_hours: int, slices: Slices | None = None) -> DataFrame:
+def popular_users(comments: DataFrame, window_hours: int, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
     """Ranking per window, each user once: likes and replies of that window.
 
     Likes and credits are united before the one aggregation, so both combine on the map side.
     """
-    credits = reply_credits(comments, slices=slices).select("create_date", "user_id", "cents")
+    credits = reply_credits(comments, bucket_seconds=bucket_seconds).select("create_date", "user_id", "cents")
     return rank_users(user_scores(likes(comments).unionByName(credits), window_hours))
 
 
@@ -58,7 +58,7 @@ def user_lines(ranked: DataFrame) -> DataFrame:
     return ranking_lines(ranked, F.col("user_id"), points(F.col("cents")))
 
 
-def running_reply_scores(credits: DataFrame, slice_seconds: int = DAY_SECONDS) -> DataFrame:
+def running_reply_scores(credits: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
     """Reply cents of each user after every credit: ``create_date, reply_id, hop, user_id, cents``."""
     counted = credits.select("create_date", "reply_id", "hop", "user_id", F.lit(1).cast("bigint").alias("one"))
     totals = running_totals(
@@ -66,7 +66,7 @@ def running_reply_scores(credits: DataFrame, slice_seconds: int = DAY_SECONDS) -
         ["user_id"],
         ["create_date", "reply_id", "hop"],
         {"replies": "one"},
-        time_slice(F.col("create_date"), slice_seconds),
+        time_slice(F.col("create_date"), bucket_seconds),
     )
     return totals.select(
         "create_date", "reply_id", "hop", "user_id", (F.col("replies") * REPLY_CENTS).alias("cents")
@@ -74,7 +74,7 @@ def running_reply_scores(credits: DataFrame, slice_seconds: int = DAY_SECONDS) -
 
 
 def running_user_scores(
-    credits: DataFrame, like_totals: DataFrame, slice_seconds: int = DAY_SECONDS
+    credits: DataFrame, like_totals: DataFrame, bucket_seconds: int = BUCKET_SECONDS
 ) -> DataFrame:
     """Running score after every credit and every window's like total; it never resets.
 
@@ -106,7 +106,7 @@ def running_user_scores(
         ["user_id"],
         ["at", "is_like", "reply_id", "hop"],
         {"replies": "one", "likes": "like"},
-        time_slice(F.col("at"), slice_seconds),
+        time_slice(F.col("at"), bucket_seconds),
     )
     return totals.select(
         "at",
@@ -133,11 +133,10 @@ def rank_running(scores: DataFrame, window_hours: int) -> DataFrame:
 def popular_users_running(
     comments: DataFrame,
     window_hours: int,
-    slices: Slices | None = None,
-    slice_seconds: int = DAY_SECONDS,
+    bucket_seconds: int = BUCKET_SECONDS,
 ) -> DataFrame:
     """Ranking by the ever-growing score: ``window_start, rank, user_id, cents``."""
     scores = running_user_scores(
-        reply_credits(comments, slices=slices), like_scores(comments, window_hours), slice_seconds
+        reply_credits(comments, bucket_seconds=bucket_seconds), like_scores(comments, window_hours), bucket_seconds
     )
     return rank_running(scores, window_hours)

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 from glosswell.functions.times import SLOT_MINUTES, days, hour_of_day, hours
 from glosswell.operators.counts import start_rows, window_count, window_sum
 from glosswell.operators.filters import direct_comments
+from glosswell.operators.lookup import BUCKET_SECONDS
 from glosswell.operators.meters import TICK_SECONDS, counts_so_far, one_minute_rates, tick_counts, tick_of
-from glosswell.operators.slices import Slices
 from glosswell.plans.popularity import likes
 from glosswell.plans.threads import reply_credits
 from glosswell.schema import DIRECT
@@ -71,14 +71,14 @@ def like_scores_stamped(comments: DataFrame, window_hours: int) -> DataFrame:
     )
 
 
-def user_stamps(comments: DataFrame, window_hours: int, slices: Slices | None = None) -> DataFrame:
+def user_stamps(comments: DataFrame, window_hours: int, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
     """Latest ingest time behind a user's score, never falling: ``window, user_id, ingest_ts``.
 
     Reduced to one row per user and window before the running maximum, so a user's rows are as
     many as the windows they appear in.
     """
     scored = likes(comments, keep=(STAMP,)).drop("cents")
-    credits = reply_credits(comments, keep=(STAMP,), slices=slices)
+    credits = reply_credits(comments, keep=(STAMP,), bucket_seconds=bucket_seconds)
     rows = scored.unionByName(credits.select("create_date", "user_id", STAMP))
     newest = window_sum(rows, "create_date", hours(window_hours), "user_id", **{STAMP: F.max(STAMP)})
     so_far = (
@@ -114,7 +114,7 @@ def stage_rows(
     article_hours: int = 24,
     slot_days: int = 7,
     user_hours: int = 24,
-    slices: Slices | None = None,
+    bucket_seconds: int = BUCKET_SECONDS,
 ) -> DataFrame:
     """One row per record that enters a window stage behind the input: ``stage, ingest_ts``."""
     like_totals = like_scores_stamped(comments, user_hours)
@@ -124,7 +124,7 @@ def stage_rows(
         _stage(slot_totals_stamped(comments, slot_days), "query2_final_window"),
         _stage(like_totals, "query3_likes"),
         _stage(like_totals, "query3_window"),
-        _stage(reply_credits(comments, keep=(STAMP,), slices=slices), "query3_window"),
+        _stage(reply_credits(comments, keep=(STAMP,), bucket_seconds=bucket_seconds), "query3_window"),
     ]
     rows = parts[0]
     for part in parts[1:]:
@@ -132,9 +132,9 @@ def stage_rows(
     return rows
 
 
-def stage_ticks(comments: DataFrame, slices: Slices | None = None) -> DataFrame:
+def stage_ticks(comments: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
     """Records that enter each window stage per tick: ``stage, tick, n``."""
-    return tick_counts(stage_rows(comments, slices=slices), STAMP)
+    return tick_counts(stage_rows(comments, bucket_seconds=bucket_seconds), STAMP)
 
 
 def throughput(ticks: DataFrame) -> DataFrame:
@@ -206,9 +206,9 @@ def slot_latency(comments: DataFrame, window_days: int, delay_seconds: int = 0)
 
 
 def user_latency(
-    comments: DataFrame, window_hours: int, delay_seconds: int = 1, slices: Slices | None = None
+    comments: DataFrame, window_hours: int, delay_seconds: int = 1, bucket_seconds: int = BUCKET_SECONDS
 ) -> DataFrame:
-    latest = _latest_per_window(user_stamps(comments, window_hours, slices))
+    latest = _latest_per_window(user_stamps(comments, window_hours, bucket_seconds))
     return latencies(latest, closings(comments, hours(window_hours), delay_seconds))
 
 

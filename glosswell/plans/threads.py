@@ -12,27 +12,19 @@ from pyspark.sql import functions as F
 
 from glosswell.functions.scores import REPLY_CENTS
 from glosswell.operators.filters import direct_comments, on_record, replies, second_level
-from glosswell.operators.lookup import latest_version
-from glosswell.operators.slices import ROWS_PER_SLICE, Slices, plan_slices
+from glosswell.operators.lookup import BUCKET_SECONDS, latest_version
 
-def thread_slices(comments: DataFrame, rows_per_slice: int = ROWS_PER_SLICE) -> Slices:
-    """Slices for comments that are answered, or repeated, out of proportion."""
-    answered = replies(comments).select(F.col("in_reply_to").alias("key"), "create_date")
-    recorded = on_record(comments).select(F.col("comment_id").alias("key"), "create_date")
-    return plan_slices(answered.unionByName(recorded), "key", "create_date", rows_per_slice)
 
-
-def author_versions(comments: DataFrame, slices: Slices | None = None) -> DataFrame:
+def author_versions(comments: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
     """Every entry of the author record: ``comment_id, create_date, user_id, parent_user_id``.
 
     The parent is null for direct comments and for replies whose parent was not on record.
     """
-    slices = thread_slices(comments) if slices is None else slices
     first = direct_comments(comments).select("comment_id", "create_date", "user_id")
     second = second_level(comments).select("comment_id", "create_date", "user_id", "in_reply_to")
     known = on_record(comments).select("comment_id", "create_date", "user_id")
     with_parent = latest_version(
-        second, known, "in_reply_to", "comment_id", "create_date", ["user_id"], slices
+        second, known, "in_reply_to", "comment_id", "create_date", ["user_id"], bucket_seconds
     ).select("comment_id", "create_date", "user_id", F.col("found.user_id").alias("parent_user_id"))
     entries = first.withColumn("parent_user_id", F.lit(None).cast("string")).unionByName(with_parent)
     return entries.dropna(subset=["comment_id", "user_id"])
@@ -47,21 +39,20 @@ def latest_authors(entries: DataFrame) -> DataFrame:
 
 
 def reply_credits(
-    comments: DataFrame, keep: tuple[str, ...] = (), slices: Slices | None = None
+    comments: DataFrame, keep: tuple[str, ...] = (), bucket_seconds: int = BUCKET_SECONDS
 ) -> DataFrame:
     """One row per credit: ``reply_id, hop, user_id, cents, create_date`` and the ``keep`` columns.
 
     Hop 1 is the author answered, hop 2 the author one level up. Time is that of the reply.
     """
-    slices = thread_slices(comments) if slices is None else slices
     asked = replies(comments).select(
         F.col("comment_id").alias("reply_id"), "in_reply_to", "create_date", *keep
     )
     # A comment's own parent is looked up once per comment, not once per reply to it: however
     # busy a thread gets, the second hop asks for no comment more often than it is answered.
-    entries = author_versions(comments, slices)
+    entries = author_versions(comments, bucket_seconds)
     resolved = latest_version(
-        asked, entries, "in_reply_to", "comment_id", "create_date", ["user_id", "parent_user_id"], slices
+        asked, entries, "in_reply_to", "comment_id", "create_date", ["user_id", "parent_user_id"], bucket_seconds
     )
     return (
         resolved.where(F.col("found").isNotNull())

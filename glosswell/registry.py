@@ -356,7 +356,7 @@ def _ingest_rejects(spark: SparkSession, folder: str) -> DataFrame:
 
 _SPOILED = """
 spoiled AS (
-  SELECT event_id, event_id % 16 AS variant, epoch_us(ts) // 1000000 AS created,
+  SELECT event_id, event_id % 17 AS variant, epoch_us(ts) // 1000000 AS created,
          epoch_us(ts) // 1000000 + event_id % 600 AS approved,
          CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, event_type, user_id,
          CASE event_type WHEN 'purchase' THEN 2 WHEN 'signup' THEN 3 ELSE 1 END AS depth,
@@ -385,6 +385,7 @@ _register(
     SELECT CASE variant
              WHEN 3 THEN CAST(event_id AS VARCHAR) || ',y'
              WHEN 13 THEN CAST(event_id AS VARCHAR) || ',"y'
+             WHEN 16 THEN NULL
              ELSE concat_ws(',',
                CASE variant WHEN 5 THEN CAST(approved AS VARCHAR) || '.0' WHEN 9 THEN '' ELSE CAST(approved AS VARCHAR) END,
                CAST(k AS VARCHAR),
@@ -396,9 +397,9 @@ _register(
                'section ' || CAST(k % 10 AS VARCHAR), 'user ' || CAST(user_id AS VARCHAR),
                CASE variant WHEN 12 THEN CAST(user_id AS VARCHAR) || 'a' ELSE CAST(user_id AS VARCHAR) END, 'UTC')
            END AS value,
-           CASE variant WHEN 3 THEN 'tokens' WHEN 13 THEN 'tokens' WHEN 5 THEN 'approve_date' WHEN 9 THEN 'approve_date'
+           CASE variant WHEN 3 THEN 'tokens' WHEN 13 THEN 'tokens' WHEN 16 THEN 'tokens' WHEN 5 THEN 'approve_date' WHEN 9 THEN 'approve_date'
              WHEN 6 THEN 'depth' WHEN 8 THEN 'article_word_count' ELSE 'user_id' END AS reason
-    FROM spoiled WHERE variant IN (3, 5, 6, 8, 9, 12, 13)""",
+    FROM spoiled WHERE variant IN (3, 5, 6, 8, 9, 12, 13, 16)""",
 )
 
 
@@ -454,16 +455,72 @@ stage_rows AS (
   UNION ALL SELECT 'query3_window', ingest_us FROM like_stamps
   UNION ALL SELECT 'query3_window', ingest_us FROM credits)"""
 
-# The rate of each tick out of its own and the 168 ticks before it, as a self-join on the tick.
+# The rate of each tick out of its own and all ticks before it, as a self-join on the tick.
 _RATES = """
 SELECT a.stage, a.tick, any_value(a.n) AS n,
        round(sum(b.n * CASE WHEN b.cumulative = b.n THEN 1 ELSE 1 - exp(-5.0 / 60) END
                  * exp((b.tick - a.tick) / 12.0)) / 5, 6) AS rate
-FROM metered a JOIN metered b ON a.stage = b.stage AND b.tick BETWEEN a.tick - 168 AND a.tick
+FROM metered a JOIN metered b ON a.stage = b.stage AND b.tick <= a.tick
 GROUP BY a.stage, a.tick"""
 
 
 
+def _stamped(plan, *args):
+    """A stamped plan with its stamp in milliseconds."""
+
+    def build(spark: SparkSession, folder: str) -> DataFrame:
+        rows = start_rows(plan(read_event_comments(spark, folder), *args))
+        return _epoch(rows.withColumn("ingest_ms", F.unix_millis(reports.STAMP)).drop(reports.STAMP), "window_start")
+
+    return build
+
+
+_STAMPED_SLOTS = f"""
+per_article AS (
+  SELECT {_start(7200)} AS slot_start, article_id, count(*) AS n, min(ingest_us) AS ingest_us
+  FROM comments WHERE depth = 1 GROUP BY 1, 2),
+per_slot AS (
+  SELECT slot_start, CAST((slot_start // 3600) % 24 AS INTEGER) AS hour, CAST(sum(n) AS BIGINT) AS n,
+         max(ingest_us) AS ingest_us
+  FROM per_article GROUP BY 1)"""
+
+_register(
+    "article_counts_stamped_24h",
+    _stamped(reports.article_counts_stamped, 24),
+    f"""WITH {COMMENTS}
+    SELECT {_start(86400)} AS window_start, article_id, count(*) AS n, max(ingest_us) // 1000 AS ingest_ms
+    FROM comments GROUP BY 1, 2""",
+)
+_register(
+    "article_direct_counts_stamped_2h",
+    _stamped(reports.article_direct_counts_stamped),
+    f"""WITH {COMMENTS}, {_STAMPED_SLOTS}
+    SELECT slot_start AS window_start, article_id, n, ingest_us // 1000 AS ingest_ms FROM per_article""",
+)
+_register(
+    "direct_counts_stamped_2h",
+    _stamped(reports.direct_counts_stamped),
+    f"""WITH {COMMENTS}, {_STAMPED_SLOTS}
+    SELECT slot_start AS window_start, hour, n, ingest_us // 1000 AS ingest_ms FROM per_slot""",
+)
+_register(
+    "slot_totals_stamped_7d",
+    _stamped(reports.slot_totals_stamped, 7),
+    f"""WITH {COMMENTS}, {_STAMPED_SLOTS}
+    SELECT (slot_start // 604800) * 604800 AS window_start, hour, CAST(sum(n) AS BIGINT) AS n,
+           max(ingest_us) // 1000 AS ingest_ms
+    FROM per_slot GROUP BY 1, 2""",
+)
+_register(
+    "like_scores_stamped_24h",
+    _stamped(reports.like_scores_stamped, 24),
+    f"""WITH {COMMENTS}
+    SELECT {_start(86400)} AS window_start, user_id, CAST(sum({LIKE_CENTS}) AS BIGINT) AS cents,
+           max(ingest_us) // 1000 AS ingest_ms
+    FROM comments WHERE depth = 1 GROUP BY 1, 2""",
+)
+
+
 def _rates(spark: SparkSession, folder: str) -> DataFrame:
     rates = reports.throughput_rates(reports.input_ticks(read_event_comments(spark, folder)))
     return rates.select("stage", "tick", "n", F.round("rate", 6).alias("rate"))

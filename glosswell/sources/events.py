@@ -61,6 +61,7 @@ LINE_VARIANTS = (
     "odd_quote",
     "header",
     "plain_reply",
+    "null_line",
 )
 
 
@@ -106,6 +107,7 @@ def lines_from_events(events: DataFrame) -> DataFrame:
         .when(variant("few_tokens"), F.concat(F.col("comment_id"), F.lit(",y")))
         .when(variant("extra_tokens"), F.concat(line, F.lit(",zzz")))
         .when(variant("odd_quote"), F.concat(F.col("comment_id"), F.lit(',"y')))
+        .when(variant("null_line"), F.lit(None).cast("string"))
         .when(variant("header"), F.lit("approveDate,articleID,articleWordCount"))
         .otherwise(line)
     )

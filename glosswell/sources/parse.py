@@ -19,9 +19,9 @@ NUMBER = r"\A[+-]?[0-9]+\z"
 USER_ID = r"\A[0-9]+\z"
 HEADER = "approveDate,"
 
-# Seconds a Spark timestamp can show as a date, years 1 to 9999.
-MIN_SECONDS = -62_135_596_800
-MAX_SECONDS = 253_402_300_799
+# Seconds a Spark timestamp, a count of microseconds in 64 bits, can hold.
+MIN_SECONDS = -9_223_372_036_854
+MAX_SECONDS = 9_223_372_036_854
 
 # Fields a token can fail; the other ones are taken as they are.
 CHECKED_FIELDS = [
@@ -86,14 +86,14 @@ def _field(field: T.StructField) -> Column:
 def parse_lines(lines: DataFrame) -> DataFrame:
     """``value``, the typed comment fields, and ``reason``: null for a good line.
 
-    The reason names what failed first: ``tokens`` or a field. Header lines are left out. Works
-    on tables and streams.
+    The reason names what failed first: ``tokens`` or a field. A null line has no tokens. Header
+    lines are left out. Works on tables and streams.
     """
     value = F.col("value")
     line = F.when(F.endswith(value, F.lit("\n")), F.rtrim(value, F.lit("\r\n"))).otherwise(value)
     # The one-element explode and inline pin their results: filters and columns above them use
     # the tokens and fields as they are, where a projection would be merged and work repeated.
-    tokens = lines.where(~value.startswith(HEADER)).select(
+    tokens = lines.where(~F.coalesce(value.startswith(HEADER), F.lit(False))).select(
         "value", F.explode(F.array(split_line(line))).alias("tokens")
     )
     raw = tokens.select(
@@ -111,7 +111,7 @@ def parse_lines(lines: DataFrame) -> DataFrame:
         ),
     )
     typed = raw.select("value", "size", *[_field(f).alias(f.name) for f in COMMENT_SCHEMA.fields])
-    reason = F.when(F.col("size") < len(COMMENT_FIELDS), F.lit("tokens"))
+    reason = F.when(F.col("value").isNull() | (F.col("size") < len(COMMENT_FIELDS)), F.lit("tokens"))
     for name in CHECKED_FIELDS:
         reason = reason.when(F.col(name).isNull(), F.lit(name))
     return typed.select("value", *COMMENT_FIELDS, reason.alias("reason"))
@@ -126,7 +126,3 @@ def rejects_of(parsed: DataFrame) -> DataFrame:
     """The bad lines with the reason."""
     return parsed.where(F.col("reason").isNotNull()).select("value", "reason")
 
-
-def read_comments(lines: DataFrame) -> DataFrame:
-    """Lines straight to comments, rejects dropped."""
-    return comments_of(parse_lines(lines))

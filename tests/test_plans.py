@@ -12,7 +12,6 @@ from glosswell.functions.scores import like_cents, points
 from glosswell.functions.text import pack_author, unpack_author
 from glosswell.operators.meters import ALPHA, one_minute_rates
 from glosswell.operators.running import running_totals, time_slice
-from glosswell.operators.slices import NO_SLICES
 from glosswell.operators.slots import SLOT_COLUMNS
 from glosswell.plans import articles, daytime, popularity, reports, threads
 from glosswell.sources.events import read_event_comments
@@ -36,7 +35,7 @@ def test_lines(spark):
     table = comments(spark, rows)
     assert articles.article_top3_lines(table, 24).first().line == f"{START}, a, 2, b, 2, c, 1"
     assert daytime.slot_lines(table, 1).first().line == f"{START}, 5" + ", 0" * 11
-    users = popularity.user_lines(popularity.popular_users(table, 24, NO_SLICES))
+    users = popularity.user_lines(popularity.popular_users(table, 24))
     assert users.first().line == f"{START}, u0, 0.90, u1, 0.60"
 
 
@@ -76,8 +75,8 @@ def test_slots_roll_up(table):
 def test_ranks_have_no_gaps(table):
     for ranked, k in [
         (articles.article_top3(table, 24), 3),
-        (popularity.popular_users(table, 24, NO_SLICES), 10),
-        (popularity.popular_users_running(table, 24, NO_SLICES), 10),
+        (popularity.popular_users(table, 24), 10),
+        (popularity.popular_users_running(table, 24), 10),
     ]:
         ranks = defaultdict(list)
         for row in ranked.collect():
@@ -86,7 +85,7 @@ def test_ranks_have_no_gaps(table):
 
 
 def test_scores_are_likes_plus_replies(table):
-    credits = threads.reply_credits(table, slices=NO_SLICES)
+    credits = threads.reply_credits(table)
     rows = popularity.likes(table).unionByName(credits.select("create_date", "user_id", "cents"))
     total = popularity.user_scores(rows, 168).agg(F.sum("cents")).first()[0]
     assert total == popularity.likes(table).agg(F.sum("cents")).first()[0] + 70 * credits.count()
@@ -94,7 +93,7 @@ def test_scores_are_likes_plus_replies(table):
 
 def test_running_scores_follow_a_plain_walk(table):
     """Add running reply totals and like totals up, row by row, per user."""
-    credits = threads.reply_credits(table, slices=NO_SLICES)
+    credits = threads.reply_credits(table)
     totals = popularity.like_scores(table, 24)
     rows = [(r.create_date, 0, r.reply_id, r.hop, r.user_id, 70) for r in credits.collect()]
     ends = totals.select(F.window_time("window").alias("at"), "user_id", "cents").collect()
@@ -148,6 +147,19 @@ def test_rates_follow_the_recurrence(spark):
     assert all(math.isclose(got[t], want[t], abs_tol=1e-5) for t in got)
 
 
+def test_rate_forgets_no_burst(spark):
+    """A thousand million rows in one tick still weigh after any number of ticks."""
+    ticks = [(0, 10**9), (169, 1), (1_500, 1), (40_000, 1)]
+    frame = spark.createDataFrame(
+        [("s", t, n, 10**9 + i) for i, (t, n) in enumerate(ticks)], "stage string, tick bigint, n bigint, cumulative bigint"
+    )
+    got = {r.tick: r.rate for r in one_minute_rates(frame).collect()}
+    assert math.isclose(got[169], 2e8 * (1 - ALPHA) ** 169 + ALPHA / 5, rel_tol=1e-9)
+    assert round(got[169], 2) == 153.02
+    assert math.isclose(got[1_500], ALPHA / 5 + 2e8 * math.exp(-125), rel_tol=1e-9)
+    assert got[40_000] == ALPHA / 5
+
+
 def test_input_throughput_counts_every_comment(table):
     last = reports.throughput(reports.input_ticks(table)).groupBy("stage").agg(F.max("cumulative"))
     assert dict(map(tuple, last.collect())) == {
@@ -176,16 +188,16 @@ def plan_of(df):
 
 def test_rankings_limit_rows_before_the_shuffle(table):
     assert plan_of(articles.article_top3(table, 24)).count("WindowGroupLimit") == 2
-    assert plan_of(popularity.popular_users(table, 720, NO_SLICES)).count("WindowGroupLimit") == 2
+    assert plan_of(popularity.popular_users(table, 720)).count("WindowGroupLimit") == 2
 
 
 def test_no_python_and_no_cross_joins_in_table_plans(table):
     for df in (
         articles.article_top3(table, 24),
         daytime.slot_counts(table, 7),
-        popularity.popular_users(table, 24, NO_SLICES),
-        popularity.popular_users_running(table, 24, NO_SLICES),
-        reports.user_latency(table, 24, slices=NO_SLICES),
+        popularity.popular_users(table, 24),
+        popularity.popular_users_running(table, 24),
+        reports.user_latency(table, 24),
     ):
         plan = plan_of(df)
         for word in ("Python", "CartesianProduct", "BroadcastNestedLoop"):

@@ -3,12 +3,11 @@ import random
 import pytest
 from helpers import comment, comments, rows_of
 
-from glosswell.operators.slices import NO_SLICES, Slices, plan_slices
 from glosswell.plans import threads
 
 
-def credits(spark, rows, slices=NO_SLICES):
-    out = threads.reply_credits(comments(spark, rows), slices=slices)
+def credits(spark, rows, *width):
+    out = threads.reply_credits(comments(spark, rows), (), *width)
     return sorted((r.reply_id, r.hop, r.user_id) for r in out.collect())
 
 
@@ -56,7 +55,7 @@ def test_entries_of_the_same_instant_are_visible(spark):
 def test_null_keys_find_nothing(spark):
     rows = [comment("1", 1, "A"), comment("2", 2, "B", None, at=1), comment("3", 3, "C", "2", at=2)]
     assert credits(spark, rows) == [("3", 1, "B")]
-    authors = threads.latest_authors(threads.author_versions(comments(spark, rows), NO_SLICES))
+    authors = threads.latest_authors(threads.author_versions(comments(spark, rows)))
     assert rows_of(authors) == [("1", "A", None), ("2", "B", None)]
 
 
@@ -98,28 +97,24 @@ def fold(rows):
     return sorted(out)
 
 
-def test_hot_comment_in_slices(spark):
-    rows = crowded(500)
-    table = comments(spark, rows)
-    slices = threads.thread_slices(table, rows_per_slice=20)
-    assert len(slices.bounds["hot"]) > 5
-    assert credits(spark, rows, slices) == fold(rows)
-    assert credits(spark, rows, NO_SLICES) == fold(rows)
+@pytest.mark.parametrize("width", [1, 60, 3_600, 86_400, 10**9])
+def test_bucket_width_moves_no_result(spark, width):
+    rows = crowded(400)
+    assert credits(spark, rows, width) == fold(rows)
 
 
-def test_slices_cover_hot_keys_evenly(spark):
-    table = comments(spark, crowded())
-    slices = plan_slices(table, "in_reply_to", "create_date", rows_per_slice=100)
-    counts = (
-        table.where(slices.is_hot(table.in_reply_to))
-        .groupBy("in_reply_to", slices.index(table.in_reply_to, table.create_date).alias("slice"))
-        .count()
-        .collect()
-    )
-    assert len(counts) > 4
-    assert max(r["count"] for r in counts) <= 105
+def test_many_replies_in_one_instant(spark):
+    rows = [comment("1", 1, "A"), comment("1", 1, "B", at=3_599)]
+    rows += [comment(f"r{i}", 2, "C", "1", at=3_600) for i in range(200)]
+    assert credits(spark, rows) == sorted((f"r{i}", 1, "B") for i in range(200))
 
 
-def test_no_slices_without_hot_keys(spark):
-    assert not plan_slices(comments(spark, crowded(50)), "comment_id", "create_date")
-    assert not Slices()
+def test_building_a_plan_runs_no_job(spark):
+    table = comments(spark, crowded(50))
+    spark.sparkContext.setJobGroup("build", "plans only")
+    try:
+        threads.reply_credits(table)
+        threads.latest_authors(threads.author_versions(table))
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("build")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
