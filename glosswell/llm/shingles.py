@@ -7,8 +7,8 @@ of the few rarest shingles of either side, so the product is formed over these c
 are discarded by bounds from sizes and positions, what is left is counted in full.
 
 Only components are wanted, so the pairs of a column are not all formed. Columns take their rows
-against one pivot, then against more, four times as many each round, and leave out what is already
-known to be connected. A group of any number of near copies costs about one pair each; a pair that
+against one pivot, the one with the fewest shingles of its own, then against more each round, and
+leave out what is already known to be connected. A group of any number of near copies costs about one pair each; a pair that
 no chain of links connects is still compared, at the latest when every row has been a pivot.
 """
 
@@ -32,8 +32,11 @@ BLOCK_SHINGLES = 5_000_000
 #: A shingle in this share of all documents is counted beside the blocks; at most 1 / share times
 #: the shingles of a mean document are, and all others are at most this share of a block's rows.
 COMMON_SHARE = 0.005
-#: Pivots of a column in the first round; each round takes four times as many.
-PIVOTS = 1
+#: Copies beyond this share of all documents are left out of the matrix where they arise; at most
+#: 1 / share sets have so many.
+FREQUENT_SHARE = 0.001
+#: Pivots of a column: one, then so many times more each round.
+MORE_PIVOTS = 16
 #: Shingles of each row in the first round, which connects most copies.
 FIRST_SHINGLES = 4
 LOW_BITS = 48
@@ -81,97 +84,116 @@ def outlines(documents: DataFrame, width: int) -> DataFrame:
     return map_rows(documents, work, "doc_id long, n long, a long, b long, common array<struct<key:long,times:long>>", "text")
 
 
-def blocks(documents: DataFrame, width: int, columns: int, common: np.ndarray) -> DataFrame:
-    """col, names, sizes, counts, keys: the matrix by column blocks, a binary each: the sets' names,
-    sizes and numbers of shingles in the block, and the low bits of these shingles. Common shingles
-    are left out."""
-    held = documents.sparkSession.sparkContext.broadcast(common)
+def column_of(found: np.ndarray, columns: int) -> np.ndarray:
+    return ((found >> np.uint64(LOW_BITS)) * np.uint64(columns) >> np.uint64(64 - LOW_BITS)).astype(np.int64)
 
-    def work(part: pa.RecordBatch) -> dict:
+
+def packed(group: np.ndarray, rows: np.ndarray, names: np.ndarray, sizes: np.ndarray, entries: dict[str, np.ndarray]) -> dict:
+    """One row per value of ``group``: the names, sizes and numbers of entries of its sets, and its
+    entries, a binary each. ``rows`` is the set of each entry."""
+    order = np.lexsort((rows, group))
+    group, rows = group[order], rows[order]
+    out: dict = {c: [] for c in ("group", "names", "sizes", "counts", *entries)}
+    cuts = np.flatnonzero(np.diff(group, prepend=-1, append=-1))
+    for begin, end in zip(cuts, cuts[1:]):
+        own, counts = np.unique(rows[begin:end], return_counts=True)
+        out["group"].append(int(group[begin]))
+        out["names"].append(names[own].astype("<i8").tobytes())
+        out["sizes"].append(sizes[own].astype("<i4").tobytes())
+        out["counts"].append(counts.astype("<i4").tobytes())
+        for c, values in entries.items():
+            out[c].append(values[order[begin:end]].tobytes())
+    return out
+
+
+def unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct names, their sizes, the set of each entry, and whether the entry is the first of its
+    kind: a set that occurs in several slices comes several times."""
+    joined = lambda c, kind: np.frombuffer(b"".join(table.column(c).to_pylist()), kind)
+    names, kept, same = np.unique(joined("names", "<i8").reshape(-1, 2), axis=0, return_index=True, return_inverse=True)
+    counts = joined("counts", "<i4")
+    first = np.zeros(len(counts), bool)
+    first[kept] = True
+    return names, joined("sizes", "<i4")[kept], np.repeat(same.reshape(-1), counts), np.repeat(first, counts)
+
+
+class Sets:
+    """The sets of a slice that go into the matrix: one of each name, of frequent ones at most that
+    of the smallest document."""
+
+    def __init__(self, part: pa.RecordBatch, width: int, frequent: dict):
         found, starts = sets_of(part.column("text").to_pylist(), width)
-        names, sizes = prints(found, starts), np.diff(starts).astype("<i4")
-        _, kept = np.unique(names, axis=0, return_index=True)
-        rows = np.repeat(np.arange(len(sizes)), sizes)
-        wanted = np.zeros(len(sizes), bool)
-        wanted[kept] = True
-        wanted = wanted[rows] & ~np.isin(found, held.value)
-        found, rows = found[wanted], rows[wanted]
-        cols = column_of(found, columns)
-        order = np.lexsort((rows, cols))
-        found, rows, cols = found[order], rows[order], cols[order]
-        out: dict = {"col": [], "names": [], "sizes": [], "counts": [], "keys": []}
-        cuts = np.flatnonzero(np.diff(cols, prepend=-1, append=-1))
-        for begin, end in zip(cuts, cuts[1:]):
-            own, counts = np.unique(rows[begin:end], return_counts=True)
-            out["col"].append(int(cols[begin]))
-            out["names"].append(names[own].tobytes())
-            out["sizes"].append(sizes[own].tobytes())
-            out["counts"].append(counts.astype("<i4").tobytes())
-            out["keys"].append(found[begin:end].astype("<u8").view(np.uint8).reshape(-1, 8)[:, : LOW_BITS // 8].tobytes())
-        return out
-
-    return map_rows(documents, work, "col int, names binary, sizes binary, counts binary, keys binary", "text")
+        self.names, self.sizes = prints(found, starts), np.diff(starts)
+        wanted = np.zeros(len(self.sizes), bool)
+        wanted[np.unique(self.names, axis=0, return_index=True)[1]] = True
+        if frequent:
+            for i, (name, doc) in enumerate(zip(map(tuple, self.names.tolist()), part.column("doc_id").to_pylist())):
+                if name in frequent:
+                    wanted[i] = doc == frequent[name]
+        rows = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        self.found, self.rows = found[wanted[rows]], rows[wanted[rows]]
 
 
-def column_of(found: np.ndarray, columns: int) -> np.ndarray:
-    return ((found >> np.uint64(LOW_BITS)) * np.uint64(columns) >> np.uint64(64 - LOW_BITS)).astype(np.int64)
+MATRIX = "group long, names binary, sizes binary, counts binary, keys binary"
 
 
-def counted(table: pa.Table) -> pa.Table:
-    """One column block: the shingles of each set that another set has too, and in how many sets."""
-    joined = lambda c: b"".join(table.column(c).to_pylist())
-    col = table.column("col")[0].as_py()
-    names = np.frombuffer(joined("names"), "<i8").reshape(-1, 2)
-    sizes, counts = (np.frombuffer(joined(c), "<i4") for c in ("sizes", "counts"))
-    raw = np.frombuffer(joined("keys"), np.uint8).reshape(-1, LOW_BITS // 8)
-    keys = np.zeros((len(raw), 8), np.uint8)
-    keys[:, : LOW_BITS // 8] = raw
-    keys = keys.view("<u8")[:, 0]
-    _, kept = np.unique(names, axis=0, return_index=True)
-    once = np.zeros(len(names), bool)
-    once[kept] = True
-    rows = np.repeat(np.arange(len(names), dtype=np.int32), counts)
-    keys, rows = keys[once[rows]], rows[once[rows]]
-    order = np.argsort(keys, kind="stable")
-    keys, rows = keys[order], rows[order]
-    cuts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1], [True]])) if len(keys) else np.zeros(1, np.int64)
-    times = np.repeat(np.diff(cuts), np.diff(cuts))
-    keys, rows, times = (x[times > 1] for x in (keys, rows, times))
-    order = np.argsort(rows, kind="stable")
-    keys, rows, times = keys[order] | np.uint64(col << LOW_BITS), rows[order], times[order].astype("<i8")
-    cuts = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1], [True]])) if len(rows) else np.zeros(1, np.int64)
-    first = rows[cuts[:-1]] if len(rows) else np.zeros(0, np.int64)
-    lists = lambda x: pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.array(x.view("<i8")))
-    return pa.table(
-        {
-            "a": names[first, 0],
-            "b": names[first, 1],
-            "n": sizes[first].astype(np.int64),
-            "keys": lists(keys),
-            "times": lists(times),
-        }
-    )
+def blocks(documents: DataFrame, width: int, columns: int, common: np.ndarray, frequent: dict) -> DataFrame:
+    """The matrix by column blocks (``packed``), with the low bits of shingles as keys. Common
+    shingles are left out."""
+    held = documents.sparkSession.sparkContext.broadcast((common, frequent))
 
+    def work(part: pa.RecordBatch) -> dict:
+        sets = Sets(part, width, held.value[1])
+        rare = ~np.isin(sets.found, held.value[0])
+        found = sets.found[rare]
+        low = found.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : LOW_BITS // 8]
+        return packed(column_of(found, columns), sets.rows[rare], sets.names, sets.sizes, {"keys": low})
+
+    return map_rows(documents, work, MATRIX, "text")
+
+
+def row_block(names: np.ndarray, columns: int) -> np.ndarray:
+    return (names[:, 0].astype(np.uint64) % np.uint64(columns)).astype(np.int64)
+
+
+def counted(columns: int):
+    """Counts a column block: by row blocks, the shingles of each set that another set has too, and
+    in how many sets they are."""
+
+    def work(table: pa.Table) -> pa.Table:
+        names, sizes, rows, first = unpacked(table)
+        raw = np.frombuffer(b"".join(table.column("keys").to_pylist()), np.uint8).reshape(-1, LOW_BITS // 8)
+        keys = np.zeros((int(first.sum()), 8), np.uint8)
+        keys[:, : LOW_BITS // 8] = raw[first]
+        keys, rows = keys.view("<u8")[:, 0], rows[first]
+        order = np.argsort(keys, kind="stable")
+        keys, rows = keys[order], rows[order]
+        cuts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1], [True]])) if len(keys) else np.zeros(1, np.int64)
+        times = np.repeat(np.diff(cuts), np.diff(cuts))
+        keys, rows, times = (x[times > 1] for x in (keys, rows, times))
+        keys = keys | np.uint64(table.column("group")[0].as_py() << LOW_BITS)
+        made = packed(
+            row_block(names, columns)[rows], rows, names, sizes, {"keys": keys.astype("<u8"), "times": times.astype("<i8")}
+        )
+        return pa.table({c: pa.array(v, pa.int64() if c == "group" else pa.binary()) for c, v in made.items()})
 
-def commons(documents: DataFrame, width: int, columns: int, common: np.ndarray, times: np.ndarray) -> DataFrame:
-    """a, b, n, keys, times: the common shingles of each set, as ``counted`` gives the others."""
-    held = documents.sparkSession.sparkContext.broadcast((common, times))
+    return work
+
+
+def commons(documents: DataFrame, width: int, columns: int, common: np.ndarray, times: np.ndarray, frequent: dict) -> DataFrame:
+    """The common shingles of each set, as ``counted`` gives the others."""
+    held = documents.sparkSession.sparkContext.broadcast((common, times, frequent))
 
     def work(part: pa.RecordBatch) -> dict:
-        shingles, known = held.value
-        found, starts = sets_of(part.column("text").to_pylist(), width)
-        names, sizes = prints(found, starts), np.diff(starts)
-        at = np.minimum(np.searchsorted(shingles, found), max(0, len(shingles) - 1))
-        hit = shingles[at] == found if len(shingles) else np.zeros(len(found), bool)
-        rows = np.repeat(np.arange(len(sizes)), sizes)[hit]
-        _, kept = np.unique(names, axis=0, return_index=True)
-        own = np.intersect1d(np.unique(rows), kept)
-        keys = (found[hit] & np.uint64((1 << LOW_BITS) - 1)) | (column_of(found[hit], columns) << LOW_BITS).astype(np.uint64)
-        cuts = np.searchsorted(rows, own), np.searchsorted(rows, own, "right")
-        pick = lambda x: [x[a:b] for a, b in zip(*cuts)]
-        return {"a": names[own, 0], "b": names[own, 1], "n": sizes[own], "keys": pick(keys.astype(np.int64)), "times": pick(known[at[hit]])}
+        shingles, known, frequent = held.value
+        sets = Sets(part, width, frequent)
+        hit = np.isin(sets.found, shingles)
+        found, rows = sets.found[hit], sets.rows[hit]
+        keys = (found & np.uint64((1 << LOW_BITS) - 1)) | (column_of(found, columns) << LOW_BITS).astype(np.uint64)
+        entries = {"keys": keys.astype("<u8"), "times": known[np.searchsorted(shingles, found)].astype("<i8")}
+        return packed(row_block(sets.names, columns)[rows], rows, sets.names, sets.sizes, entries)
 
-    return map_rows(documents, work, "a long, b long, n long, keys array<long>, times array<long>", "text")
+    return map_rows(documents, work, f"{MATRIX}, times binary", "text")
 
 
 def needed(size: int, percent: int) -> int:
@@ -179,24 +201,31 @@ def needed(size: int, percent: int) -> int:
     return -(-percent * size // 100)
 
 
-def candidates_of(parts: DataFrame, percent: int) -> DataFrame:
-    """a, b, n, keys, prefix: sets whose rarest shingles are not all their own. ``keys`` are those of
-    other sets too, in order; ``prefix`` the rarest of them that a similar set has to share one of."""
+def candidates_of(percent: int):
+    """Puts a row block together: sets whose rarest shingles are not all their own. ``keys`` are those
+    of other sets too, the rarest first; ``prefix`` the first of them, of which a similar set has to
+    share one."""
 
-    def work(part: pa.RecordBatch) -> dict:
+    def work(table: pa.Table) -> pa.Table:
+        names, sizes, rows, _ = unpacked(table)
+        keys, times = (np.frombuffer(b"".join(table.column(c).to_pylist()), "<i8") for c in ("keys", "times"))
+        order = np.lexsort((keys, times, rows))
+        rows, keys = rows[order], keys[order]
+        once = np.ones(len(rows), bool)
+        once[1:] = (rows[1:] != rows[:-1]) | (keys[1:] != keys[:-1])
+        rows, keys = rows[once], keys[once]
         out: dict = {"a": [], "b": [], "n": [], "keys": [], "prefix": []}
-        for a, b, n, parts in zip(*(part.column(c).to_pylist() for c in ("a", "b", "n", "parts"))):
-            keys = np.concatenate([np.array(p["keys"], np.int64) for p in parts])
-            times = np.concatenate([np.array(p["times"], np.int64) for p in parts])
-            own = n - len(keys)  # come first
-            prefix = keys[np.lexsort((keys, times))][: max(0, n - needed(n, percent) + 1 - own)]
-            if len(prefix):
-                for c, v in zip(out, (a, b, n, keys, prefix)):
+        cuts = np.searchsorted(rows, np.arange(len(names) + 1))
+        for (a, b), n, begin, end in zip(names.tolist(), sizes.tolist(), cuts, cuts[1:]):
+            own = n - int(end - begin)  # come first
+            length = n - needed(n, percent) + 1 - own
+            if length > 0:
+                held = keys[begin:end]
+                for c, v in zip(out, (a, b, n, held, held[:length])):
                     out[c].append(v)
-        return out
+        return pa.table({c: pa.array(v, pa.int64() if c in "abn" else pa.list_(pa.int64())) for c, v in out.items()})
 
-    gathered = parts.groupBy("a", "b", "n").agg(F.collect_list(F.struct("keys", "times")).alias("parts"))
-    return map_rows(gathered, work, "a long, b long, n long, keys array<long>, prefix array<long>")
+    return work
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -219,11 +248,16 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def linked(sets: DataFrame, percent: int) -> DataFrame:
     """id, component of the sets (id, n, keys, prefix) that are similar to another one, directly or by a chain."""
     known = sets.select("id", F.col("id").alias("component"))
-    columns = ["id", "n", "component", "shared", "at"]
-    low, high, width = 0, PIVOTS, FIRST_SHINGLES
+    columns = ["own", "id", "n", "component", "shared", "at"]
+    low, high, width = 0, 1, FIRST_SHINGLES
     while True:
         rows = sets.join(known, "id").select(
-            "id", "n", "component", F.size("keys").alias("shared"), F.posexplode(F.slice("prefix", 1, width)).alias("at", "key")
+            (F.col("n") - F.size("keys")).alias("own"),
+            "id",
+            "n",
+            "component",
+            F.size("keys").alias("shared"),
+            F.posexplode(F.slice("prefix", 1, width)).alias("at", "key"),
         )
         # Columns whose rows are not all connected yet.
         open_keys = (
@@ -235,23 +269,21 @@ def linked(sets: DataFrame, percent: int) -> DataFrame:
         if open_keys.isEmpty():
             if width != FIRST_SHINGLES:
                 return known
-            low, high, width = 0, PIVOTS, 1 << 30
+            low, high, width = 0, 1, 1 << 30
             continue
         live = rows.join(open_keys.select("key"), "key", "left_semi")
         if high == 1:
             ranked = live.groupBy("key").agg(F.min(F.struct(*columns)).alias("p")).select("key", "p.*")
         else:
-            place = F.row_number().over(Window.partitionBy("key").orderBy("id"))
+            place = F.row_number().over(Window.partitionBy("key").orderBy("own", "id"))
             ranked = live.withColumn("place", place).where((F.col("place") <= high) & (F.col("place") > low)).drop("place")
         pivots = ranked.select("key", *(F.col(c).alias(f"p_{c}") for c in columns))
         pairs = (
             live.join(pivots, "key")
-            .where("id > p_id and component <> p_component")
+            .where("(own > p_own or own = p_own and id > p_id) and component <> p_component")
             .where(f"100 * least(n, p_n) >= {percent} * greatest(n, p_n)")
-            # What both have up to this shingle, and what can follow it, has to reach the overlap.
-            .where(
-                f"least(at, p_at) + least(shared - at, p_shared - p_at) >= ceil({percent} * (n + p_n) / {100 + percent})"
-            )
+            # For the first shingle that both have, all they can share is what follows it in both.
+            .where(f"{100 + percent} * least(shared - at, p_shared - p_at) >= {percent} * (n + p_n)")
             .select(F.col("p_id").alias("low"), F.col("id").alias("high"))
             .distinct()
         )
@@ -267,9 +299,9 @@ def linked(sets: DataFrame, percent: int) -> DataFrame:
                 "components",
             )
         if width == FIRST_SHINGLES:
-            low, high, width = 0, PIVOTS, 1 << 30
+            low, high, width = 0, 1, 1 << 30
         else:
-            low, high = high, 4 * high
+            low, high = high, MORE_PIVOTS * high
 
 
 def near_duplicates(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -287,7 +319,7 @@ def near_duplicates(documents: DataFrame, width: int = WIDTH, percent: int = PER
     documents = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     outline = written(outlines(documents, width), "outlines")
     docs = outline.select("doc_id", "n", "a", "b")
-    classes = docs.where("n > 0").groupBy("a", "b", "n").agg(F.min("doc_id").alias("first"))
+    classes = docs.where("n > 0").groupBy("a", "b", "n").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
     total = classes.agg(F.sum("n"), F.count("*")).first()
     columns = max(1, min(1 << 16, math.ceil((total[0] or 0) / BLOCK_SHINGLES)))
     common = (
@@ -300,17 +332,19 @@ def near_duplicates(documents: DataFrame, width: int = WIDTH, percent: int = PER
     pairs = sorted((r.key % (1 << 64), r.times) for r in common)
     keys, times = np.array([k for k, _ in pairs], np.uint64), np.array([t for _, t in pairs], np.int64)
 
-    parts = (
-        blocks(documents, width, columns, keys)
-        .groupBy("col")
-        .applyInArrow(counted, "a long, b long, n long, keys array<long>, times array<long>")
-        .union(
-            commons(documents, width, columns, keys, times)
-            .groupBy("a", "b", "n")
-            .agg(F.first("keys").alias("keys"), F.first("times").alias("times"))
-        )
+    often = classes.where(F.col("copies") >= max(2.0, FREQUENT_SHARE * outline.count())).select("a", "b", "first").collect()
+    frequent = {(r.a, r.b): r.first for r in often}
+
+    matrix = (
+        blocks(documents, width, columns, keys, frequent)
+        .groupBy("group")
+        .applyInArrow(counted(columns), f"{MATRIX}, times binary")
+        .union(commons(documents, width, columns, keys, times, frequent))
+    )
+    found = matrix.groupBy("group").applyInArrow(
+        candidates_of(percent), "a long, b long, n long, keys array<long>, prefix array<long>"
     )
-    sets = written(candidates_of(parts, percent).withColumn("id", F.monotonically_increasing_id()), "sets")
+    sets = written(found.withColumn("id", F.monotonically_increasing_id()), "sets")
     known = linked(sets, percent)
     named = sets.select("id", "a", "b").join(known, "id").join(classes.select("a", "b", "first"), ["a", "b"])
     smallest = named.groupBy("component").agg(F.min("first").alias("smallest"))

@@ -195,6 +195,7 @@ def test_groups_across_blocks_and_pivot_rounds(spark, monkeypatch):
     """Small blocks, and columns whose rows the first pivots do not connect."""
     monkeypatch.setattr(shingles, "BLOCK_SHINGLES", 300)
     monkeypatch.setattr(shingles, "COMMON_SHARE", 1.0)
+    monkeypatch.setattr(shingles, "MORE_PIVOTS", 2)
     shared = prose("shared", 30, 3000).split()
     texts = [" ".join([*shared, *prose(f"own{i // 2}", 9 + i % 2, 3000).split()]) for i in range(30)]
     got = sorted(rows_of(shingles.near_duplicates(docs(spark, texts)), "doc_id", "n_shingles", "component_id"))
