@@ -10,6 +10,7 @@ curve over them, with its threshold, is calibrated on labelled documents.
 from __future__ import annotations
 
 import math
+import random
 import re
 from dataclasses import dataclass
 
@@ -27,8 +28,8 @@ WORDS = re.compile(r"[^\W\d_]+")
 class Settings:
     """Sizes are in bytes. The last three bound what is learned from, whatever the input."""
 
-    window: int = 96
-    ordinary_size: int = 16_384
+    window: int = 64
+    ordinary_size: int = 32_768
     toxic_size: int = 4_096
     level: int = 3
     #: A word marks toxic text if it is in this share of toxic documents, so many times the ordinary share.
@@ -54,16 +55,34 @@ def windows(text: str | None, size: int) -> list[bytes]:
     return out
 
 
-def trained(samples: list[bytes], size: int) -> bytes:
+#: Fixed value of the format: what ends the head of a trained dictionary.
+HEAD_END = bytes([1, 0, 0, 0, 4, 0, 0, 0, 8, 0, 0, 0])
+
+
+def trained(samples: list[bytes], size: int, **how: int) -> bytes:
     """A dictionary of about ``size`` bytes; too few samples are their own dictionary."""
     import zstandard
 
     try:
-        return zstandard.train_dictionary(size, samples).as_bytes()
+        return zstandard.train_dictionary(size, samples, **how).as_bytes()
     except zstandard.ZstdError:
         return b"".join(samples)[:size]
 
 
+def contents(dictionary: bytes) -> bytes:
+    """A dictionary without its head, which describes its own coding."""
+    return dictionary.split(HEAD_END, 1)[-1]
+
+
+def toxic_contents(marks: list[tuple[str, int]], most: int, size: int) -> bytes:
+    """A dictionary of words, each as often as documents hold it, in a fixed random order. A few words
+    make a sample: the trainer looks for segments longer than one."""
+    share = min(1.0, most / max(1, sum(n for _, n in marks)))
+    words = [f" {w} ".encode() for w, n in marks for _ in range(max(1, int(n * share)))]
+    random.Random(1).shuffle(words)
+    return contents(trained([b"".join(words[i : i + 6]) for i in range(0, len(words), 6)], size, k=24, d=8))
+
+
 def compressor(dictionary: bytes, level: int):
     import zstandard
 
@@ -176,12 +195,9 @@ def train(documents: DataFrame, labels: DataFrame, settings: Settings = Settings
         .limit(settings.ordinary_windows)
         .toLocalIterator()
     ]
-    share = min(1.0, settings.toxic_samples / max(1, sum(r.toxic for r in marks)))
-    samples = [f" {r.word} ".encode() for r in marks for _ in range(max(1, int(r.toxic * share)))]
     model = Model(
         trained([bytes(x) for x in ordinary], settings.ordinary_size),
-        # Only the contents: the head of a dictionary describes its own coding.
-        trained(samples, settings.toxic_size)[256 if len(b"".join(samples)) > settings.toxic_size else 0 :],
+        toxic_contents([(r.word, r.toxic) for r in marks], settings.toxic_samples, settings.toxic_size),
         settings,
     )
 
