@@ -28,7 +28,7 @@ from glosswell.llm.common import map_rows
 #: Fixed value: how byte-level BPE cuts text into words.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words whose encodings a worker remembers before it starts anew; bounds memory, never results.
-REMEMBERED_WORDS = 500_000
+REMEMBERED_WORDS = 400_000
 REMEMBERED_LENGTH = 64
 NEVER = 1 << 40
 #: The same cut for texts of these characters alone, by the faster standard module.
@@ -73,7 +73,7 @@ class Encoder:
         self.words = regex.compile(WORDS)
         self.marks = regex.compile("(" + "|".join(regex.escape(s) for s in special) + ")") if special else None
         self.known: dict[str, list[int]] = {}
-        self.follows: dict[tuple[int, int], bool] = {}
+        self.follows: dict[int, bool] = {}
         self.whole: dict[int, bool] = {}
 
     def spine(self, token: int, side: int) -> list[tuple[int, int]]:
@@ -132,9 +132,9 @@ class Encoder:
                     if (token := ids_of(raw[start:end])) is None:
                         continue
                     if start:
-                        key = (path[start], token)
+                        key = path[start] << 32 | token
                         if (fits := follows.get(key)) is None:
-                            fits = follows[key] = self.may_follow(*key)
+                            fits = follows[key] = self.may_follow(path[start], token)
                     elif (fits := self.whole.get(token)) is None:
                         fits = self.whole[token] = self.stands_alone(token)
                     if fits:
@@ -175,7 +175,7 @@ class Encoder:
             for w in new:
                 if len(w) > REMEMBERED_LENGTH:
                     del self.known[w]
-        if len(self.follows) > 2 * REMEMBERED_WORDS:
+        if len(self.follows) > REMEMBERED_WORDS:
             self.follows.clear()
         return out
 

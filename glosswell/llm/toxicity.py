@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glosswell.llm.common import held_out, map_rows
+from glosswell.llm.common import held_out, map_rows, written
 
 WORDS = re.compile(r"[^\W\d_]+")
 
@@ -162,8 +162,13 @@ def train(documents: DataFrame, labels: DataFrame, settings: Settings = Settings
     known = (
         documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
         .where(~held_out(F.col("doc_id")) & F.col("text").isNotNull())
-        .join(labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int")).where("toxic in (0, 1)"), "doc_id")
+        # Joined in the same way at every size, and once for the four passes below.
+        .join(
+            labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int")).where("toxic in (0, 1)").hint("merge"),
+            "doc_id",
+        )
     )
+    known = written(known, "labelled")
 
     def words(part: pa.RecordBatch) -> dict:
         found = [sorted(set(WORDS.findall(t.lower()))) for t in part.column("text").to_pylist()]
