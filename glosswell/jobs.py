@@ -52,9 +52,13 @@ def start_stream(query: str, comments: DataFrame, size: int, out: str, checkpoin
         report = lambda batch: daytime.row_lines(batch, daytime.SLOT_COLUMNS)
         return [each_batch(slots, report, out, f"{checkpoint}/daytime").start()]
 
-    credits_path = f"{out}_credits"
-    credit_rows = live_threads.reply_credits(comments)
-    steps = [append_table(credit_rows, credits_path, f"{checkpoint}/credits").start()]
+    entries_path, credits_path = f"{out}_entries", f"{out}_credits"
+    entry_rows = live_threads.author_entries(bounded(comments))
+    steps = [append_table(entry_rows, entries_path, f"{checkpoint}/entries").start()]
+    # All entries and credits there are go into the next batch: files of one batch have no order.
+    entries = bounded(spark.readStream.schema(entry_rows.schema).parquet(entries_path))
+    credit_rows = live_threads.reply_credits(bounded(comments), entries)
+    steps.append(append_table(credit_rows, credits_path, f"{checkpoint}/credits").start())
     credits = bounded(spark.readStream.schema(credit_rows.schema).parquet(credits_path))
     if query == "users":
         scores = live.window_scores(bounded(comments), credits, size)

@@ -1,125 +1,165 @@
-"""Reply credits on a stream.
+"""Reply credits on a stream, equal to those of the table plan whatever a micro-batch holds.
 
-The author record is keyed state: a comment's entry lives in the partition of its id, and a
-reply is sent there to be answered. A micro-batch costs what it contains, never the size of the
-record. Two hops make two such steps in a row, first parents of replies on record, then credits.
+The author record is keyed state: the entries of a comment id, each with its time, live in the
+partition of the id, and a reply is sent there to be answered. A reply waits until the watermark
+has passed it; then the newest entry not younger than the reply answers, in whatever order both came
+in. Two hops make two steps with a table between them: entries with their parent's author, then
+credits. Entries leave the first step in the order of the watermark, so the second step's own
+watermark over that table says up to when it is complete.
 
-A reply sees the entries of earlier batches and, inside its batch, those not younger than itself.
-No row is dropped for being late; that happens only where windows are formed.
+No row is dropped for being late: a late entry answers what is asked after it, a late reply is answered
+with the next watermark. Time goes into the state as a number, so that nothing is filtered by it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from glosswell.functions.scores import REPLY_CENTS
-from glosswell.operators.filters import direct_comments, on_record, replies
-from glosswell.schema import REPLY
+from glosswell.schema import DIRECT, REPLY
+from glosswell.streaming.watermarks import behind
 
-ENTRY_TYPE = "user_id string, parent_user_id string"
 ENTRIES_TYPE = "comment_id string, create_date timestamp, user_id string, parent_user_id string"
-CREDITS_TYPE = "reply_id string, hop int, user_id string, cents bigint, create_date timestamp"
+CREDITS_TYPE = (
+    "reply_id string, hop int, user_id string, cents bigint, create_date timestamp, ingest_ts timestamp"
+)
+EPOCH = datetime(1970, 1, 1, tzinfo=timezone.utc)
 
+# What a row does at its key: it is an entry, it asks for one, or it only waits its turn.
+OFFERS, ASKS, WAITS = 0, 1, 2
+
+
+def _instant(micros: int | None) -> datetime | None:
+    return None if micros is None else EPOCH + timedelta(microseconds=micros)
 
-class _Answers(StatefulProcessor):
-    """Keeps the last entry of a key and answers the rows that ask for it, in event order."""
 
-    def __init__(self, ttl_ms: int | None = None):
-        self.ttl_ms = ttl_ms
+class _Answers(StatefulProcessor):
+    """Keeps the entries of a key by time and answers the rows that ask once the watermark passes them."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.entry = handle.getValueState("entry", ENTRY_TYPE, self.ttl_ms)
+        self.handle = handle
+        self.entries = handle.getListState("entries", "at_us bigint, user_id string, parent_user_id string")
+        self.waiting = handle.getListState(
+            "waiting", "at_us bigint, role int, comment_id string, user_id string, stamp_us bigint"
+        )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        stored = self.entry.get() if self.entry.exists() else None
-        known = stored
-        for row in sorted(rows, key=_event_order):
-            if row.asks:
-                yield from self.answer(row, known)
+        now = timerValues.getCurrentWatermarkInMs()
+        offered, asked = [], []
+        for r in rows:
+            if r.role == OFFERS:
+                offered.append((r.at_us, r.user_id, r.parent_user_id))
             else:
-                known = (row.user_id, row.parent_user_id)
-        if known is not stored:
-            self.entry.update(known)
-
-    def answer(self, row: Row, entry) -> Iterator[Row]:
+                asked.append((r.at_us, r.role, r.comment_id, r.user_id, r.stamp_us))
+        if offered:
+            self.entries.appendList(offered)
+        if asked:
+            self.waiting.appendList(asked)
+            # One timer per second is enough: each takes all rows the watermark has passed.
+            for second in {max(at_us // 1_000_000 * 1_000, now) + 1_000 for at_us, *_ in asked}:
+                self.handle.registerTimer(second)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        passed_us = timerValues.getCurrentWatermarkInMs() * 1_000
+        ready, later = [], []
+        for row in self.waiting.get() if self.waiting.exists() else ():
+            (ready if row[0] < passed_us else later).append(tuple(row))
+        if not ready:
+            return
+        if later:
+            self.waiting.put(later)
+        else:
+            self.waiting.clear()
+        held = self.entries.get() if self.entries.exists() else ()
+        entries = sorted((tuple(e) for e in held), key=lambda e: (e[0], e[1] or "", e[2] or ""))
+        seen = 0
+        for row in sorted(ready, key=lambda r: (r[0], r[2] or "")):
+            while seen < len(entries) and entries[seen][0] <= row[0]:
+                seen += 1
+            yield from self.answer(row, entries[seen - 1] if seen else None)
+
+    def answer(self, row: tuple, entry: tuple | None) -> Iterator[Row]:
         raise NotImplementedError
 
     def close(self) -> None:
         pass
 
 
-def _event_order(row: Row) -> tuple:
-    return (row.create_date, row.asks, row.comment_id or "", row.user_id or "")
-
-
 class ParentAnswers(_Answers):
-    """Entry of a second-level comment, with its parent's author where that is on record."""
+    """Entry of a comment, with its parent's author where it answers one on record."""
 
-    def answer(self, row: Row, entry) -> Iterator[Row]:
-        parent = entry[0] if entry else None
-        yield Row(
-            comment_id=row.comment_id, create_date=row.create_date, user_id=row.user_id, parent_user_id=parent
-        )
+    def answer(self, row: tuple, entry: tuple | None) -> Iterator[Row]:
+        at_us, role, comment_id, user_id, _ = row
+        parent = entry[1] if entry and role == ASKS else None
+        yield Row(comment_id=comment_id, create_date=_instant(at_us), user_id=user_id, parent_user_id=parent)
 
 
 class CreditAnswers(_Answers):
     """Credits of a reply: the author answered and, one level up, the parent's author."""
 
-    def answer(self, row: Row, entry) -> Iterator[Row]:
-        for hop, user in enumerate(entry or (), start=1):
+    def answer(self, row: tuple, entry: tuple | None) -> Iterator[Row]:
+        at_us, _, comment_id, _, stamp_us = row
+        for hop, user in enumerate(entry[1:] if entry else (), start=1):
             if user is not None:
                 yield Row(
-                    reply_id=row.comment_id,
+                    reply_id=comment_id,
                     hop=hop,
                     user_id=user,
                     cents=REPLY_CENTS,
-                    create_date=row.create_date,
+                    create_date=_instant(at_us),
+                    ingest_ts=_instant(stamp_us),
                 )
 
 
-def _roles(key, asks: bool, parent=None):
+def _role(key: Column, role: int, parent: Column | None = None, stamp: Column | None = None) -> Column:
+    none = F.lit(None)
     return F.struct(
         key.alias("key"),
-        F.lit(asks).alias("asks"),
+        F.lit(role).alias("role"),
         F.col("comment_id").alias("comment_id"),
-        F.col("create_date").alias("create_date"),
+        F.unix_micros("create_date").alias("at_us"),
         F.col("user_id").alias("user_id"),
-        (F.lit(None).cast("string") if parent is None else parent).alias("parent_user_id"),
+        (none.cast("string") if parent is None else parent).alias("parent_user_id"),
+        (none.cast("bigint") if stamp is None else F.unix_micros(stamp)).alias("stamp_us"),
     )
 
 
 def _keyed(rows: DataFrame, processor: StatefulProcessor, output: str) -> DataFrame:
     return rows.groupBy("key").transformWithState(
-        statefulProcessor=processor, outputStructType=output, outputMode="Append", timeMode=_time_mode(processor)
+        statefulProcessor=processor, outputStructType=output, outputMode="Append", timeMode="EventTime"
     )
 
 
-def _time_mode(processor: _Answers) -> str:
-    return "ProcessingTime" if processor.ttl_ms else "None"
+def author_entries(comments: DataFrame) -> DataFrame:
+    """Stream of author entries: ``comment_id, create_date, user_id, parent_user_id``.
 
-
-def author_entries(comments: DataFrame, ttl_ms: int | None = None) -> DataFrame:
-    """Stream of author entries: ``comment_id, create_date, user_id, parent_user_id``."""
-    known = on_record(comments)
-    second = F.col("depth") == REPLY
-    offers = _roles(F.col("comment_id"), asks=False)
-    asks = _roles(F.col("in_reply_to"), asks=True)
-    roles = known.select(F.inline(F.when(second, F.array(offers, asks)).otherwise(F.array(offers))))
-    with_parent = _keyed(roles, ParentAnswers(ttl_ms), ENTRIES_TYPE)
-    first = direct_comments(comments).select(
-        "comment_id", "create_date", "user_id", F.lit(None).cast("string").alias("parent_user_id")
+    ``comments`` is watermarked. Every entry comes once the watermark has passed it.
+    """
+    offers = _role(F.col("comment_id"), OFFERS)
+    first = _role(F.col("comment_id"), WAITS)
+    second = _role(F.col("in_reply_to"), ASKS)
+    roles = comments.where(behind(F.col("depth").isin(DIRECT, REPLY))).select(
+        F.inline(F.array(offers, F.when(F.col("depth") == REPLY, second).otherwise(first)))
     )
-    return first.unionByName(with_parent)
+    return _keyed(roles, ParentAnswers(), ENTRIES_TYPE).dropna(subset=["comment_id", "user_id"])
+
 
+def reply_credits(comments: DataFrame, entries: DataFrame) -> DataFrame:
+    """Stream of credits: ``reply_id, hop, user_id, cents, create_date, ingest_ts``.
 
-def reply_credits(comments: DataFrame, ttl_ms: int | None = None) -> DataFrame:
-    """Stream of credits: ``reply_id, hop, user_id, cents, create_date``."""
-    offers = author_entries(comments, ttl_ms).select(
-        F.inline(F.array(_roles(F.col("comment_id"), asks=False, parent=F.col("parent_user_id"))))
+    ``comments`` and ``entries``, the table that ``author_entries`` is written to read as a stream,
+    are both watermarked. Each micro-batch has to take all entries there are: files of one batch of
+    entries are not in order among themselves. ``ingest_ts`` is the reply's, null where it has none.
+    """
+    offers = entries.select(
+        F.inline(F.array(_role(F.col("comment_id"), OFFERS, parent=F.col("parent_user_id"))))
     )
-    asks = replies(comments).select(F.inline(F.array(_roles(F.col("in_reply_to"), asks=True))))
-    return _keyed(offers.unionByName(asks), CreditAnswers(ttl_ms), CREDITS_TYPE)
+    stamp = F.col("ingest_ts") if "ingest_ts" in comments.columns else None
+    asks = comments.where(behind(F.col("depth") != DIRECT)).select(F.inline(F.array(_role(F.col("in_reply_to"), ASKS, stamp=stamp))))
+    return _keyed(offers.unionByName(asks), CreditAnswers(), CREDITS_TYPE)
