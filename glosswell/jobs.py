@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from glosswell.plans import articles, daytime, popularity, reports
 from glosswell.session import checkpoint_root, prepare, use_state_store
-from glosswell.sinks.files import append_table, each_batch, write_lines, write_table
-from glosswell.sources.lines import TOPIC, kafka_lines, read_lines, stream_kafka_lines, stream_lines
+from glosswell.sinks.files import append_table, each_batch, each_batch_parts, write_lines, write_table
+from glosswell.sources.lines import kafka_lines, read_lines, stream_kafka_lines, stream_lines
 from glosswell.sources.parse import comments_of, parse_lines, rejects_of
 from glosswell.streaming import metrics, popularity as live, threads as live_threads
 from glosswell.streaming.watermarks import ascending, bounded
@@ -95,7 +95,7 @@ def main(argv: list[str] | None = None) -> None:
     source.add_argument("--lines", help="text files of comment lines")
     source.add_argument("--comments", help="parquet table of comments, as written by ingest")
     source.add_argument("--kafka", help="bootstrap servers")
-    parser.add_argument("--topic", default=TOPIC)
+    parser.add_argument("--topic", help="topic of comment lines, needed with --kafka")
     parser.add_argument("--size", type=int)
     parser.add_argument("--out", required=True)
     parser.add_argument("--stream", action="store_true")
@@ -107,6 +107,12 @@ def main(argv: list[str] | None = None) -> None:
         help="most messages (Kafka) or files a micro-batch takes; bounds what one key can bring at once",
     )
     args = parser.parse_args(argv)
+    if args.kafka and not args.topic:
+        parser.error("--kafka needs --topic")
+    if args.query == "ingest" and (args.comments or args.latency or args.size):
+        parser.error("ingest takes lines or a topic, and neither --latency nor --size")
+    if args.query == "running" and args.latency:
+        parser.error("--latency reports articles, daytime and users")
 
     spark = prepare(SparkSession.builder.appName(f"glosswell-{args.query}").getOrCreate())
     size = args.size or DEFAULT_SIZES.get(args.query)
@@ -115,6 +121,10 @@ def main(argv: list[str] | None = None) -> None:
         checkpoint = args.checkpoint or checkpoint_root(spark)
         if not checkpoint:
             parser.error("--checkpoint is needed where spark.checkpoint.dir is not set")
+        if args.query == "ingest":
+            start_ingest(parse_lines(_stream_lines(spark, args)), args.out, f"{checkpoint}/ingest").start()
+            spark.streams.awaitAnyTermination()
+            return
         comments = _stream_comments(spark, args)
         if args.latency:
             start_latency(args.query, comments, size, args.out, checkpoint)
@@ -122,12 +132,26 @@ def main(argv: list[str] | None = None) -> None:
             start_stream(args.query, comments, size, args.out, checkpoint)
         spark.streams.awaitAnyTermination()
     elif args.query == "ingest":
-        parsed = parse_lines(_lines(spark, args))
-        write_table(comments_of(parsed), f"{args.out}/comments")
-        write_table(rejects_of(parsed), f"{args.out}/rejects")
+        ingest(spark, args, args.out)
     else:
-        comments = spark.read.parquet(args.comments) if args.comments else comments_of(parse_lines(_lines(spark, args)))
-        write_lines(table_report(args.query, comments, size), args.out)
+        # Lines are read and parsed once, into tables beside the result; the query reads those.
+        comments = args.comments or ingest(spark, args, f"{args.out}_ingest")
+        write_lines(table_report(args.query, spark.read.parquet(comments), size), args.out)
+
+
+def ingest(spark: SparkSession, args, out: str) -> str:
+    """Lines to a table of comments and one of rejects; the path of the first. One scan, one parse."""
+    parsed = f"{out}/parsed"
+    write_table(parse_lines(_lines(spark, args)), parsed)
+    rows = spark.read.parquet(parsed)
+    write_table(comments_of(rows), f"{out}/comments")
+    write_table(rejects_of(rows), f"{out}/rejects")
+    return f"{out}/comments"
+
+
+def start_ingest(parsed: DataFrame, out: str, checkpoint: str):
+    """The same as a stream: each micro-batch is parsed once."""
+    return each_batch_parts(parsed, {f"{out}/comments": comments_of, f"{out}/rejects": rejects_of}, checkpoint)
 
 
 def _lines(spark: SparkSession, args) -> DataFrame:
@@ -135,16 +159,18 @@ def _lines(spark: SparkSession, args) -> DataFrame:
 
 
 def _stream_comments(spark: SparkSession, args) -> DataFrame:
-    files = args.per_trigger or FILES_PER_TRIGGER
     if args.comments:
+        files = args.per_trigger or FILES_PER_TRIGGER
         schema = spark.read.parquet(args.comments).schema
         return spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(args.comments)
+    return comments_of(parse_lines(_stream_lines(spark, args)))
+
+
+def _stream_lines(spark: SparkSession, args) -> DataFrame:
     if args.kafka:
         messages = args.per_trigger or MESSAGES_PER_TRIGGER
-        lines = stream_kafka_lines(spark, args.kafka, args.topic, max_per_trigger=messages)
-    else:
-        lines = stream_lines(spark, args.lines, files)
-    return comments_of(parse_lines(lines))
+        return stream_kafka_lines(spark, args.kafka, args.topic, messages)
+    return stream_lines(spark, args.lines, args.per_trigger or FILES_PER_TRIGGER)
 
 
 if __name__ == "__main__":

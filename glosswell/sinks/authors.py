@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-from glosswell.sinks.files import write_batch, write_table
+from glosswell.sinks.files import claim, write_batch, write_table
 
 _ENTRY = ("create_date", "user_id", "parent_user_id")
 
@@ -20,6 +20,7 @@ def upsert_authors(entries: DataFrame, folder: str, checkpoint: str) -> DataStre
     """Write a stream of author entries, reduced to the last one per comment and batch."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        claim(batch, folder)
         write_batch(_last_write(batch.dropna(subset=["comment_id", "user_id"]), *_ENTRY), batch_id, folder)
 
     return (
@@ -33,5 +34,6 @@ def read_authors(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def compact_authors(spark: SparkSession, folder: str, target: str) -> None:
-    """The record with one row per comment in a new folder, as its batch 0."""
-    write_table(read_authors(spark, folder).withColumn("batch", F.lit(0)), target, "batch")
+    """The record with one row per comment in a new folder, as a batch before all others, so that
+    a stream with a new checkpoint may go on there."""
+    write_table(read_authors(spark, folder).withColumn("batch", F.lit(-1)), target, "batch")

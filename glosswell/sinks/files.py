@@ -30,6 +30,23 @@ def write_batch(rows: DataFrame, batch_id: int, path: str) -> None:
     rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
 
+def claim(batch: DataFrame, path: str) -> None:
+    """Mark a folder of batches as this stream's; refuse one that another stream has marked.
+
+    A stream with a new checkpoint is another one: its batches count from 0 again and would replace
+    and mix with those that are there.
+    """
+    spark = batch.sparkSession
+    own = f"_stream-{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}"
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    names = [x.getPath().getName() for x in files.listStatus(folder)] if files.exists(folder) else []
+    if any(n.startswith("_stream-") and n != own for n in names):
+        raise ValueError(f"{path} holds the output of another stream; give the new one a new folder")
+    if own not in names:
+        files.mkdirs(spark._jvm.org.apache.hadoop.fs.Path(folder, own))
+
+
 def append_table(rows: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
     """A stream appended to a parquet table, each row once."""
     return (
@@ -50,12 +67,31 @@ def each_batch(
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
+        claim(batch, path)
         write_batch(report(batch), batch_id, path)
 
     return rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(handle)
 
 
-def to_console(rows: DataFrame, checkpoint: str, lines: int = 20) -> DataStreamWriter:
+def each_batch_parts(
+    rows: DataFrame, parts: dict[str, Callable[[DataFrame], DataFrame]], checkpoint: str
+) -> DataStreamWriter:
+    """Every micro-batch, computed once, into several tables by path."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()
+        try:
+            for path, part in parts.items():
+                claim(batch, path)
+                write_batch(part(batch), batch_id, path)
+        finally:
+            batch.unpersist()
+
+    return rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(handle)
+
+
+def to_console(rows: DataFrame, checkpoint: str, lines: int = 2**31 - 1) -> DataStreamWriter:
+    """Print every row; ``lines`` shows fewer of each micro-batch."""
     return (
         rows.writeStream.format("console")
         .outputMode("append")

@@ -6,10 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
-# Topics of the report streams.
-ARTICLE_REPORT_TOPIC = "metricheq1"
-SLOT_REPORT_TOPIC = "metricheq2"
-
 
 def messages(rows: DataFrame) -> DataFrame:
     """Every row as one JSON message."""

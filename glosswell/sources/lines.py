@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-TOPIC = "flink"
-GROUP = "flink"
-
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """Lines of text files."""
@@ -26,26 +23,21 @@ def stream_lines(spark: SparkSession, path: str, files_per_trigger: int | None =
     return reader.load(path)
 
 
-def _kafka_options(servers: str, topic: str, group: str) -> dict[str, str]:
-    return {"kafka.bootstrap.servers": servers, "subscribe": topic, "kafka.group.id": group}
+def _kafka_options(servers: str, topic: str) -> dict[str, str]:
+    # No group id of our own: readers that share one would each see a part of the topic.
+    return {"kafka.bootstrap.servers": servers, "subscribe": topic}
 
 
-def kafka_lines(spark: SparkSession, servers: str, topic: str = TOPIC, group: str = GROUP) -> DataFrame:
-    """Everything a topic holds now, one line per message."""
-    return kafka_values(
-        spark.read.format("kafka").options(**_kafka_options(servers, topic, group)).load()
-    )
+def kafka_lines(spark: SparkSession, servers: str, topic: str) -> DataFrame:
+    """Everything a topic holds when it is read, one line per message; each scan asks anew."""
+    return kafka_values(spark.read.format("kafka").options(**_kafka_options(servers, topic)).load())
 
 
 def stream_kafka_lines(
-    spark: SparkSession,
-    servers: str,
-    topic: str = TOPIC,
-    group: str = GROUP,
-    max_per_trigger: int | None = None,
+    spark: SparkSession, servers: str, topic: str, max_per_trigger: int | None = None
 ) -> DataFrame:
     """A topic as a stream of lines, one per message."""
-    reader = spark.readStream.format("kafka").options(**_kafka_options(servers, topic, group))
+    reader = spark.readStream.format("kafka").options(**_kafka_options(servers, topic))
     if max_per_trigger:
         reader = reader.option("maxOffsetsPerTrigger", max_per_trigger)
     return kafka_values(reader.load())

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections import deque
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,11 +34,11 @@ def emission_latency(closed: DataFrame) -> DataFrame:
 class InputThroughput(StreamingQueryListener):
     """Rows read per micro-batch and so far, by query name, as Spark itself reports them.
 
-    Keeps the last ``keep`` batches.
+    Each record goes to ``report`` at once; only the totals are kept.
     """
 
-    def __init__(self, keep: int = 1_000):
-        self.batches: deque = deque(maxlen=keep)
+    def __init__(self, report: Callable[[dict], None] = lambda record: None):
+        self.report = report
         self.totals: dict[str, int] = {}
 
     def onQueryStarted(self, event) -> None:
@@ -48,7 +48,7 @@ class InputThroughput(StreamingQueryListener):
         progress = event.progress
         name = progress.name or str(progress.id)
         self.totals[name] = self.totals.get(name, 0) + progress.numInputRows
-        self.batches.append(
+        self.report(
             {
                 "query": name,
                 "batch": progress.batchId,

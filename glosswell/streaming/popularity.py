@@ -156,12 +156,13 @@ def _best(rows: list[tuple]) -> list[tuple]:
     return sorted(rows, key=lambda r: (-r[5], *r[:5]))[:TOP_USERS]
 
 
-def top_running(scores: DataFrame, window_hours: int) -> DataFrame:
+def top_running(scores: DataFrame, window_hours: int, salts: int = SALTS) -> DataFrame:
     """Best running scores of each closed window, up to ten per salt.
 
     ``scores`` is watermarked on ``at``. A window's rows are spread over salts, so even one
     month-long window keeps many tasks busy; what is left for the final ranking of a batch
-    (``plans.rank_running``) is at most ten rows per salt and window.
+    (``plans.rank_running``) is at most ten rows per salt and window. ``salts`` is how many tasks
+    can work on one window.
     """
     size_us = window_hours * 3_600_000_000
     at_us = F.unix_micros("at")
@@ -173,7 +174,7 @@ def top_running(scores: DataFrame, window_hours: int) -> DataFrame:
         "user_id",
         "cents",
         F.floor((at_us - F.pmod(at_us, F.lit(size_us)) + F.lit(size_us)) / F.lit(1_000)).alias("end_ms"),
-        F.pmod(F.xxhash64("user_id", at_us, "reply_id", "hop"), F.lit(SALTS)).alias("salt"),
+        F.pmod(F.xxhash64("user_id", at_us, "reply_id", "hop"), F.lit(salts)).alias("salt"),
     )
     best = spread.groupBy("salt", "end_ms").transformWithState(
         statefulProcessor=TopRows(), outputStructType=SCORED_TYPE, outputMode="Append", timeMode="EventTime"

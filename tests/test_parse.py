@@ -115,3 +115,12 @@ def test_every_line_ends_up_somewhere(spark):
     texts = [line(f3=str(i)) if i % 3 else f"{i},bad" for i in range(60)]
     frame = parsed(spark, *texts)
     assert comments_of(frame).count() + rejects_of(frame).count() == len(texts)
+
+
+def test_null_lines_are_rejected_and_times_go_as_far_as_the_type(spark):
+    out = parsed(spark, None, line(), "", "approveDate,x")
+    assert sorted((r.value or "", r.reason) for r in rejects_of(out).collect()) == [("", "tokens"), ("", "tokens")]
+    far = parsed(spark, line(f5="9223372036854"), line(f5="9223372036855"))
+    kept = comments_of(far).select(F.unix_micros("create_date")).collect()
+    assert [r[0] for r in kept] == [9_223_372_036_854_000_000]
+    assert [r.reason for r in rejects_of(far).collect()] == ["create_date"]

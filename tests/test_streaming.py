@@ -258,6 +258,31 @@ def test_ingest_job(spark, small, tmp_path):
     assert good > 0 and bad > 0
 
 
+def test_ingest_stream_accounts_for_every_line(spark, small, tmp_path):
+    lines = lines_from_events(spark.read.parquet(f"{small}/events.parquet")).where("value NOT LIKE '%\n'")
+    lines.coalesce(2).write.text(str(tmp_path / "in"))
+    parsed = parse_lines(stream_lines(spark, str(tmp_path / "in"), 1))
+    run(jobs.start_ingest(parsed, str(tmp_path / "out"), str(tmp_path / "ck")))
+    good, bad = (spark.read.parquet(str(tmp_path / "out" / x)).count() for x in ("comments", "rejects"))
+    assert good + bad == lines.where("value NOT LIKE 'approveDate,%'").count() and good and bad
+    with pytest.raises(Exception, match="another stream"):
+        run(jobs.start_ingest(parsed, str(tmp_path / "out"), str(tmp_path / "other")))
+
+
+@pytest.mark.parametrize(
+    "flags",
+    [
+        ["ingest", "--comments", "x", "--out", "y"],
+        ["ingest", "--lines", "x", "--out", "y", "--latency"],
+        ["running", "--comments", "x", "--out", "y", "--latency"],
+        ["articles", "--kafka", "host:1", "--out", "y"],
+    ],
+)
+def test_flags_that_do_not_go_together(flags):
+    with pytest.raises(SystemExit):
+        jobs.main(flags)
+
+
 def test_latency_stream(spark, live_comments, tmp_path):
     closed = reports.article_counts_stamped(bounded(metrics.stamp(live_comments().drop(reports.STAMP))), 24)
     run(each_batch(closed, metrics.emission_latency, str(tmp_path / "o"), str(tmp_path / "ck")))
