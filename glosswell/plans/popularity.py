@@ -58,31 +58,50 @@ def user_lines(ranked: DataFrame) -> DataFrame:
     return ranking_lines(ranked, F.col("user_id"), points(F.col("cents")))
 
 
-def running_reply_scores(credits: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
-    """Reply cents of each user after every credit: ``create_date, reply_id, hop, user_id, cents``."""
-    counted = credits.select("create_date", "reply_id", "hop", "user_id", F.lit(1).cast("bigint").alias("one"))
+def running_reply_scores(
+    credits: DataFrame, bucket_seconds: int = BUCKET_SECONDS, stamp: str | None = None
+) -> DataFrame:
+    """Reply cents of each user after every credit: ``create_date, reply_id, hop, user_id, cents``.
+
+    With ``stamp``, a time column of the credits, also its maximum so far, by the same name.
+    """
+    stamps = {f"latest_{stamp}": stamp} if stamp else {}
+    counted = credits.select(
+        "create_date", "reply_id", "hop", "user_id", F.lit(1).cast("bigint").alias("one"), *stamps.values()
+    )
     totals = running_totals(
         counted,
         ["user_id"],
         ["create_date", "reply_id", "hop"],
         {"replies": "one"},
         time_slice(F.col("create_date"), bucket_seconds),
+        stamps,
     )
     return totals.select(
-        "create_date", "reply_id", "hop", "user_id", (F.col("replies") * REPLY_CENTS).alias("cents")
+        "create_date",
+        "reply_id",
+        "hop",
+        "user_id",
+        (F.col("replies") * REPLY_CENTS).alias("cents"),
+        *[F.col(name).alias(source) for name, source in stamps.items()],
     )
 
 
 def running_user_scores(
-    credits: DataFrame, like_totals: DataFrame, bucket_seconds: int = BUCKET_SECONDS
+    credits: DataFrame,
+    like_totals: DataFrame,
+    bucket_seconds: int = BUCKET_SECONDS,
+    stamp: str | None = None,
 ) -> DataFrame:
     """Running score after every credit and every window's like total; it never resets.
 
     The score adds up the running reply totals and the like totals seen so far. Both follow
     from two plain running totals per user (replies and like cents), see ``compounded_cents``.
     A like total stands at the last instant of its window, after any credit of that instant.
-    Columns: ``at, is_like, reply_id, hop, user_id, cents`` (cents DECIMAL).
+    Columns: ``at, is_like, reply_id, hop, user_id, cents`` (cents DECIMAL). With ``stamp``, a time
+    column of both inputs, also its maximum so far, by the same name.
     """
+    stamps = {f"latest_{stamp}": stamp} if stamp else {}
     credit_rows = credits.select(
         F.col("create_date").alias("at"),
         F.lit(0).alias("is_like"),
@@ -91,6 +110,7 @@ def running_user_scores(
         "user_id",
         F.lit(1).cast("bigint").alias("one"),
         F.lit(0).cast("bigint").alias("like"),
+        *stamps.values(),
     )
     like_rows = like_totals.select(
         last_instant(F.col("window")).alias("at"),
@@ -100,6 +120,7 @@ def running_user_scores(
         "user_id",
         F.lit(0).cast("bigint").alias("one"),
         F.col("cents").alias("like"),
+        *stamps.values(),
     )
     totals = running_totals(
         credit_rows.unionByName(like_rows),
@@ -107,6 +128,7 @@ def running_user_scores(
         ["at", "is_like", "reply_id", "hop"],
         {"replies": "one", "likes": "like"},
         time_slice(F.col("at"), bucket_seconds),
+        stamps,
     )
     return totals.select(
         "at",
@@ -115,6 +137,7 @@ def running_user_scores(
         "hop",
         "user_id",
         compounded_cents(F.col("replies"), F.col("likes")).alias("cents"),
+        *[F.col(name).alias(source) for name, source in stamps.items()],
     )
 
 

@@ -415,6 +415,60 @@ _register(
     ORDER BY at_us + (CAST(comment_id AS BIGINT) % 600) * 1000000 DESC, comment_id LIMIT 100""",
 )
 
+# Running scores with the latest ingest time behind them
+
+
+def _running_replies_stamped(spark: SparkSession, folder: str) -> DataFrame:
+    credits = threads.reply_credits(read_event_comments(spark, folder), keep=(reports.STAMP,))
+    scores = popularity.running_reply_scores(credits, stamp=reports.STAMP)
+    return scores.select("reply_id", "hop", "user_id", "cents", F.unix_millis(reports.STAMP).alias("ingest_ms"))
+
+
+def _running_scores_stamped(spark: SparkSession, folder: str) -> DataFrame:
+    comments = read_event_comments(spark, folder)
+    scores = popularity.running_user_scores(
+        threads.reply_credits(comments, keep=(reports.STAMP,)),
+        reports.like_scores_stamped(comments, 24),
+        stamp=reports.STAMP,
+    )
+    return scores.select(
+        F.unix_micros("at").alias("at_us"),
+        "reply_id",
+        "hop",
+        "user_id",
+        F.col("cents").cast("bigint").alias("cents"),
+        F.unix_millis(reports.STAMP).alias("ingest_ms"),
+    )
+
+
+_register(
+    "running_reply_scores_stamped",
+    _running_replies_stamped,
+    f"""WITH {COMMENTS}, {CREDITS}
+    SELECT reply_id, hop, user_id, CAST(sum(70) OVER w AS BIGINT) AS cents, max(ingest_us) OVER w // 1000 AS ingest_ms
+    FROM credits
+    WINDOW w AS (PARTITION BY user_id ORDER BY at_us, reply_id, hop ROWS UNBOUNDED PRECEDING)""",
+)
+_register(
+    "running_user_scores_stamped_24h",
+    _running_scores_stamped,
+    f"""WITH {COMMENTS}, {CREDITS},
+    like_totals AS (
+      SELECT {_start(86400)} AS window_start, user_id, CAST(sum({LIKE_CENTS}) AS BIGINT) AS cents,
+             max(ingest_us) AS ingest_us
+      FROM comments WHERE depth = 1 GROUP BY 1, 2),
+    mixed AS (
+      SELECT at_us, 0 AS is_like, reply_id, hop, user_id, ingest_us,
+             sum(70) OVER (PARTITION BY user_id ORDER BY at_us, reply_id, hop ROWS UNBOUNDED PRECEDING) AS addend
+      FROM credits
+      UNION ALL
+      SELECT (window_start + 86400) * 1000000 - 1, 1, '', 0, user_id, ingest_us, cents FROM like_totals)
+    SELECT at_us, reply_id, hop, user_id, CAST(sum(addend) OVER w AS BIGINT) AS cents,
+           max(ingest_us) OVER w // 1000 AS ingest_ms
+    FROM mixed
+    WINDOW w AS (PARTITION BY user_id ORDER BY at_us, is_like, reply_id, hop ROWS UNBOUNDED PRECEDING)""",
+)
+
 # Operational reports
 
 
@@ -559,6 +613,23 @@ _register(
         f"SELECT {_start(86400)} AS window_start, max(ingest_us) AS ingest_us FROM comments GROUP BY 1", 86400, 1, "true"
     ),
 )
+
+
+def _latency_lines(spark: SparkSession, folder: str) -> DataFrame:
+    lines = reports.latency_lines(reports.article_latency(read_event_comments(spark, folder), 24))
+    return _epoch(lines, "window_start")
+
+
+_register(
+    "latency_lines_q1",
+    _latency_lines,
+    f"WITH {COMMENTS}, rows AS (WITH "
+    + _latency_sql(
+        f"SELECT {_start(86400)} AS window_start, max(ingest_us) AS ingest_us FROM comments GROUP BY 1", 86400, 1, "true"
+    )
+    + """)
+    SELECT window_start, CAST(window_start * 1000 AS VARCHAR) || ',' || CAST(latency_ms AS VARCHAR) AS line FROM rows""",
+)
 _register(
     "window_latency_q2",
     _on_comments(reports.slot_latency, 1),
