@@ -352,6 +352,10 @@ def near_duplicates(documents: DataFrame, width: int = WIDTH, percent: int = PER
     named_classes = classes.join(labels, ["a", "b"], "left").select(
         "a", "b", F.coalesce("smallest", "first").alias("component_id")
     )
+    # A table of its own, so that the join may split a name that many copies have.
+    named_classes = written(named_classes, "classes")
     return docs.join(named_classes, ["a", "b"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
