@@ -28,7 +28,7 @@ from glosswell.llm.common import map_rows
 #: Fixed value: how byte-level BPE cuts text into words.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Words whose encodings a worker remembers before it starts anew; bounds memory, never results.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 250_000
 REMEMBERED_LENGTH = 64
 NEVER = 1 << 40
 #: The same cut for texts of these characters alone, by the faster standard module.
@@ -179,6 +179,11 @@ class Encoder:
             self.follows.clear()
         return out
 
+    def forget(self) -> None:
+        """Give up what was remembered: a worker outlives its task and other stages need its memory."""
+        self.known.clear()
+        self.follows.clear()
+
     def decode(self, ids: list[int]) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
@@ -215,6 +220,7 @@ def encode(documents: DataFrame, vocabulary: str) -> DataFrame:
         work,
         "doc_id long, ids array<int>",
         "text",
+        lambda: encoder(vocabulary).forget(),
     )
 
 

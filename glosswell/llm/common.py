@@ -56,9 +56,9 @@ def slices(batches: Iterable[pa.RecordBatch], sized: str | None = None) -> Itera
 
 
 def map_rows(
-    df: DataFrame, work: Callable[[pa.RecordBatch], dict | None], schema: str | StructType, sized: str | None = None
+    df: DataFrame, work: Callable[[pa.RecordBatch], dict | None], schema: str | StructType, sized: str | None = None, done: Callable[[], None] = lambda: None
 ) -> DataFrame:
-    """``work`` on every slice of ``df``; it returns the columns of ``schema`` or None."""
+    """``work`` on every slice of ``df``; it returns the columns of ``schema`` or None. ``done`` ends a task."""
     from pyspark.sql.pandas.types import to_arrow_schema
     kinds = to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
 
@@ -70,6 +70,7 @@ def map_rows(
                     [pa.array(made[f.name], f.type) if not isinstance(made[f.name], pa.Array) else made[f.name].cast(f.type) for f in kinds],
                     schema=kinds,
                 )
+        done()
 
     return df.mapInArrow(run, schema)
 
