@@ -1,9 +1,10 @@
 """Licence notices and texts inside documents, by conditional compression.
 
 Sentences with a word that licences use are gathered into blocks with their neighbours. A block is
-compressed alone and with each template as a raw dictionary; templates are ranked by how much shorter
-it gets. The best are confirmed by their exact wording: the words of the template that the block
-lacks, and those it adds in between, must be few, and none that tells this licence from another or its version.
+looked at in windows of each template's size. Windows with enough of its words are compressed alone and
+with the template as a raw dictionary and ranked by how much shorter they get; from the best on they
+are confirmed by their exact wording: the words of the template that the window lacks, and those it
+adds in between, must be few, and none that tells this licence from another or its version.
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import re
 from dataclasses import dataclass
 from difflib import SequenceMatcher
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -112,10 +114,6 @@ class Settings:
     gap: int = 2
     #: Characters of a block; longer ones are taken in pieces that overlap by half.
     block_chars: int = 6_000
-    #: Templates whose saving is at least this share of the block's own compressed size are ranked,
-    #: and so many of the best are compared word by word.
-    least_saving: float = 0.05
-    compared: int = 6
     #: Share of a template's words that may be missing or added.
     most_missing: float = 0.15
 
@@ -153,42 +151,68 @@ class Scanner:
     def __init__(self, templates: tuple[Template, ...], settings: Settings):
         import zstandard
 
-        self.templates, self.settings = templates, settings
+        self.templates = templates
+        self.words = [words_of(t.text) for t in templates]
+        self.spare = [int(settings.most_missing * len(w)) for w in self.words]
+        self.telling = {w for t in templates for w in t.names}
         raw = zstandard.DICT_TYPE_RAWCONTENT
         self.plain = zstandard.ZstdCompressor(level=9).compress
         self.given = [
             zstandard.ZstdCompressor(
-                level=9, dict_data=zstandard.ZstdCompressionDict(t.text.lower().encode(), dict_type=raw)
+                level=9, dict_data=zstandard.ZstdCompressionDict(" ".join(w).encode(), dict_type=raw)
             ).compress
-            for t in templates
+            for w in self.words
         ]
-        self.words = [words_of(t.text) for t in templates]
-        self.telling = {w for t in templates for w in t.names}
+
+    def places(self, i: int, words: list[str]) -> list[int]:
+        """Starts of the windows that may hold template ``i``: those with all its names and as many of
+        its words as it needs. No confirmed wording is longer than a window."""
+        names, wanted = self.templates[i].names, set(self.words[i])
+        size = min(len(words), len(self.words[i]) + self.spare[i])
+
+        def held(which: list[bool]) -> np.ndarray:
+            upto = np.concatenate([[0], np.cumsum(which)])
+            return upto[size:] - upto[: len(upto) - size]
+
+        able = held([w in wanted for w in words]) >= len(self.words[i]) - self.spare[i]
+        for name in names:
+            able &= held([w == name for w in words]) > 0
+        return np.flatnonzero(able).tolist()
+
+    def confirmed(self, i: int, words: list[str]) -> dict | None:
+        """The words that a window lacks and adds, if it has the wording of template ``i``."""
+        template, wanted = self.templates[i], self.words[i]
+        same = [m for m in SequenceMatcher(None, wanted, words, autojunk=False).get_matching_blocks() if m.size]
+        matched = {j for m in same for j in range(m.a, m.a + m.size)}
+        missing = [w for j, w in enumerate(wanted) if j not in matched]
+        # Words put in between what matches.
+        added = [w for m, n in zip(same, same[1:]) for w in words[m.b + m.size : n.b]]
+        if (
+            len(missing) + len(added) > self.spare[i]
+            or set(missing) & set(template.names)
+            or set(added) & self.telling - set(template.names)
+        ):
+            return None
+        return {"license": template.license, "missing": missing, "added": added}
 
     def findings(self, block: str) -> list[dict]:
         """Confirmed templates of a block, the largest saving first; of one licence the best."""
-        raw = block.lower().encode()
-        alone = len(self.plain(raw))
-        ranked = sorted(
-            ((1 - len(given(raw)) / alone, -i) for i, given in enumerate(self.given)), reverse=True
-        )
-        words, out = words_of(block), []
-        for saving, i in ranked[: self.settings.compared]:
-            template, wanted = self.templates[-i], self.words[-i]
-            if saving < self.settings.least_saving or template.license in {f["license"] for f in out}:
+        words, best = words_of(block), {}
+        present = set(words)
+        for i, template in enumerate(self.templates):
+            if not present.issuperset(template.names):
                 continue
-            same = [m for m in SequenceMatcher(None, wanted, words, autojunk=False).get_matching_blocks() if m.size]
-            matched = {j for m in same for j in range(m.a, m.a + m.size)}
-            missing = [w for j, w in enumerate(wanted) if j not in matched]
-            # Words put in between what matches.
-            added = [w for m, n in zip(same, same[1:]) for w in words[m.b + m.size : n.b]]
-            if (
-                len(missing) + len(added) <= self.settings.most_missing * len(wanted)
-                and not set(missing) & set(template.names)
-                and not set(added) & self.telling - set(template.names)
-            ):
-                out.append({"license": template.license, "saving": saving, "missing": missing, "added": added, "block": block})
-        return out
+            size, ranked = len(self.words[i]) + self.spare[i], []
+            for at in self.places(i, words):
+                raw = " ".join(words[at : at + size]).encode()
+                ranked.append((len(self.given[i](raw)) / len(self.plain(raw)), at))
+            for kept, at in sorted(ranked):
+                found = self.confirmed(i, words[at : at + size])
+                if found:
+                    if kept < 1 - best.get(template.license, {"saving": -1})["saving"]:
+                        best[template.license] = found | {"saving": 1 - kept, "block": block}
+                    break
+        return sorted(best.values(), key=lambda f: -f["saving"])
 
 
 def scan(
@@ -197,7 +221,7 @@ def scan(
     """doc_id, n_blocks, licenses, findings: licences found in whole texts.
 
     ``n_blocks`` counts candidate blocks, ``licenses`` are the confirmed ones, distinct and in order,
-    ``findings`` has each with its block, the share of its compressed size that the template saves,
+    ``findings`` has each with its block, the share of its window's compressed size that the template saves,
     and the words of the template that are missing and those put in between. One row per row of ``documents``, repeated or
     not. A null, empty or unsuspicious text has no blocks. Further columns are not read.
     """

@@ -80,6 +80,17 @@ def test_licences_by_wording(spark):
         assert all(f.saving > 0 and f.license in r.licenses for f in r.findings)
 
 
+def test_licences_in_long_blocks(spark):
+    # A hint in every other sentence and no sentence ends: blocks of any length.
+    hinted = [" ".join(f"{prose(50 * k + i, 20).lower().replace('.', '')} distribute" for i in range(n)) for k, n in enumerate((3, 20, 45))]
+    texts = [f"{h} {t.text} {h}" for h in hinted for t in licenses.TEMPLATES]
+    got = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r.licenses for r in got] == [[t.license] for t in licenses.TEMPLATES] * len(hinted)
+    every = " ".join(t.text for t in licenses.TEMPLATES)
+    assert set(licenses.Scanner(licenses.TEMPLATES, licenses.Settings()).findings(every)[0]) == {"license", "saving", "missing", "added", "block"}
+    assert licenses.scan(spark.createDataFrame([(1, every)], "doc_id long, text string")).first().licenses == sorted({t.license for t in licenses.TEMPLATES})
+
+
 def test_licences_of_awkward_rows(spark):
     got = licenses.scan(awkward(spark)).collect()
     assert len(got) == 11 and all(r.licenses == [] for r in got)
