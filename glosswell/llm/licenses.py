@@ -1,6 +1,7 @@
 """Licence notices and texts inside documents, by conditional compression.
 
-Sentences with a word that licences use are gathered into blocks with their neighbours. A block is
+Words that licences use are gathered into blocks with their neighbours, as many words on both sides as
+a window of the longest template has; lines, sentences and comment marks do not count. A block is
 looked at in windows of each template's size. Windows with enough of its words are compressed alone and
 with the template as a raw dictionary and ranked by how much shorter they get; from the best on they
 are confirmed by their exact wording: the words of the template that the window lacks, and those it
@@ -19,10 +20,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glosswell.llm.common import map_rows
-from glosswell.llm.spans import sentences
 
-HINTS = re.compile(r"licen[sc]|copyright|warrant|distribut|permission|public domain|spdx", re.I)
+#: Every template has a hint among its names, or more hints than words that may be missing.
+HINTS = re.compile(r"licen[sc]|copyright|warrant|distribut|permission|public|spdx|\bgnu\b|apache|mozilla|\bcc0?\b", re.I)
 TOKENS = re.compile(r"[^\W_]+")
+#: Comment marks that are words.
+MARKS = re.compile(r"^[ \t]*(?:dnl|rem|c)(?=[ \t])", re.I | re.M)
 
 
 @dataclass(frozen=True)
@@ -110,10 +113,6 @@ TEMPLATES = (
 
 @dataclass(frozen=True)
 class Settings:
-    #: Sentences without a hint that a block may hold between two with one.
-    gap: int = 2
-    #: Characters of a block; longer ones are taken in pieces that overlap by half.
-    block_chars: int = 6_000
     #: Share of a template's words that may be missing or added.
     most_missing: float = 0.15
 
@@ -122,27 +121,36 @@ def words_of(text: str) -> list[str]:
     return TOKENS.findall(text.lower())
 
 
-def blocks(text: str | None, settings: Settings) -> list[str]:
-    """Candidate blocks in order: sentences with hints, and what lies between near ones."""
+@dataclass(frozen=True)
+class Block:
+    """Words with the place in the text where each begins and ends."""
+
+    text: str
+    words: list[str]
+    begins: list[int]
+    ends: list[int]
+
+    def passage(self, first: int, last: int) -> str:
+        return self.text[self.begins[first] : self.ends[last]]
+
+
+def blocks(text: str | None, around: int) -> list[Block]:
+    """Candidate blocks in order: hints with ``around`` words on both sides, joined where they meet."""
     if not text or not HINTS.search(text):
         return []
-    pieces = sentences(text)
-    hinted = [i for i, p in enumerate(pieces) if HINTS.search(p)]
+    plain = MARKS.sub(lambda m: " " * len(m[0]), text)
+    found = [(m[0], *m.span()) for m in TOKENS.finditer(plain)]
     groups: list[list[int]] = []
-    for i in hinted:
-        if groups and i - groups[-1][1] <= settings.gap + 1:
-            groups[-1][1] = i
-        else:
-            groups.append([i, i])
-    out = []
-    for first, last in groups:
-        whole = "".join(pieces[first : last + 1])
-        step = settings.block_chars // 2
-        if len(whole) <= settings.block_chars:
-            out.append(whole)
-        else:
-            out += [p for at in range(0, len(whole) - step, step) if HINTS.search(p := whole[at : at + 2 * step])]
-    return out
+    for i, (word, _, _) in enumerate(found):
+        if HINTS.search(word):
+            if groups and i - around <= groups[-1][1]:
+                groups[-1][1] = i + around + 1
+            else:
+                groups.append([max(0, i - around), i + around + 1])
+    return [
+        Block(text, [w.lower() for w, _, _ in part], [b for _, b, _ in part], [e for _, _, e in part])
+        for part in (found[first:end] for first, end in groups)
+    ]
 
 
 class Scanner:
@@ -154,6 +162,7 @@ class Scanner:
         self.templates = templates
         self.words = [words_of(t.text) for t in templates]
         self.spare = [int(settings.most_missing * len(w)) for w in self.words]
+        self.around = max(map(sum, zip(map(len, self.words), self.spare)), default=0)
         self.telling = {w for t in templates for w in t.names}
         raw = zstandard.DICT_TYPE_RAWCONTENT
         self.plain = zstandard.ZstdCompressor(level=9).compress
@@ -195,9 +204,9 @@ class Scanner:
             return None
         return {"license": template.license, "missing": missing, "added": added}
 
-    def findings(self, block: str) -> list[dict]:
+    def findings(self, block: Block) -> list[dict]:
         """Confirmed templates of a block, the largest saving first; of one licence the best."""
-        words, best = words_of(block), {}
+        words, best = block.words, {}
         present = set(words)
         for i, template in enumerate(self.templates):
             if not present.issuperset(template.names):
@@ -210,7 +219,8 @@ class Scanner:
                 found = self.confirmed(i, words[at : at + size])
                 if found:
                     if kept < 1 - best.get(template.license, {"saving": -1})["saving"]:
-                        best[template.license] = found | {"saving": 1 - kept, "block": block}
+                        last = min(at + size, len(words)) - 1
+                        best[template.license] = found | {"saving": 1 - kept, "block": block.passage(at, last)}
                     break
         return sorted(best.values(), key=lambda f: -f["saving"])
 
@@ -221,7 +231,7 @@ def scan(
     """doc_id, n_blocks, licenses, findings: licences found in whole texts.
 
     ``n_blocks`` counts candidate blocks, ``licenses`` are the confirmed ones, distinct and in order,
-    ``findings`` has each with its block, the share of its window's compressed size that the template saves,
+    ``findings`` has each with its window of the block, the share of that window's compressed size that the template saves,
     and the words of the template that are missing and those put in between. One row per row of ``documents``, repeated or
     not. A null, empty or unsuspicious text has no blocks. Further columns are not read.
     """
@@ -230,7 +240,7 @@ def scan(
         scanner = Scanner(templates, settings)
         out: dict = {"doc_id": part.column("doc_id"), "n_blocks": [], "licenses": [], "findings": []}
         for text in part.column("text").to_pylist():
-            candidates = blocks(text, settings)
+            candidates = blocks(text, scanner.around)
             found = [f for block in candidates for f in scanner.findings(block)]
             out["n_blocks"].append(len(candidates))
             out["licenses"].append(sorted({f["license"] for f in found}))
