@@ -1,6 +1,6 @@
 """Passages that documents repeat: spans of sentences, joined over all documents.
 
-Every run of several consecutive sentences is hashed where it stands. Runs are counted by hash, with
+Every run of consecutive sentences that has enough words is hashed where it stands. Runs are counted by hash, with
 the first place of each; the runs that stand elsewhere too go back to their documents, which lose the
 sentences under them. The most frequent run costs each task one row when counted, and meets one row
 when joined.
@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from glosswell.llm.common import map_rows, written
 
-#: Sentences of a run; words it has at least; words from which one or two sentences are a run too.
-RUN, WORDS, LONG_WORDS = 3, 10, 25
+#: Words that a run has at least.
+WORDS = 10
 #: A sentence with the blanks behind it: up to . ! ? before a blank, or the end of a line.
 SENTENCES = re.compile(r"[^\n]*?(?:[.!?][\"')\]]*(?=\s)\s+|\n\s*|$)", re.S)
 
@@ -28,31 +28,38 @@ def sentences(text: str | None) -> list[str]:
     return [s for s in SENTENCES.findall(text or "") if s]
 
 
-def runs(pieces: list[str], run: int, words: int, long_words: int) -> list[tuple[int, int, bytes]]:
+def runs(pieces: list[str], words: int) -> list[tuple[int, int, bytes]]:
     """(first sentence, sentences, 128-bit hash) of all runs; case and blanks do not count, nor do
-    pieces without words."""
+    pieces without words.
+
+    From every sentence on, and up to every sentence, the shortest run that has the words. Any passage of
+    whole sentences with so many words is covered by runs that lie in it.
+    """
     from xxhash import xxh3_128
 
     cut = [(i, w) for i, p in enumerate(pieces) if (w := p.lower().split())]
     joined = [" ".join(w).encode() + b"\n" for _, w in cut]
-    out = []
-    for at in range(len(cut)):
-        seen, hashed = 0, xxh3_128()
-        for end in range(at, min(at + run, len(cut))):
-            seen += len(cut[end][1])
-            hashed.update(joined[end])
-            if seen >= (words if end - at == run - 1 else long_words):
-                out.append((cut[at][0], cut[end][0] - cut[at][0] + 1, hashed.digest()))
-    return out
-
-
-def drop_repeated_spans(
-    documents: DataFrame, run: int = RUN, words: int = WORDS, long_words: int = LONG_WORDS
-) -> DataFrame:
+    found, begin, seen = set(), 0, 0
+    for end, (_, w) in enumerate(cut):
+        seen += len(w)
+        # Runs that begin before ``end`` and get their words by it; the last is the shortest up to it.
+        while seen >= words:
+            found.add((begin, end))
+            seen -= len(cut[begin][1])
+            begin += 1
+        if begin:
+            found.add((begin - 1, end))
+    return [
+        (cut[at][0], cut[end][0] - cut[at][0] + 1, xxh3_128(b"".join(joined[at : end + 1])).digest())
+        for at, end in sorted(found)
+    ]
+
+
+def drop_repeated_spans(documents: DataFrame, words: int = WORDS) -> DataFrame:
     """doc_id, text, n_sentences, n_removed, spans: documents without repeated passages.
 
-    A run is ``run`` consecutive sentences with at least ``words`` words, or fewer sentences with at
-    least ``long_words``. Of all places of the same run (case and blanks aside), the first stays: the
+    A run is the fewest consecutive sentences with at least ``words`` words, from one of them on or up
+    to one, so every repeated passage of whole sentences with ``words`` words is found. Of all places of the same run (case and blanks aside), the first stays: the
     smallest doc_id, then the place in the text. Sentences covered by any other place are removed;
     ``spans`` are their ranges (first sentence, number), ``text`` is what is left, unchanged.
 
@@ -68,7 +75,7 @@ def drop_repeated_spans(
     def places(part: pa.RecordBatch) -> dict:
         rows, firsts, counts, hashes = [], [], [], []
         for i, text in enumerate(part.column("text").to_pylist()):
-            for first, count, name in runs(sentences(text), run, words, long_words):
+            for first, count, name in runs(sentences(text), words):
                 rows.append(i)
                 firsts.append(first)
                 counts.append(count)

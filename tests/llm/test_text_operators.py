@@ -54,6 +54,36 @@ def test_span_of_passage_goes_from_all_but_the_first(spark):
     assert all(PASSAGE[5:300] not in t and n for _, t, n in got[1:4])
 
 
+def whole_passages(texts, words=10):
+    """Sentences in stretches of whole sentences, of so many words or more, that an earlier place holds too."""
+    cut = [[" ".join(p.lower().split()) for p in spans.sentences(t)] for t in texts]
+    place, out = {}, [set() for _ in texts]
+    for d, pieces in enumerate(cut):
+        kept = [i for i, p in enumerate(pieces) if p]
+        for at in range(len(kept)):
+            for end in range(at, len(kept)):
+                said = tuple(pieces[i] for i in kept[at : end + 1])
+                if len(" ".join(said).split()) >= words and place.setdefault(said, (d, at)) != (d, at):
+                    out[d].update(range(kept[at], kept[end] + 1))
+    return out
+
+
+def test_spans_of_few_or_very_short_sentences(spark):
+    edits = lambda i: f"Edited here {i} and there {i * 7}. "
+    alone = "This one sentence of twelve words stands alone between two edited sentences. "
+    two = "Here are seven words in a sentence. And another five follow it. "
+    tail = "Some ten or more words are in the sentence before it. Short tail. "
+    broken = "\n".join(" ".join(f"bit{j}{k}" for k in range(2)) for j in range(30)) + "\n"
+    texts = [f"{edits(i)}{alone}{edits(i + 10)}{two}{edits(i + 20)}{tail}{edits(i + 30)}\n{broken}last {i}" for i in range(3)]
+    texts += [prose(i, 50) for i in range(3)] + ["Too short to count. Is it not? " + edits(99), "Too short to count. Is it not? x"]
+    texts += [f"{PASSAGE[60:400]} {prose(5, 30)}", PASSAGE]
+    got = sorted(spans.drop_repeated_spans(docs(spark, texts)).collect(), key=lambda r: r.doc_id)
+    for r, want in zip(got, whole_passages(texts)):
+        assert {i for s in r.spans for i in range(s["first"], s["first"] + s["count"])} == want
+    for r in got[1:3]:
+        assert not any(x.strip() in r.text for x in (alone, two, tail, "bit00", "bit291"))
+
+
 def test_spans_of_awkward_rows(spark):
     got = spans.drop_repeated_spans(awkward(spark)).collect()
     assert len(got) == 11
