@@ -1,10 +1,11 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained: one on windows of ordinary text, one on what marks toxic text
-off, word windows that many toxic and few ordinary documents hold. The toxic dictionary lies behind the
-ordinary one, so both compressors know ordinary text equally well and a window gets shorter only by
-what is toxic. A text is judged by the differences of its windows' compressed lengths; a logistic
-curve over them, with its threshold, is calibrated on labelled documents.
+Two zstandard dictionaries are trained: one on windows of ordinary texts, one on windows of toxic texts
+around what marks them off, words and pairs of neighbouring words that significantly more toxic texts
+hold. The toxic dictionary lies behind the ordinary one, so both compressors know ordinary text equally
+well and a window gets shorter only by what is toxic. A text is judged by the differences of its
+windows' compressed lengths; a logistic curve over them, with its threshold, is calibrated on labelled
+documents.
 """
 
 from __future__ import annotations
@@ -20,8 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glosswell.llm.common import held_out, map_rows, written
+from glosswell.llm.filters import collected_bits, is_set
 
-WORDS = re.compile(r"[^\W\d_]+")
+WORDS = re.compile(r"[^\W_]+")
+#: Bits of the filter of words and pairs that toxic texts hold: bounds what is shuffled, never results.
+TERM_LOG2 = 24
+TERM_BITS = 1 << TERM_LOG2
 
 
 @dataclass(frozen=True)
@@ -32,8 +37,9 @@ class Settings:
     ordinary_size: int = 32_768
     toxic_size: int = 4_096
     level: int = 3
-    #: A word marks toxic text if it is in this share of toxic documents, so many times the ordinary share.
-    least_share: float = 0.02
+    #: A word or pair marks toxic text if so many toxic texts hold it, so many times the ordinary share,
+    #: and by chance not one of all that are tried would differ as much.
+    least_texts: int = 3
     least_ratio: float = 10.0
     #: A window is a hit if it is shorter by so many bytes.
     hit: int = 2
@@ -74,13 +80,42 @@ def contents(dictionary: bytes) -> bytes:
     return dictionary.split(HEAD_END, 1)[-1]
 
 
-def toxic_contents(marks: list[tuple[str, int]], most: int, size: int) -> bytes:
-    """A dictionary of words, each as often as documents hold it, in a fixed random order. A few words
-    make a sample: the trainer looks for segments longer than one."""
-    share = min(1.0, most / max(1, sum(n for _, n in marks)))
-    words = [f" {w} ".encode() for w, n in marks for _ in range(max(1, int(n * share)))]
-    random.Random(1).shuffle(words)
-    return contents(trained([b"".join(words[i : i + 6]) for i in range(0, len(words), 6)], size, k=24, d=8))
+def terms(text: str) -> tuple[list[tuple[int, int]], np.ndarray, np.ndarray]:
+    """Where the words are, and 64-bit hashes of the words and of the pairs that begin with each."""
+    from xxhash import xxh3_64_intdigest
+
+    found = [(m[0], *m.span()) for m in WORDS.finditer(text)]
+    words = [w.encode() for w, _, _ in found]
+    one = [xxh3_64_intdigest(w) for w in words]
+    two = [xxh3_64_intdigest(v + b" " + w) for v, w in zip(words, words[1:])]
+    return (
+        [(b, e) for _, b, e in found],
+        np.array(one, np.uint64).view(np.int64),
+        np.array(two, np.uint64).view(np.int64),
+    )
+
+
+def marked_windows(text: str, marks: np.ndarray) -> list[bytes]:
+    """Stretches of words that are marks or in a marked pair, with one word on both sides."""
+    spans, one, two = terms(text.lower())
+    hit = np.isin(one, marks)
+    pairs = np.isin(two, marks)
+    hit[:-1] |= pairs
+    hit[1:] |= pairs
+    edges = np.flatnonzero(np.diff(hit.astype(np.int8), prepend=0, append=0))
+    low = text.lower()
+    return [
+        f" {low[spans[max(0, b - 1)][0] : spans[min(len(spans), e + 1) - 1][1]]} ".encode()
+        for b, e in zip(edges[::2], edges[1::2])
+    ]
+
+
+def toxic_contents(samples: list[bytes], size: int) -> bytes:
+    """A dictionary of windows of toxic texts, in a fixed random order. A few short ones make a sample:
+    the trainer looks for segments longer than one word."""
+    samples = sorted(samples)
+    random.Random(1).shuffle(samples)
+    return contents(trained([b"".join(samples[i : i + 4]) for i in range(0, len(samples), 4)], size, k=40, d=8))
 
 
 def compressor(dictionary: bytes, level: int):
@@ -155,54 +190,78 @@ def fitted(features: np.ndarray, labels: np.ndarray) -> np.ndarray:
 def train(documents: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> Model:
     """Dictionaries and threshold from labelled documents outside the held-out fifth.
 
-    Word counts cover all of these documents. Samples are taken by hash: at most
-    ``ordinary_windows`` windows, ``toxic_samples`` words, and ``calibration_rows`` documents whose
-    features, not texts, come to the driver. Rows without label or text teach nothing.
+    Counts of words and pairs cover all of these documents, each text once however many copies it has.
+    Samples are taken by hash: at most ``ordinary_windows`` windows, ``toxic_samples`` marks and as many
+    windows around them, and ``calibration_rows`` documents whose features, not texts, come to the
+    driver. Where nothing marks toxic texts off, their windows are taken as they are. Rows without
+    label or text teach nothing.
     """
-    known = (
-        documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-        .where(~held_out(F.col("doc_id")) & F.col("text").isNotNull())
-        # Joined in the same way at every size, and once for the four passes below.
-        .join(
-            labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int")).where("toxic in (0, 1)").hint("merge"),
-            "doc_id",
-        )
+    documents = documents.select(
+        F.col("doc_id").cast("long"), F.col("text").cast("string"), F.xxhash64(F.col("text").cast("string")).alias("name")
+    ).where(~held_out(F.col("doc_id")) & F.col("text").isNotNull())
+    labels = labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int")).where("toxic in (0, 1)")
+    # One document of all copies of a text with one label, found by names before texts are joined.
+    firsts = (
+        documents.select("doc_id", "name")
+        .join(labels.hint("merge"), "doc_id")
+        .groupBy("name", "toxic")
+        .agg(F.min("doc_id").alias("doc_id"))
+        .groupBy("doc_id", "toxic")
+        .agg(F.collect_set("name").alias("firsts"))
     )
+    # Joined in the same way at every size, and once for the passes below.
+    known = documents.join(labels.join(firsts.hint("merge"), ["doc_id", "toxic"], "left").hint("merge"), "doc_id")
+    known = known.select("doc_id", "text", "toxic", F.coalesce(F.array_contains("firsts", F.col("name")), F.lit(False)).alias("once"))
     known = written(known, "labelled")
+    toxic, plain = known.where("once and toxic = 1"), known.where("once and toxic = 0")
 
-    def words(part: pa.RecordBatch) -> dict:
-        found = [sorted(set(WORDS.findall(t.lower()))) for t in part.column("text").to_pylist()]
-        at = pa.array([i for i, ws in enumerate(found) for _ in ws], pa.int64())
-        return {"word": [w for ws in found for w in ws], "toxic": part.column("toxic").take(at)}
+    def counted(texts: DataFrame, bits: np.ndarray | None, name: str) -> DataFrame:
+        """How many texts hold each word and pair; those that ``bits`` may hold."""
+
+        def work(part: pa.RecordBatch) -> dict:
+            found = [np.unique(np.concatenate(terms(t.lower())[1:])) for t in part.column("text").to_pylist()]
+            held = np.concatenate([np.empty(0, np.int64), *found])
+            return {"term": held if bits is None else held[is_set(bits, held & (TERM_BITS - 1))]}
+
+        return map_rows(texts.select("text"), work, "term long", "text").groupBy("term").agg(F.count("*").alias(name))
 
     totals = {r.toxic: r.n for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n_toxic, n_plain = totals.get(1, 0), totals.get(0, 0)
-    marks = (
-        map_rows(known, words, "word string, toxic int", "text")
-        .groupBy("word")
-        .agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("plain"))
-        .where(
-            (F.col("toxic") >= max(2.0, settings.least_share * n_toxic))
-            & (F.col("toxic") * max(n_plain, 1) > settings.least_ratio * F.col("plain") * max(n_toxic, 1))
-        )
-        .orderBy(F.desc("toxic"), "word")
+    texts = {r.toxic: r.n for r in known.where("once").groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    all_toxic, all_plain = max(1, texts.get(1, 0)), max(1, texts.get(0, 0))
+    tried = written(counted(toxic, None, "a").where(F.col("a") >= settings.least_texts), "terms")
+    bits = np.frombuffer(
+        collected_bits(tried.select(F.col("term").bitwiseAND(F.lit(TERM_BITS - 1)).alias("at")), "at", TERM_LOG2), np.uint8
+    )
+    a, b = F.col("a").cast("double"), F.coalesce("b", F.lit(0)).cast("double")
+    share = all_toxic / (all_toxic + all_plain)
+    # Twice the log likelihood ratio; about exp(-x / 2) of what is tried exceeds x by chance.
+    evidence = 2 * (a * F.log(a / ((a + b) * share)) + F.when(b > 0, b * F.log(b / ((a + b) * (1 - share)))).otherwise(0.0))
+    found = (
+        tried.join(counted(plain, bits, "b"), "term", "left")
+        .where(a * all_plain > settings.least_ratio * b * all_toxic)
+        .select("term", evidence.alias("evidence"))
+        .where(F.col("evidence") > 2 * math.log(max(2, tried.count())))
+        .orderBy(F.desc("evidence"), "term")
         .limit(settings.toxic_samples)
         .collect()
     )
+    marks = np.array([r.term for r in found], np.int64)
+
+    def around(part: pa.RecordBatch) -> dict:
+        cut = (lambda t: marked_windows(t, marks)) if len(marks) else (lambda t: windows(t, settings.window))
+        return {"piece": [w for t in part.column("text").to_pylist() for w in cut(t)]}
 
     def pieces(part: pa.RecordBatch) -> dict:
         return {"piece": [w for t in part.column("text").to_pylist() for w in windows(t, settings.window)]}
 
-    ordinary = [
-        r.piece
-        for r in map_rows(known.where("toxic = 0"), pieces, "piece binary", "text")
-        .orderBy(F.xxhash64("piece"), "piece")
-        .limit(settings.ordinary_windows)
-        .toLocalIterator()
-    ]
+    def sample(texts: DataFrame, work, most: int) -> list[bytes]:
+        picked = map_rows(texts, work, "piece binary", "text").orderBy(F.xxhash64("piece"), "piece").limit(most)
+        return [bytes(r.piece) for r in picked.toLocalIterator()]
+
     model = Model(
-        trained([bytes(x) for x in ordinary], settings.ordinary_size),
-        toxic_contents([(r.word, r.toxic) for r in marks], settings.toxic_samples, settings.toxic_size),
+        trained(sample(known.where("toxic = 0"), pieces, settings.ordinary_windows), settings.ordinary_size),
+        toxic_contents(sample(toxic, around, settings.toxic_samples), settings.toxic_size),
         settings,
     )
 

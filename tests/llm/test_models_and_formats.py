@@ -144,6 +144,36 @@ def test_toxicity_of_held_out_documents(spark):
     assert all(0 <= r.toxicity <= 1 for r in got)
 
 
+def test_toxicity_of_phrases_and_of_rare_words(spark):
+    common = prose(1, 8000, 400).lower().replace(".", "").split()
+    phrases = [" ".join(sorted(set(common))[i : i + 4]) for i in (3, 120, 241)]
+    rare = ["".join(random.Random(i).sample("bcdfghjklmnpqrstvwxz", 8)) for i in range(20)]
+    docs, labels = [], []
+    for i in range(3000):
+        w = prose(i, 40 + i % 50, 400).split()
+        bad = i % 5 == 0
+        if bad:
+            # Rare words, each in one of forty toxic texts, or phrases of common words.
+            said = rare[i // 10 % 20] if i % 2 else phrases[i // 10 % 3]
+            for at in (5, 20, 33):
+                w.insert(at, said)
+        docs.append((i, " ".join(w)))
+        labels.append((i, int(bad)))
+    # Many copies of one toxic text.
+    copied = "fnord " + prose(7, 60, 400)
+    docs += [(i, copied) for i in range(3000, 5000)]
+    labels += [(i, 1) for i in range(3000, 5000)]
+    docs, labels = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    assert all(w.encode() in model.toxic for w in rare)
+    got = toxicity.score(docs.where("doc_id < 3000"), model).where(held_out(F.col("doc_id"))).collect()
+    for kind in (0, 5):
+        bad = [r for r in got if r.doc_id % 10 == kind]
+        assert sum(r.toxicity >= 0.5 for r in bad) >= 0.8 * len(bad) > 20
+    plain = [r for r in got if r.doc_id % 5]
+    assert sum(r.toxicity >= 0.5 for r in plain) <= 0.2 * len(plain)
+
+
 def test_toxicity_without_much_to_learn(spark):
     docs, labels = judged(spark, 12)
     for few in (labels.limit(0), labels.where("toxic = 0"), labels.where("toxic = 1"), labels):
