@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from glosswell.llm import bpe, chat, decontaminate, languages, licenses, lines, neighbours, shingles, spans, toxicity
+from glosswell.llm import bpe, chat, decontaminate, infill, languages, licenses, lines, negatives, neighbours, packing, shingles, spans, toxicity
 from glosswell.llm.common import held_out, read, sha256
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +26,13 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def word_vocabulary() -> str:
+    """The same for the vocabulary of words that packing counts in."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
 def token_digests(documents: DataFrame) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 from the ids and the text decoded from them."""
     decoded = bpe.decode(bpe.encode(documents, vocabulary()), vocabulary())
@@ -239,3 +246,90 @@ def op7_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's licences and the wording they were confirmed by."""
     return licenses.scan(read(spark, sf_dir, "documents"))
+
+
+@registered
+def op11_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document, in sequences of documents that are near each other."""
+    return packing.pack(read(spark, sf_dir, "documents"), word_vocabulary()).select(
+        "doc_id",
+        "start",
+        "length",
+        F.crc32("ids").alias("ids_crc32"),
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+        "score",
+    )
+
+
+@registered
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector; every seventh has the next label."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(read(spark, sf_dir, "embeddings").withColumn("label", moved))
+
+
+ORACLES["op12_hard_negatives"] = r"""
+WITH rows AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 256)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS vec_id, a.label = b.label AS same,
+         CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM rows a JOIN rows b ON a.vec_id <> b.vec_id AND a.vec_id % 100 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
+
+@registered
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as it is to be learned from, and the text read back from that."""
+    made = infill.fill_in_middle(read(spark, sf_dir, "documents"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        sha256(F.col("output")).alias("output_sha256"),
+        sha256(infill.restored(F.col("output"), F.col("form"))).alias("restored_sha256"),
+    )
+
+
+ORACLES["op13_fill_in_middle"] = r"""
+WITH drawn AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS w
+  FROM documents
+), ranks AS (
+  SELECT *, len(w) AS n, ('0x' || h[1:8])::BIGINT % (len(w) + 1) AS x, ('0x' || h[9:16])::BIGINT % (len(w) + 1) AS y,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>')
+                OR ('0x' || h[17:24])::BIGINT % 100 >= 50 THEN 'plain'
+              WHEN ('0x' || h[25:32])::BIGINT % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn
+), cut AS (
+  SELECT *, array_to_string(w[1:least(x, y)], '') AS p,
+         array_to_string(w[least(x, y) + 1:greatest(x, y)], '') AS m, array_to_string(w[greatest(x, y) + 1:], '') AS s
+  FROM ranks
+)
+SELECT doc_id, n::BIGINT AS n, form,
+       CASE WHEN form <> 'plain' THEN length(p)::BIGINT END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m)::BIGINT END AS middle_chars,
+       sha256(CASE form WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE t END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM cut
+"""

@@ -319,7 +319,7 @@ def test_one_document_of_each_group_stays(spark, small):
 def test_registered_queries():
     names = entry.queries()
     assert "pipeline" in names
-    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 11))
+    assert all(sum(n.startswith(f"op{i}_") for n in names) == 1 for i in range(1, 14))
 
 
 def test_held_out_rule(spark):
