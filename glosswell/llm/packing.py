@@ -35,21 +35,29 @@ PIECE = "doc_id long, start long, length long, doc_tokens long, sequence_id long
 
 
 def tokens(documents: DataFrame, vocabulary: str) -> DataFrame:
-    """doc_id, n, ids: the tokens of each whole text and the end token, as little-endian 32-bit integers."""
-    end = np.array([END], "<u4").tobytes()
+    """doc_id, n, ids: the tokens of each whole text and the end token, as little-endian integers that have
+    the smallest width that does for the vocabulary."""
 
     def work(part: pa.RecordBatch) -> dict:
-        ids = [x + end for x in word_ids(vocabulary).encode(part.column("text").to_pylist())]
-        return {"doc_id": part.column("doc_id"), "n": [len(x) // 4 for x in ids], "ids": ids}
+        encoder = word_ids(vocabulary)
+        end = np.array([END], encoder.kind).tobytes()
+        ids = [x.tobytes() + end for x in encoder.encode(part.column("text"))]
+        return {"doc_id": part.column("doc_id"), "n": [len(x) // len(end) for x in ids], "ids": ids}
 
     chosen = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return map_rows(chosen, work, "doc_id long, n long, ids binary", "text")
 
 
-def terms_of(ids: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Each list's distinct terms in order, how often they occur, and where each list's begin."""
-    lengths = np.array([len(x) // 4 for x in ids], np.int64)
-    keys = np.repeat(np.arange(len(ids), dtype=np.int64), lengths) << 32 | np.frombuffer(b"".join(ids), "<u4").astype(np.int64)
+def flat(ids: list[bytes], n: int) -> np.ndarray:
+    """All ids of the lists, n in number."""
+    raw = b"".join(ids)
+    return np.frombuffer(raw, f"<u{len(raw) // n}" if n else "<u2")
+
+
+def terms_of(ids: list[bytes], lengths: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each list's distinct terms in order, how often they occur, and where each list's begin. ``lengths``
+    are the lists' numbers of ids."""
+    keys = np.repeat(np.arange(len(ids), dtype=np.int64) << 32, lengths) | flat(ids, sum(lengths)).astype(np.int64)
     keys, times = np.unique(keys, return_counts=True)
     return keys & 0xFFFFFFFF, times, np.searchsorted(keys >> 32, np.arange(len(ids) + 1))
 
@@ -60,14 +68,14 @@ def document_counts(made: DataFrame) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for part in slices(batches, "ids"):
-            own = np.bincount(terms_of(part.column("ids").to_pylist())[0])
+            own = np.bincount(terms_of(part.column("ids").to_pylist(), part.column("n").to_pylist())[0])
             if len(own) > len(total):
                 own, total = total, own
             total[: len(own)] += own
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used], pa.int64())], ["term", "docs"])
 
-    return made.select("ids").mapInArrow(count, "term long, docs long").groupBy("term").agg(F.sum("docs").alias("docs"))
+    return made.select("n", "ids").mapInArrow(count, "term long, docs long").groupBy("term").agg(F.sum("docs").alias("docs"))
 
 
 class Statistics:
@@ -99,11 +107,12 @@ def pieces(made: DataFrame, statistics: Statistics, window: int) -> DataFrame:
         for i, (n, x) in enumerate(zip(part.column("n").to_pylist(), part.column("ids").to_pylist())):
             for at in range(0, n, window):
                 rows.append((i, at, min(window, n - at)))
-                ids.append(x[4 * at : 4 * (at + window)])
+                wide = len(x) // n
+                ids.append(x[wide * at : wide * (at + window)])
         which, starts, lengths = (np.array(c, np.int64) for c in zip(*rows))
         out = {c: part.column(c).take(pa.array(which)) for c in ("doc_id", "n")}
         out |= {"start": starts, "length": lengths, "ids": pa.array(ids, pa.binary())}
-        terms, times, cuts = terms_of(ids)
+        terms, times, cuts = terms_of(ids, lengths.tolist())
         weights = stats.weights(terms, times, np.repeat(lengths, np.diff(cuts))) * stats.shared[terms]
         owner = np.repeat(np.arange(len(ids)), np.diff(cuts))
         order = np.lexsort((terms, -weights, owner))
@@ -120,30 +129,49 @@ class Shard:
     """Pieces with an inverted index: for each term the pieces that hold it, and its weight there."""
 
     def __init__(self, rows: list[dict], statistics: Statistics):
-        self.rows = rows
-        self.lengths = np.array([r["length"] for r in rows], np.int64)
-        self.terms, times, self.cuts = terms_of([r["ids"] for r in rows])
-        owner = np.repeat(np.arange(len(rows)), np.diff(self.cuts))
-        weights = statistics.weights(self.terms, times, self.lengths[owner])
-        order = np.argsort(self.terms, kind="stable")
+        lengths = [r["length"] for r in rows]
+        terms, times, cuts = terms_of([r["ids"] for r in rows], lengths)
+        owner = np.repeat(np.arange(len(rows)), np.diff(cuts))
+        weights = statistics.weights(terms, times, np.array(lengths)[owner])
+        order = np.argsort(terms, kind="stable")
         self.pieces, self.weights = owner[order], weights[order]
-        self.listed, begin = np.unique(self.terms[order], return_index=True)
+        self.listed, begin = np.unique(terms[order], return_index=True)
         self.begin = np.append(begin, len(order))
         self.unused = np.ones(len(rows), bool)
+        self.indexed = len(rows)
+
+    def prune(self) -> None:
+        """Take used pieces out of the index once they are half of it."""
+        if 2 * np.count_nonzero(self.unused) <= self.indexed:
+            kept = self.unused[self.pieces]
+            self.begin = np.concatenate([[0], np.cumsum(kept)])[self.begin]
+            self.pieces, self.weights = self.pieces[kept], self.weights[kept]
+            self.indexed = int(np.count_nonzero(self.unused))
 
     def neighbours(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Unused pieces by falling score for a query of distinct terms, ties in order, and all scores."""
-        place = np.searchsorted(self.listed, terms)
-        place = place[place < len(self.listed)]
-        place = place[np.isin(self.listed[place], terms)]
+        self.prune()
+        place = np.searchsorted(self.listed[:-1], terms)
+        place = place[self.listed[place] == terms]
         begin, size = self.begin[place], self.begin[place + 1] - self.begin[place]
         upto = np.cumsum(size)
         at = np.repeat(begin - upto + size, size) + np.arange(upto[-1] if len(upto) else 0)
-        scores = np.bincount(self.pieces[at], self.weights[at], len(self.rows))
+        scores = np.bincount(self.pieces[at], self.weights[at], len(self.unused))
         left = np.flatnonzero(self.unused)
         return left[np.argsort(-scores[left], kind="stable")], scores
 
 
+def parted(row: dict, room: int) -> tuple[dict, dict | None]:
+    """The first ``room`` tokens of a piece, and the others if there are any."""
+    if row["length"] <= room:
+        return row, None
+    wide = len(row["ids"]) // row["length"]
+    return (
+        row | {"length": room, "ids": row["ids"][: wide * room]},
+        row | {"start": row["start"] + room, "length": row["length"] - room, "ids": row["ids"][wide * room :]},
+    )
+
+
 class Packer:
     """Fills windows shard by shard."""
 
@@ -155,11 +183,10 @@ class Packer:
     def put(self, row: dict, score: float | None) -> dict | None:
         """Append a piece to the open window; what does not fit is given back."""
         room = self.window - self.filled
-        self.open.append(row | {"length": min(row["length"], room), "ids": row["ids"][: 4 * room], "score": score})
-        self.filled += min(row["length"], room)
-        if row["length"] <= room:
-            return None
-        return row | {"start": row["start"] + room, "length": row["length"] - room, "ids": row["ids"][4 * room :]}
+        taken, rest = parted(row, room)
+        self.open.append(taken | {"score": score})
+        self.filled += taken["length"]
+        return rest
 
     def sequences(self, cuts: list[int]) -> Iterator[dict]:
         """The open window's pieces as sequences of the given lengths."""
@@ -167,12 +194,11 @@ class Packer:
         for room in cuts:
             offset = 0
             while offset < room:
-                row = rows.pop()
-                take = min(row["length"], room - offset)
-                yield row | {"length": take, "ids": row["ids"][: 4 * take], "sequence_id": self.sequence, "offset": offset}
-                offset += take
-                if take < row["length"]:
-                    rows.append(row | {"start": row["start"] + take, "length": row["length"] - take, "ids": row["ids"][4 * take :]})
+                row, rest = parted(rows.pop(), room - offset)
+                yield row | {"sequence_id": self.sequence, "offset": offset}
+                offset += row["length"]
+                if rest:
+                    rows.append(rest)
             self.sequence += 1
         self.open, self.filled = [], 0
 
@@ -190,7 +216,7 @@ class Packer:
                         return
                     rest, shard.unused[upto] = rows[upto], False
                 rest = self.put(rest, None)
-            order, scores = shard.neighbours(np.unique(np.frombuffer(self.open[0]["ids"], "<u4")).astype(np.int64))
+            order, scores = shard.neighbours(np.unique(flat([self.open[0]["ids"]], self.open[0]["length"])).astype(np.int64))
             for i in order.tolist():
                 if self.filled == self.window:
                     break
@@ -232,7 +258,7 @@ def pack(documents: DataFrame, vocabulary: str, window: int = WINDOW) -> DataFra
     schema = to_arrow_schema(StructType.fromDDL(PIECE))
 
     def batch_of(rows: list[dict]) -> pa.RecordBatch:
-        named = [r | {"doc_tokens": r["n"]} for r in rows]
+        named = [r | {"doc_tokens": r["n"], "ids": flat([r["ids"]], r["length"]).astype("<u4").tobytes()} for r in rows]
         return pa.RecordBatch.from_arrays([pa.array([r[f.name] for r in named], f.type) for f in schema], schema=schema)
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,15 +281,12 @@ def pack(documents: DataFrame, vocabulary: str, window: int = WINDOW) -> DataFra
         .select("doc_id", "n", "start", "length", "ids")
         .mapInArrow(fill, PIECE)
     )
+    def widened(part: pa.RecordBatch) -> dict:
+        columns = {c: part.column(c) for c in part.schema.names}
+        ids = [flat([x], window).astype("<u4").tobytes() for x in part.column("ids").to_pylist()]
+        return columns | {"ids": ids, "offset": [0] * len(ids), "score": [None] * len(ids)}
+
     # Odd numbers are whole windows of one document, even ones are sequences of several.
-    whole = cut.where(F.col("length") == window).select(
-        "doc_id",
-        "start",
-        "length",
-        F.col("n").alias("doc_tokens"),
-        (F.monotonically_increasing_id() * 2 + 1).alias("sequence_id"),
-        F.lit(0).cast("long").alias("offset"),
-        F.lit(None).cast("double").alias("score"),
-        "ids",
-    )
-    return whole.unionByName(mixed.withColumn("sequence_id", F.col("sequence_id") * 2))
+    number = (F.monotonically_increasing_id() * 2 + 1).alias("sequence_id")
+    whole = cut.where(F.col("length") == window).select("doc_id", "start", "length", F.col("n").alias("doc_tokens"), number, "ids")
+    return map_rows(whole, widened, PIECE, "ids").unionByName(mixed.withColumn("sequence_id", F.col("sequence_id") * 2))

@@ -1,51 +1,33 @@
 """Tokens of a published vocabulary that never joins words across blanks, by the library that reads it.
 
-The normaliser and the splitter of such a vocabulary treat a text between blanks on its own, so the
-tokens of a text are those of its stretches one after another. A worker remembers the tokens of
-stretches it has met, in two generations: what the older one held and is met again moves to the
-younger, and when that is full the older one goes. So memory is bounded and frequent words stay.
+The normaliser and the splitter of such a vocabulary treat a text between blanks on its own, and letters
+apart from what is neither letter nor digit, so the tokens of a text are those of its stretches one
+after another. The texts of a slice are cut and their distinct stretches found in a few array passes. A
+worker remembers the tokens of stretches in two generations: what the older one holds and is met again
+moves to the younger, and when that is full the older one goes. So memory is bounded and frequent words stay.
 """
 
 from __future__ import annotations
 
 import os
 import re
-from itertools import filterfalse
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Stretches of a generation, and the longest one that is remembered; bounds memory, never results.
-GENERATION, LONGEST = 400_000, 48
+GENERATION, LONGEST = 300_000, 48
 #: Stretches given to the library at once.
 AT_ONCE = 4_096
-#: Blanks that are blanks to every library, and characters that are blanks to some.
-BLANKS = re.compile(r"[ \t\n\r\x0b\x0c]+")
-DOUBTFUL = re.compile("[\x1c-\x1f\x85\xa0  -     　]")
-
-
-class Generations:
-    """A memory of words that keeps at least the last ``most`` and at most twice as many."""
-
-    def __init__(self, most: int):
-        self.most, self.young, self.old = most, {}, {}
-
-    def missing(self, texts: list[list[str]]) -> list[str]:
-        """The words of ``texts`` that are not held; those that are stay until the next turn."""
-        unseen: set[str] = set()
-        for words in texts:
-            unseen.update(filterfalse(self.young.__contains__, words))
-        again = self.old.keys() & unseen
-        self.young.update((w, self.old[w]) for w in again)
-        return list(unseen - again)
-
-    def turn(self) -> None:
-        """Between slices: a full younger generation becomes the older one."""
-        if len(self.young) > self.most:
-            self.old, self.young = self.young, {}
+LETTERS = "[a-zß-öø-ÿ]+"
+#: Letters that are a word by themselves to the splitter, and what may follow them as another one.
+WORD = re.compile(LETTERS)
+WORD_AND_MARKS = re.compile(f"({LETTERS})([!-/:-@\\[-`{{-~]+)")
 
 
 class WordIds:
-    """One vocabulary in one worker."""
+    """One vocabulary in one worker. Ids are kept in the smallest integers that do."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the parallelism here
@@ -54,25 +36,78 @@ class WordIds:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.size = self.library.get_vocab_size(with_added_tokens=True)
-        self.held = Generations(GENERATION)
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each whole text as little-endian 32-bit integers."""
-        cut = [[] if not t else BLANKS.split(t) if DOUBTFUL.search(t) else t.split() for t in texts]
-        new = self.held.missing(cut)
-        long = {}
-        for begin in range(0, len(new), AT_ONCE):
-            words = new[begin : begin + AT_ONCE]
-            for word, made in zip(words, self.library.encode_batch_fast(words, add_special_tokens=False)):
-                (self.held.young if len(word) <= LONGEST else long)[word] = np.array(made.ids, "<u4").tobytes()
-        young = self.held.young
-        if long:
-            out = [b"".join([long[w] if w in long else young[w] for w in parts]) for parts in cut]
-        else:
-            out = [b"".join(map(young.__getitem__, parts)) for parts in cut]
-        self.held.turn()
-        return out
+        vocabulary = self.library.get_vocab(with_added_tokens=True)
+        size = max(vocabulary.values()) + 1
+        self.kind = "<u2" if size <= 1 << 16 else "<u4"
+        self.ends = np.zeros(size, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def split(self, texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
+        """Which distinct stretch each stretch of the texts is; those; where each text's begin."""
+        texts = pc.fill_null(texts, "")
+        # Special tokens are told before letters are lower-cased.
+        if not pc.any(pc.match_substring(texts, "<|")).as_py():
+            texts = pc.ascii_lower(texts)
+        cut = pc.ascii_split_whitespace(texts)
+        words = cut.flatten().dictionary_encode()
+        starts = np.concatenate([[0], np.cumsum(pc.list_value_length(cut).to_numpy())])
+        return words.indices.to_numpy(), words.dictionary.to_pylist(), starts
+
+    def recall(self, word: str) -> bytes | None:
+        if (ids := self.young.get(word)) is None and (ids := self.old.get(word)) is not None:
+            self.young[word] = ids
+        return ids
+
+    def ask(self, words: list[str]) -> dict[str, bytes]:
+        """The library's ids for these stretches. Words of letters alone go in one text, told apart by the
+        tokens that end a word."""
+        made: dict[str, bytes] = {}
+        plain = [w for w in words if len(w) <= LONGEST and WORD.fullmatch(w)]
+        for begin in range(0, len(plain), AT_ONCE):
+            part = plain[begin : begin + AT_ONCE]
+            ids = np.array(self.library.encode(" ".join(part), add_special_tokens=False).ids, self.kind)
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) != len(part):
+                raise ValueError("the vocabulary does not mark the ends of words")
+            width, raw = ids.itemsize, ids.tobytes()
+            for w, a, b in zip(part, [0, *ends.tolist()], ends.tolist()):
+                made[w] = raw[a * width : b * width]
+        other = [w for w in words if w not in made]
+        for begin in range(0, len(other), AT_ONCE):
+            part = other[begin : begin + AT_ONCE]
+            for w, x in zip(part, self.library.encode_batch_fast(part, add_special_tokens=False)):
+                made[w] = np.array(x.ids, self.kind).tobytes()
+        return made
+
+    def known(self, words: list[str]) -> list[bytes]:
+        """The ids of each distinct stretch."""
+        found = list(map(self.recall, words))
+        new = [i for i, ids in enumerate(found) if ids is None]
+        parts = {i: m.groups() for i in new if (m := WORD_AND_MARKS.fullmatch(words[i]))}
+        asked = {p for i in new for p in parts.get(i, (words[i],))}
+        made = {p: ids for p in asked if (ids := self.recall(p)) is not None}
+        made |= self.ask(list(asked - made.keys()))
+        for i in new:
+            found[i] = b"".join([made[p] for p in parts.get(i, (words[i],))])
+        self.young.update((p, ids) for p, ids in made.items() if len(p) <= LONGEST)
+        if len(self.young) > GENERATION:
+            self.old, self.young = self.young, {}
+        return found
+
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """The ids of each whole text."""
+        codes, words, starts = self.split(texts)
+        known = self.known(words)
+        flat = np.frombuffer(b"".join(known), self.kind)
+        size = np.array([len(x) for x in known], np.int64) // flat.itemsize
+        begin = np.cumsum(size) - size
+        own = size[codes]
+        upto = np.concatenate([[0], np.cumsum(own)])
+        ids = flat[np.repeat(begin[codes] - upto[:-1], own) + np.arange(upto[-1])]
+        ends = upto[starts]
+        return [ids[a:b] for a, b in zip(ends, ends[1:])]
 
 
 ENCODERS: dict[str, WordIds] = {}
