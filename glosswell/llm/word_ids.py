@@ -2,9 +2,10 @@
 
 The normaliser and the splitter of such a vocabulary treat a text between blanks on its own, and letters
 apart from what is neither letter nor digit, so the tokens of a text are those of its stretches one
-after another. The texts of a slice are cut and their distinct stretches found in a few array passes. A
-worker remembers the tokens of stretches in two generations: what the older one holds and is met again
-moves to the younger, and when that is full the older one goes. So memory is bounded and frequent words stay.
+after another. Stretches are told apart by 64-bit hashes, found for all texts of a slice in a few array
+passes (``words``). A worker remembers the tokens of stretches in sorted arrays of some 30 bytes each, so
+the library is only asked for those that are new; when the memory is full, those not met since the last
+time go.
 """
 
 from __future__ import annotations
@@ -14,16 +15,65 @@ import re
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 
-#: Stretches of a generation, and the longest one that is remembered; bounds memory, never results.
-GENERATION, LONGEST = 300_000, 48
+from glosswell.llm.words import SPACED, texts_words, words_of
+
+#: Stretches that a worker remembers, and the longest one it does; bounds memory, never results.
+REMEMBERED, LONGEST = 1_500_000, 64
 #: Stretches given to the library at once.
 AT_ONCE = 4_096
 LETTERS = "[a-zß-öø-ÿ]+"
 #: Letters that are a word by themselves to the splitter, and what may follow them as another one.
 WORD = re.compile(LETTERS)
 WORD_AND_MARKS = re.compile(f"({LETTERS})([!-/:-@\\[-`{{-~]+)")
+#: Special tokens begin so; they are told before letters are lower-cased.
+SPECIAL = "<|"
+
+
+def gathered(flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The stretches of ``flat`` from ``begin`` on, one after another."""
+    upto = np.cumsum(size)
+    return flat[np.repeat(begin - upto + size, size) + np.arange(upto[-1] if len(upto) else 0)]
+
+
+class Memory:
+    """Ids by hash: sorted hashes, where each one's ids begin in a flat array, and how many they are."""
+
+    def __init__(self, kind: str):
+        self.hashes = np.zeros(0, np.uint64)
+        self.begin, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.met = np.zeros(0, bool)
+        self.flat = np.zeros(0, kind)
+
+    def find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The place of each hash, and whether it is there."""
+        place = np.searchsorted(self.hashes, hashes)
+        place[place == len(self.hashes)] = 0
+        there = self.hashes[place] == hashes if len(self.hashes) else np.zeros(len(hashes), bool)
+        self.met[place[there]] = True
+        return place, there
+
+    def add(self, hashes: np.ndarray, ids: list[bytes]) -> None:
+        """Distinct hashes that are not there yet."""
+        more = np.frombuffer(b"".join(ids), self.flat.dtype)
+        size = np.array([len(x) for x in ids], np.int64) // more.itemsize
+        at = np.concatenate([self.hashes, hashes])
+        order = np.argsort(at, kind="stable")
+        self.hashes = at[order]
+        self.begin = np.concatenate([self.begin, len(self.flat) + np.cumsum(size) - size])[order]
+        self.size = np.concatenate([self.size, size])[order]
+        self.met = np.concatenate([self.met, np.ones(len(hashes), bool)])[order]
+        self.flat = np.concatenate([self.flat, more])
+
+    def trim(self, most: int) -> None:
+        """Between slices: beyond ``most``, keep what was met since the last time, all else if that is too much."""
+        if len(self.hashes) <= most:
+            return
+        kept = self.met if 2 * np.count_nonzero(self.met) <= most else np.zeros(len(self.met), bool)
+        self.flat = gathered(self.flat, self.begin[kept], self.size[kept])
+        self.hashes, self.size = self.hashes[kept], self.size[kept]
+        self.begin = np.cumsum(self.size) - self.size
+        self.met = np.zeros(len(self.hashes), bool)
 
 
 class WordIds:
@@ -41,24 +91,7 @@ class WordIds:
         self.kind = "<u2" if size <= 1 << 16 else "<u4"
         self.ends = np.zeros(size, bool)
         self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def split(self, texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray]:
-        """Which distinct stretch each stretch of the texts is; those; where each text's begin."""
-        texts = pc.fill_null(texts, "")
-        # Special tokens are told before letters are lower-cased.
-        if not pc.any(pc.match_substring(texts, "<|")).as_py():
-            texts = pc.ascii_lower(texts)
-        cut = pc.ascii_split_whitespace(texts)
-        words = cut.flatten().dictionary_encode()
-        starts = np.concatenate([[0], np.cumsum(pc.list_value_length(cut).to_numpy())])
-        return words.indices.to_numpy(), words.dictionary.to_pylist(), starts
-
-    def recall(self, word: str) -> bytes | None:
-        if (ids := self.young.get(word)) is None and (ids := self.old.get(word)) is not None:
-            self.young[word] = ids
-        return ids
+        self.memory = Memory(self.kind)
 
     def ask(self, words: list[str]) -> dict[str, bytes]:
         """The library's ids for these stretches. Words of letters alone go in one text, told apart by the
@@ -71,9 +104,8 @@ class WordIds:
             ends = np.flatnonzero(self.ends[ids]) + 1
             if len(ends) != len(part):
                 raise ValueError("the vocabulary does not mark the ends of words")
-            width, raw = ids.itemsize, ids.tobytes()
-            for w, a, b in zip(part, [0, *ends.tolist()], ends.tolist()):
-                made[w] = raw[a * width : b * width]
+            raw, ends = ids.tobytes(), (ends * ids.itemsize).tolist()
+            made.update((w, raw[a:b]) for w, a, b in zip(part, [0, *ends], ends))
         other = [w for w in words if w not in made]
         for begin in range(0, len(other), AT_ONCE):
             part = other[begin : begin + AT_ONCE]
@@ -81,33 +113,43 @@ class WordIds:
                 made[w] = np.array(x.ids, self.kind).tobytes()
         return made
 
-    def known(self, words: list[str]) -> list[bytes]:
-        """The ids of each distinct stretch."""
-        found = list(map(self.recall, words))
-        new = [i for i, ids in enumerate(found) if ids is None]
-        parts = {i: m.groups() for i in new if (m := WORD_AND_MARKS.fullmatch(words[i]))}
-        asked = {p for i in new for p in parts.get(i, (words[i],))}
-        made = {p: ids for p in asked if (ids := self.recall(p)) is not None}
-        made |= self.ask(list(asked - made.keys()))
-        for i in new:
-            found[i] = b"".join([made[p] for p in parts.get(i, (words[i],))])
-        self.young.update((p, ids) for p, ids in made.items() if len(p) <= LONGEST)
-        if len(self.young) > GENERATION:
-            self.old, self.young = self.young, {}
-        return found
+    def learn(self, hashes: np.ndarray, words: list[str]) -> None:
+        """Remember distinct new stretches. Marks behind letters are looked up apart from them."""
+        parts = [m.groups() if (m := WORD_AND_MARKS.fullmatch(w)) else (w,) for w in words]
+        own = dict.fromkeys(p for x in parts if len(x) > 1 for p in x)
+        raw = " ".join(own).encode()
+        own_hashes = words_of(raw, SPACED)[0]
+        place, there = self.memory.find(own_hashes)
+        memory, known = self.memory, {}
+        for p, i, found in zip(own, place.tolist(), there.tolist()):
+            if found:
+                known[p] = memory.flat[memory.begin[i] : memory.begin[i] + memory.size[i]].tobytes()
+        known |= self.ask(list({p for x in parts for p in x} - known.keys()))
+        ids = [known[x[0]] if len(x) == 1 else known[x[0]] + known[x[1]] for x in parts]
+        new = dict(zip(hashes.tolist(), ids)) | {
+            h: known[p] for h, p, found in zip(own_hashes.tolist(), own, there.tolist()) if not found
+        }
+        memory.add(np.fromiter(new, np.uint64, len(new)), list(new.values()))
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each whole text."""
-        codes, words, starts = self.split(texts)
-        known = self.known(words)
-        flat = np.frombuffer(b"".join(known), self.kind)
-        size = np.array([len(x) for x in known], np.int64) // flat.itemsize
-        begin = np.cumsum(size) - size
-        own = size[codes]
-        upto = np.concatenate([[0], np.cumsum(own)])
-        ids = flat[np.repeat(begin[codes] - upto[:-1], own) + np.arange(upto[-1])]
-        ends = upto[starts]
-        return [ids[a:b] for a, b in zip(ends, ends[1:])]
+        plain = [t or "" for t in texts.to_pylist()]
+        special = {i: t for i, t in enumerate(plain) if SPECIAL in t}
+        raw, hashes, first, last, bounds = texts_words(["" if i in special else t for i, t in enumerate(plain)], SPACED)
+        found, at, which = np.unique(hashes, return_index=True, return_inverse=True)
+        new = ~self.memory.find(found)[1]
+        words = [raw[a:b].lower().decode() for a, b in zip(first[at[new]].tolist(), last[at[new]].tolist())]
+        if words:
+            self.learn(found[new], words)
+        place, _ = self.memory.find(found)
+        own = self.memory.size[place][which]
+        ids = gathered(self.memory.flat, self.memory.begin[place][which], own)
+        ends = np.concatenate([[0], np.cumsum(own)])[bounds]
+        out = [ids[a:b] for a, b in zip(ends, ends[1:])]
+        for i, t in special.items():
+            out[i] = np.array(self.library.encode(t, add_special_tokens=False).ids, self.kind)
+        self.memory.trim(REMEMBERED)
+        return out
 
 
 ENCODERS: dict[str, WordIds] = {}

@@ -168,7 +168,7 @@ def test_search_stops_at_certified_windows():
 def test_word_ids_are_those_of_the_library(monkeypatch):
     from glosswell.llm import word_ids as module
 
-    monkeypatch.setattr(module, "GENERATION", 5)
+    monkeypatch.setattr(module, "REMEMBERED", 20)
     monkeypatch.setattr(module, "AT_ONCE", 3)
     encoder = WordIds(word_vocabulary())
     assert encoder.kind == "<u2"
