@@ -52,14 +52,7 @@ def start_stream(query: str, comments: DataFrame, size: int, out: str, checkpoin
         report = lambda batch: daytime.row_lines(batch, daytime.SLOT_COLUMNS)
         return [each_batch(slots, report, out, f"{checkpoint}/daytime").start()]
 
-    entries_path, credits_path = f"{out}_entries", f"{out}_credits"
-    entry_rows = live_threads.author_entries(bounded(comments))
-    steps = [append_table(entry_rows, entries_path, f"{checkpoint}/entries").start()]
-    # All entries and credits there are go into the next batch: files of one batch have no order.
-    entries = bounded(spark.readStream.schema(entry_rows.schema).parquet(entries_path))
-    credit_rows = live_threads.reply_credits(bounded(comments), entries)
-    steps.append(append_table(credit_rows, credits_path, f"{checkpoint}/credits").start())
-    credits = bounded(spark.readStream.schema(credit_rows.schema).parquet(credits_path))
+    steps, credits = start_credits(comments, out, checkpoint)
     if query == "users":
         scores = live.window_scores(bounded(comments), credits, size)
         report = lambda batch: popularity.user_lines(popularity.rank_users(batch))
@@ -75,17 +68,35 @@ def start_stream(query: str, comments: DataFrame, size: int, out: str, checkpoin
     return steps
 
 
-def start_latency(query: str, comments: DataFrame, size: int, out: str, checkpoint: str):
-    """Start the latency stream of a query: ``start_ms,latency_ms`` lines per closed window."""
+def start_credits(comments: DataFrame, out: str, checkpoint: str) -> tuple[list, DataFrame]:
+    """Start the two steps that find reply credits; these and the watermarked stream of credits."""
+    spark = comments.sparkSession
+    entries_path, credits_path = f"{out}_entries", f"{out}_credits"
+    entry_rows = live_threads.author_entries(bounded(comments))
+    steps = [append_table(entry_rows, entries_path, f"{checkpoint}/entries").start()]
+    # All entries and credits there are go into the next batch: files of one batch have no order.
+    entries = bounded(spark.readStream.schema(entry_rows.schema).parquet(entries_path))
+    credit_rows = live_threads.reply_credits(bounded(comments), entries)
+    steps.append(append_table(credit_rows, credits_path, f"{checkpoint}/credits").start())
+    return steps, bounded(spark.readStream.schema(credit_rows.schema).parquet(credits_path))
+
+
+def start_latency(query: str, comments: DataFrame, size: int, out: str, checkpoint: str) -> list:
+    """Start the latency stream(s) of a query: ``start_ms,latency_ms`` lines per closed window.
+
+    That of ``users`` is over likes and replies, whose credits are steps of their own.
+    """
     stamped = metrics.stamp(comments)
+    steps = []
     if query == "articles":
         closed = reports.article_counts_stamped(bounded(stamped), size)
     elif query == "daytime":
         closed = reports.slot_totals_stamped(ascending(stamped), size)
     else:
-        closed = reports.like_scores_stamped(bounded(stamped), size)
+        steps, credits = start_credits(stamped, out, checkpoint)
+        closed = live.window_stamps(bounded(stamped), credits, size)
     report = lambda batch: reports.latency_lines(metrics.emission_latency(batch))
-    return each_batch(closed, report, out, f"{checkpoint}/latency_{query}").start()
+    return [*steps, each_batch(closed, report, out, f"{checkpoint}/latency_{query}").start()]
 
 
 def main(argv: list[str] | None = None) -> None:

@@ -10,14 +10,28 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from glosswell.functions.scores import REPLY_CENTS
-from glosswell.functions.times import last_instant
+from glosswell.functions.times import hours, last_instant
+from glosswell.operators.counts import window_sum
 from glosswell.plans.popularity import TOP_USERS, like_scores, likes, user_scores
+from glosswell.plans.reports import STAMP, like_scores_stamped
+from glosswell.streaming.state import SecondQueue
 
-WAITING_TYPE = "at_us bigint, is_like int, reply_id string, hop int, cents bigint"
+WAITING_TYPE = "at_us bigint, is_like int, reply_id string, hop int, cents bigint, stamp_us bigint"
 SCORED_TYPE = "at_us bigint, is_like int, reply_id string, hop int, user_id string, cents decimal(38,0)"
+STAMPED_TYPE = f"{SCORED_TYPE}, stamp_us bigint"
 SALTS = 64
 
 
+def window_stamps(comments: DataFrame, credits: DataFrame, window_hours: int) -> DataFrame:
+    """Latest ingest time behind a user's score in each closed window: ``window, user_id, ingest_ts``.
+
+    Likes and credits feed the same window, which closes by the smaller of both watermarks; one with
+    credits only has a row as well.
+    """
+    rows = likes(comments, keep=(STAMP,)).drop("cents").unionByName(credits.select("create_date", "user_id", STAMP))
+    return window_sum(rows, "create_date", hours(window_hours), "user_id", **{STAMP: F.max(STAMP)})
+
+
 def window_scores(comments: DataFrame, credits: DataFrame, window_hours: int) -> DataFrame:
     """Closed windows of cents per user: ``window, user_id, cents``.
 
@@ -28,90 +42,109 @@ def window_scores(comments: DataFrame, credits: DataFrame, window_hours: int) ->
 
 
 class RunningScore(StatefulProcessor):
-    """Replies and like cents of a user so far; one row out per row in. Never resets.
+    """Replies and like cents of a user so far, and the latest stamp behind them; one row out per row in.
 
     Rows wait until the watermark has passed them and are then taken in event order: a window's
     like total comes out of its aggregation later than replies made after the window. A row
-    that is itself behind the watermark is not lost, it is taken with the next ones.
+    that is itself behind the watermark is not lost, it is taken at once.
+
+    ``compounded`` adds up the running reply totals; without it the score is that of the replies and
+    likes themselves. ``keep_seconds`` is after how long without a row a user starts anew; None is never.
     """
 
+    def __init__(self, compounded: bool = True, keep_seconds: int | None = None):
+        self.compounded, self.keep_seconds = compounded, keep_seconds
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.totals = handle.getValueState("totals", "replies bigint, score decimal(38,0)")
-        self.waiting = handle.getListState("waiting", WAITING_TYPE)
+        self.totals = handle.getValueState("totals", "replies bigint, score decimal(38,0), stamp_us bigint, last_ms bigint")
+        self.waiting = SecondQueue(handle, "waiting", WAITING_TYPE)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        now = timerValues.getCurrentWatermarkInMs()
-        added = [(r.at_us, r.is_like, r.reply_id, r.hop, r.cents) for r in rows]
-        self.waiting.appendList(added)
-        # One timer per second is enough: each takes all rows the watermark has passed.
-        for second in {max(at_us // 1_000_000 * 1_000, now) + 1_000 for at_us, *_ in added}:
-            self.handle.registerTimer(second)
+        added = [(r.at_us, r.is_like, r.reply_id, r.hop, r.cents, r.stamp_us) for r in rows]
+        self.waiting.add(added)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        passed_us = timerValues.getCurrentWatermarkInMs() * 1_000
-        ready, later = [], []
-        for row in self.waiting.get() if self.waiting.exists() else ():
-            (ready if row[0] < passed_us else later).append(tuple(row))
-        if not ready:
-            return
-        if later:
-            self.waiting.put(later)
-        else:
-            self.waiting.clear()
-        replies, score = self.totals.get() if self.totals.exists() else (0, Decimal(0))
-        for at_us, is_like, reply_id, hop, cents in sorted(ready):
-            if is_like:
-                score += cents
-            else:
-                replies += 1
-                score += REPLY_CENTS * replies
-            yield Row(
-                at_us=at_us, is_like=is_like, reply_id=reply_id, hop=hop, user_id=key[0], cents=score
-            )
-        self.totals.update((replies, score))
+        expiry = expiredTimerInfo.getExpiryTimeInMs()
+        ready = sorted(self.waiting.release(expiry), key=lambda r: r[:4])
+        if ready:
+            replies, score, latest, _ = self.totals.get() if self.totals.exists() else (0, Decimal(0), None, 0)
+            for at_us, is_like, reply_id, hop, cents, stamp_us in ready:
+                if is_like:
+                    score += cents
+                else:
+                    replies += 1
+                    score += REPLY_CENTS * (replies if self.compounded else 1)
+                if stamp_us is not None:
+                    latest = stamp_us if latest is None else max(latest, stamp_us)
+                yield Row(
+                    at_us=at_us, is_like=is_like, reply_id=reply_id, hop=hop, user_id=key[0], cents=score, stamp_us=latest
+                )
+            self.totals.update((replies, score, latest, expiry))
+            if self.keep_seconds is not None:
+                self.handle.registerTimer(expiry + self.keep_seconds * 1_000)
+        elif self.keep_seconds is not None and self.totals.exists():
+            if self.totals.get()[3] + self.keep_seconds * 1_000 <= expiry:
+                self.totals.clear()
 
     def close(self) -> None:
         pass
 
 
-def running_scores(comments: DataFrame, credits: DataFrame, window_hours: int) -> DataFrame:
-    """Running score after each credit and each closed window's like total.
+def _scored(rows: DataFrame, processor: RunningScore, stamped: bool) -> DataFrame:
+    scored = rows.groupBy("user_id").transformWithState(
+        statefulProcessor=processor, outputStructType=STAMPED_TYPE, outputMode="Append", timeMode="EventTime"
+    )
+    stamps = [F.timestamp_micros("stamp_us").alias(STAMP)] if stamped else []
+    return scored.select(
+        F.timestamp_micros("at_us").alias("at"), "is_like", "reply_id", "hop", "user_id", "cents", *stamps
+    )
 
-    Both streams are watermarked by the caller. The time goes into the state as a number, not as
-    the watermarked column, so late credits still count; only the windowed like totals drop
-    late rows.
-    """
-    credit_rows = credits.select(
+
+def _credit_rows(credits: DataFrame, stamped: bool) -> DataFrame:
+    return credits.select(
         F.unix_micros("create_date").alias("at_us"),
         F.lit(0).alias("is_like"),
         "reply_id",
         "hop",
         "user_id",
         "cents",
+        (F.unix_micros(STAMP) if stamped else F.lit(None).cast("bigint")).alias("stamp_us"),
     )
-    like_rows = like_scores(comments, window_hours).select(
+
+
+def running_reply_scores(credits: DataFrame, stamped: bool = False, keep_seconds: int | None = None) -> DataFrame:
+    """Reply cents of each user after every credit: ``create_date, reply_id, hop, user_id, cents``.
+
+    ``credits`` is watermarked by the caller. ``stamped`` adds the latest ``ingest_ts`` so far.
+    """
+    scored = _scored(_credit_rows(credits, stamped), RunningScore(False, keep_seconds), stamped)
+    stamps = [STAMP] if stamped else []
+    return scored.select(F.col("at").alias("create_date"), "reply_id", "hop", "user_id", F.col("cents").cast("bigint").alias("cents"), *stamps)
+
+
+def running_scores(
+    comments: DataFrame, credits: DataFrame, window_hours: int, stamped: bool = False, keep_seconds: int | None = None
+) -> DataFrame:
+    """Running score after each credit and each closed window's like total.
+
+    Both streams are watermarked by the caller. The time goes into the state as a number, not as
+    the watermarked column, so late credits still count; only the windowed like totals drop
+    late rows. ``stamped`` adds the latest ``ingest_ts`` of what is behind the score so far: it is
+    carried through both watermarks together with the score.
+    """
+    totals = like_scores_stamped(comments, window_hours) if stamped else like_scores(comments, window_hours)
+    like_rows = totals.select(
         F.unix_micros(last_instant(F.col("window"))).alias("at_us"),
         F.lit(1).alias("is_like"),
         F.lit("").alias("reply_id"),
         F.lit(0).alias("hop"),
         "user_id",
         "cents",
+        (F.unix_micros(STAMP) if stamped else F.lit(None).cast("bigint")).alias("stamp_us"),
     )
-    scored = (
-        credit_rows.unionByName(like_rows)
-        .groupBy("user_id")
-        .transformWithState(
-            statefulProcessor=RunningScore(),
-            outputStructType=SCORED_TYPE,
-            outputMode="Append",
-            timeMode="EventTime",
-        )
-    )
-    return scored.select(
-        F.timestamp_micros("at_us").alias("at"), "is_like", "reply_id", "hop", "user_id", "cents"
-    )
+    return _scored(_credit_rows(credits, stamped).unionByName(like_rows), RunningScore(True, keep_seconds), stamped)
 
 
 class TopRows(StatefulProcessor):

@@ -22,6 +22,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from glosswell.functions.scores import REPLY_CENTS
 from glosswell.schema import DIRECT, REPLY
+from glosswell.streaming.state import SecondQueue, TimedRecord
 from glosswell.streaming.watermarks import behind
 
 ENTRIES_TYPE = "comment_id string, create_date timestamp, user_id string, parent_user_id string"
@@ -39,17 +40,23 @@ def _instant(micros: int | None) -> datetime | None:
 
 
 class _Answers(StatefulProcessor):
-    """Keeps the entries of a key by time and answers the rows that ask once the watermark passes them."""
+    """Keeps the entries of a key by time and answers the rows that ask once the watermark passes them.
+
+    ``keep_seconds`` is how long an entry stays on record; None is for good.
+    """
+
+    def __init__(self, keep_seconds: int | None = None):
+        self.keep_seconds = keep_seconds
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.entries = handle.getListState("entries", "at_us bigint, user_id string, parent_user_id string")
-        self.waiting = handle.getListState(
-            "waiting", "at_us bigint, role int, comment_id string, user_id string, stamp_us bigint"
+        self.entries = TimedRecord(
+            handle, "entries", "at_us bigint, user_id string, parent_user_id string", self.keep_seconds
+        )
+        self.waiting = SecondQueue(
+            handle, "waiting", "at_us bigint, role int, comment_id string, user_id string, stamp_us bigint"
         )
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        now = timerValues.getCurrentWatermarkInMs()
         offered, asked = [], []
         for r in rows:
             if r.role == OFFERS:
@@ -57,32 +64,18 @@ class _Answers(StatefulProcessor):
             else:
                 asked.append((r.at_us, r.role, r.comment_id, r.user_id, r.stamp_us))
         if offered:
-            self.entries.appendList(offered)
+            self.entries.add(offered)
         if asked:
-            self.waiting.appendList(asked)
-            # One timer per second is enough: each takes all rows the watermark has passed.
-            for second in {max(at_us // 1_000_000 * 1_000, now) + 1_000 for at_us, *_ in asked}:
-                self.handle.registerTimer(second)
+            self.waiting.add(asked)
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        passed_us = timerValues.getCurrentWatermarkInMs() * 1_000
-        ready, later = [], []
-        for row in self.waiting.get() if self.waiting.exists() else ():
-            (ready if row[0] < passed_us else later).append(tuple(row))
-        if not ready:
-            return
-        if later:
-            self.waiting.put(later)
-        else:
-            self.waiting.clear()
-        held = self.entries.get() if self.entries.exists() else ()
-        entries = sorted((tuple(e) for e in held), key=lambda e: (e[0], e[1] or "", e[2] or ""))
-        seen = 0
-        for row in sorted(ready, key=lambda r: (r[0], r[2] or "")):
-            while seen < len(entries) and entries[seen][0] <= row[0]:
-                seen += 1
-            yield from self.answer(row, entries[seen - 1] if seen else None)
+        expiry = expiredTimerInfo.getExpiryTimeInMs()
+        ready = sorted(self.waiting.release(expiry), key=lambda r: (r[0], r[2] or ""))
+        if ready:
+            for row, entry in zip(ready, self.entries.as_of([r[0] for r in ready])):
+                yield from self.answer(row, entry)
+        self.entries.expire(expiry)
 
     def answer(self, row: tuple, entry: tuple | None) -> Iterator[Row]:
         raise NotImplementedError
@@ -136,10 +129,11 @@ def _keyed(rows: DataFrame, processor: StatefulProcessor, output: str) -> DataFr
     )
 
 
-def author_entries(comments: DataFrame) -> DataFrame:
+def author_entries(comments: DataFrame, keep_seconds: int | None = None) -> DataFrame:
     """Stream of author entries: ``comment_id, create_date, user_id, parent_user_id``.
 
-    ``comments`` is watermarked. Every entry comes once the watermark has passed it.
+    ``comments`` is watermarked. Every entry comes once the watermark has passed it. With
+    ``keep_seconds`` a comment's author is forgotten so long after the hour it was made in.
     """
     offers = _role(F.col("comment_id"), OFFERS)
     first = _role(F.col("comment_id"), WAITS)
@@ -147,19 +141,20 @@ def author_entries(comments: DataFrame) -> DataFrame:
     roles = comments.where(behind(F.col("depth").isin(DIRECT, REPLY))).select(
         F.inline(F.array(offers, F.when(F.col("depth") == REPLY, second).otherwise(first)))
     )
-    return _keyed(roles, ParentAnswers(), ENTRIES_TYPE).dropna(subset=["comment_id", "user_id"])
+    return _keyed(roles, ParentAnswers(keep_seconds), ENTRIES_TYPE).dropna(subset=["comment_id", "user_id"])
 
 
-def reply_credits(comments: DataFrame, entries: DataFrame) -> DataFrame:
+def reply_credits(comments: DataFrame, entries: DataFrame, keep_seconds: int | None = None) -> DataFrame:
     """Stream of credits: ``reply_id, hop, user_id, cents, create_date, ingest_ts``.
 
     ``comments`` and ``entries``, the table that ``author_entries`` is written to read as a stream,
     are both watermarked. Each micro-batch has to take all entries there are: files of one batch of
     entries are not in order among themselves. ``ingest_ts`` is the reply's, null where it has none.
+    ``keep_seconds`` as for ``author_entries``.
     """
     offers = entries.select(
         F.inline(F.array(_role(F.col("comment_id"), OFFERS, parent=F.col("parent_user_id"))))
     )
     stamp = F.col("ingest_ts") if "ingest_ts" in comments.columns else None
     asks = comments.where(behind(F.col("depth") != DIRECT)).select(F.inline(F.array(_role(F.col("in_reply_to"), ASKS, stamp=stamp))))
-    return _keyed(offers.unionByName(asks), CreditAnswers(), CREDITS_TYPE)
+    return _keyed(offers.unionByName(asks), CreditAnswers(keep_seconds), CREDITS_TYPE)

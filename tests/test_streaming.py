@@ -15,6 +15,7 @@ from glosswell.sources.events import lines_from_events, read_event_comments
 from glosswell.sources.lines import kafka_values, read_lines, stream_lines
 from glosswell.sources.parse import comments_of, parse_lines
 from glosswell.streaming import metrics, popularity as live, threads as live_threads
+from glosswell.streaming.state import SecondQueue, TimedRecord
 from glosswell.streaming.watermarks import ascending, bounded
 
 PARTS = 3
@@ -155,6 +156,166 @@ def test_running_popularity(spark, table, live_comments, credits, tmp_path):
     assert_closed_part(top, popularity.popular_users_running(table, 24))
 
 
+@pytest.mark.parametrize("files", [1, 2, 1_000])
+def test_stamped_running_scores(spark, table, replay, tmp_path, files):
+    """Score and latest stamp go together through likes and credits, however the replay is cut."""
+    stream = lambda: spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files).parquet(replay)
+    found = credit_stream(spark, stream, tmp_path)
+    credit_rows = lambda: bounded(spark.readStream.schema(spark.read.parquet(found).schema).parquet(found))
+    table_credits = threads.reply_credits(table, keep=(reports.STAMP,))
+
+    scores = live.running_scores(bounded(stream()), credit_rows(), 24, stamped=True)
+    run(append_table(scores, str(tmp_path / "s"), str(tmp_path / "ck1")))
+    got = spark.read.parquet(str(tmp_path / "s"))
+    want = popularity.running_user_scores(table_credits, reports.like_scores_stamped(table, 24), stamp=reports.STAMP)
+    reached = got.agg(F.max("at")).first()[0]
+    assert rows_of(got.select(*want.columns)) == rows_of(want.where(F.col("at") <= F.lit(reached)))
+    assert got.where("is_like = 1").count() > 0 and got.count() > 0.9 * table_credits.count()
+
+    run(append_table(live.running_reply_scores(credit_rows(), stamped=True), str(tmp_path / "r"), str(tmp_path / "ck2")))
+    got = spark.read.parquet(str(tmp_path / "r"))
+    want = popularity.running_reply_scores(table_credits, stamp=reports.STAMP)
+    assert rows_of(got.select(*want.columns)) == rows_of(passed(want, got))
+
+
+def test_latency_of_users_is_over_likes_and_credits(spark, tmp_path):
+    """Hour 1 has a reply and no direct comment; its window still has a latency."""
+    folder, hour = str(tmp_path / "c"), 3600
+    write_in_order(
+        spark, folder,
+        [comment("1", 1, "A", at=10, likes=5)], [comment("2", 2, "B", "1", at=hour + 10)],
+        [comment("3", 1, "C", at=3 * hour), comment("6", 2, "D", "1", at=3 * hour)],
+        [comment("4", 1, "C", at=4 * hour)], [comment("5", 1, "C", at=5 * hour)],
+    )
+    schema = spark.read.parquet(folder).schema
+    stream = metrics.stamp(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder))
+    for query in jobs.start_latency("users", stream, 1, str(tmp_path / "o"), str(tmp_path / "ck")):
+        query.processAllAvailable()
+    for query in spark.streams.active:
+        query.processAllAvailable()
+        query.stop()
+    rows = [r.line.split(",") for r in spark.read.parquet(str(tmp_path / "o")).collect()]
+    starts = sorted((int(start) // 1000 - 1_514_764_800) // hour for start, _ in rows)
+    assert starts[:2] == [0, 1] and all(int(ms) >= 0 for _, ms in rows)
+
+
+class FakeStore:
+    """State in memory that counts the rows it hands out."""
+
+    def __init__(self):
+        self.maps, self.read, self.timers = {}, 0, set()
+
+    def registerTimer(self, ms):
+        self.timers.add(ms)
+
+    def getMapState(self, name, key, value):
+        store, held = self, {}
+
+        class Map:
+            getValue = staticmethod(lambda k: None if k not in held else (store.count(held[k][0]),))
+            updateValue = staticmethod(lambda k, v: held.__setitem__(k, v))
+            removeKey = staticmethod(lambda k: held.pop(k))
+
+        self.maps[name] = held
+        return Map
+
+    def getValueState(self, name, schema):
+        store, held = self, []
+
+        class Value:
+            exists = staticmethod(lambda: bool(held))
+            get = staticmethod(lambda: (store.count(held[0][0]),))
+            update = staticmethod(lambda v: held.__setitem__(slice(None), [v]))
+            clear = staticmethod(held.clear)
+
+        return Value
+
+    def count(self, rows):
+        self.read += len(rows)
+        return rows
+
+
+def test_lookup_reads_the_hours_it_asks_for():
+    store = FakeStore()
+    record = TimedRecord(store, "entries", "at_us bigint, user_id string")
+    second = 1_000_000
+    for hour in range(200):
+        record.add([((hour * 7_200 + k) * second, f"{hour}.{k}") for k in range(500)])
+    store.read = 0
+    ask = [(150 * 7_200 + 20) * second, (150 * 7_200 + 5_000) * second, -1, 10**9 * second]
+    assert [e and e[1] for e in record.as_of(ask)] == ["150.20", "150.499", None, "199.499"]
+    assert store.read <= 2 * 500 + 20
+    record.add([(20 * second, "b"), (20 * second, "a"), (20 * second, None)])
+    assert record.as_of([20 * second])[0] == (20 * second, "b")
+
+
+def test_a_timer_reads_the_rows_it_releases():
+    store = FakeStore()
+    queue = SecondQueue(store, "waiting", "at_us bigint, name string")
+    queue.add([(k * 1_000_000 + 5, f"r{k}") for k in range(1000)])
+    queue.add([(3_000_007, "again")])
+    store.read = 0
+    assert queue.release(700_000) == [(699_000_005, "r699")]
+    assert store.read == 1 and queue.release(700_000) == []
+    assert [n for _, n in queue.release(4_000)] == ["r3", "again"] and len(store.timers) == 1000
+
+
+def test_a_comment_with_very_many_entries(spark, tmp_path):
+    """100,000 entries of one id over 28 hours, and replies all along."""
+    entries = spark.range(100_000).select(
+        F.lit("hot").alias("comment_id"), F.timestamp_seconds(F.lit(1_514_764_800) + F.col("id")).alias("create_date"),
+        F.lit(1).alias("depth"), F.concat(F.lit("u"), F.col("id")).alias("user_id"), F.lit("0").alias("in_reply_to"),
+    )
+    replies = spark.range(400).select(
+        F.concat(F.lit("r"), F.col("id")).alias("comment_id"), F.timestamp_micros((F.lit(1_514_764_800) + F.col("id") * 249) * 1_000_000 + 500_000).alias("create_date"),
+        F.lit(2).alias("depth"), F.lit("x").alias("user_id"), F.lit("hot").alias("in_reply_to"),
+    )
+    end = spark.range(2).select(
+        F.concat(F.lit("e"), F.col("id")).alias("comment_id"), F.timestamp_seconds(F.lit(1_514_964_800) + F.col("id") * 10_000).alias("create_date"),
+        F.lit(1).alias("depth"), F.lit("y").alias("user_id"), F.lit("0").alias("in_reply_to"),
+    )
+    folder = str(tmp_path / "c")
+    for part in (entries.where("id < 60000"), replies.unionByName(entries.where("id >= 60000")), end.where("id = 0"), end.where("id = 1")):
+        part.coalesce(1).write.mode("append").parquet(folder)
+        time.sleep(1.1)
+    schema = spark.read.parquet(folder).schema
+    late = lambda: spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder).withWatermark("create_date", "2 days")
+    offered = late().select("comment_id", "create_date", "user_id", F.lit(None).cast("string").alias("parent_user_id"))
+    asked = late().where("depth = 2 or comment_id like 'e%'")
+    run(append_table(live_threads.reply_credits(asked, offered), str(tmp_path / "o"), str(tmp_path / "k")))
+    got = spark.read.parquet(str(tmp_path / "o"))
+    want = threads.reply_credits(spark.read.parquet(folder))
+    assert rows_of(got.select("reply_id", "user_id")) == [r for r in rows_of(want.select("reply_id", "user_id")) if r in set(rows_of(got.select("reply_id", "user_id")))]
+    assert got.count() > 100
+
+
+@pytest.mark.parametrize("keep", [None, 3600])
+def test_state_may_expire(spark, tmp_path, keep):
+    """A reply five hours after its parent finds it only where the record is kept for good."""
+    folder, hour = str(tmp_path / "c"), 3600
+    write_in_order(
+        spark, folder,
+        [comment("1", 1, "A", at=10), comment("2", 2, "B", "1", at=hour + 10)],
+        [comment("3", 2, "C", "1", at=5 * hour), comment("4", 1, "D", at=5 * hour - 10)],
+        [comment("5", 2, "E", "4", at=5 * hour + 20)],
+        [comment("6", 1, "F", at=9 * hour)], [comment("7", 1, "F", at=10 * hour)], [comment("8", 1, "F", at=11 * hour)],
+    )
+    schema = spark.read.parquet(folder).schema
+    stream = lambda: bounded(spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder))
+    run(append_table(live_threads.author_entries(stream(), keep), f"{tmp_path}/e", f"{tmp_path}/k1"))
+    entries = lambda: bounded(spark.readStream.schema(spark.read.parquet(f"{tmp_path}/e").schema).parquet(f"{tmp_path}/e"))
+    run(append_table(live_threads.reply_credits(stream(), entries(), keep), f"{tmp_path}/o", f"{tmp_path}/k2"))
+    got = spark.read.parquet(f"{tmp_path}/o")
+    credits = [("2", "A"), ("3", "A"), ("5", "D")] if keep is None else [("2", "A"), ("5", "D")]
+    assert rows_of(got.select("reply_id", "user_id")) == credits
+
+    credit_rows = bounded(spark.readStream.schema(got.schema).parquet(f"{tmp_path}/o").union(
+        spark.readStream.schema(got.schema).parquet(f"{tmp_path}/o")))
+    run(append_table(live.running_reply_scores(credit_rows, keep_seconds=keep), f"{tmp_path}/s", f"{tmp_path}/k3"))
+    top = spark.read.parquet(f"{tmp_path}/s").agg(F.max("cents")).first()[0]
+    assert top == (280 if keep is None else 140)
+
+
 def write_in_order(spark, folder, *batches):
     for rows in batches:
         comments(spark, rows).coalesce(1).write.mode("append").parquet(folder)
