@@ -1,13 +1,14 @@
 """Latest-version lookup: what did an entry say at a given time?
 
-Every request carries a key and a time and is answered with the newest version of that key not
-younger than the request. A join on the key would pair each request with every version of it;
-here versions and requests are sorted together and the last version seen is taken, so the work is
+Rows carry a key and a time; some are versions of what their key says, others ask for the newest version
+that is not younger than they are. A join on the key would pair each question with every version of it;
+here versions and questions are sorted together and the last version seen is taken, so the work is
 linear in the rows, for repeated keys as well.
 
 The time axis of a key is cut into buckets of a fixed width. Each (key, bucket) is sorted on its own,
-and the last version before it is carried in by a pass over one summary row per bucket. So a key that
-holds most of the rows is as many groups as it has busy buckets, whatever the size of the table.
+and opens with a row for the last version before it. Those rows come from a pass over one summary row
+per bucket, which is aggregated before its shuffle. So a key that holds most of the rows is as many
+groups as it has busy buckets, whatever the size of the table.
 """
 
 from __future__ import annotations
@@ -21,67 +22,40 @@ BUCKET_SECONDS = 3_600
 NULL_SPREAD = 1 << 20
 
 
-def latest_version(
-    requests: DataFrame,
-    versions: DataFrame,
-    request_key: str,
-    version_key: str,
-    at: str,
-    fields: list[str],
-    bucket_seconds: int = BUCKET_SECONDS,
-) -> DataFrame:
-    """``requests`` plus a struct column ``found`` (null on a miss) with ``since`` and ``fields``.
+def latest_version(rows: DataFrame, key: str, at: str, version: str, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
+    """``rows`` plus a column ``found``: of their key, the newest version not younger than the row.
 
-    Both sides have a time column ``at``. A version counts for requests of the same instant;
-    versions of one key and instant are ordered by their fields.
+    ``version`` is a struct column whose first field is the time, null on rows that are none. A version counts
+    for rows of the same instant; versions of one key and instant are ordered by their fields. Null
+    keys have no versions and find none.
     """
-    version = F.struct(F.col(at).alias("since"), *fields)
-    request = F.struct(*[F.col(c) for c in requests.columns])
-    version_type = versions.select(version.alias("v")).schema["v"].dataType
-    request_type = requests.select(request.alias("r")).schema["r"].dataType
-
-    offered = versions.where(F.col(version_key).isNotNull()).select(
-        F.col(version_key).alias("key"),
-        F.col(at).alias("at"),
-        F.lit(0).alias("side"),
-        version.alias("version"),
-        F.lit(None).cast(request_type).alias("request"),
-    )
-    asked = requests.select(
-        F.col(request_key).alias("key"),
-        F.col(at).alias("at"),
-        F.lit(1).alias("side"),
-        F.lit(None).cast(version_type).alias("version"),
-        request.alias("request"),
+    spread = F.pmod(F.xxhash64(at), F.lit(NULL_SPREAD))
+    bucket = F.floor(F.unix_seconds(at) / F.lit(bucket_seconds))
+    placed = rows.withColumns(
+        {
+            "_key": F.coalesce(key, F.lit("")),
+            "_keyless": F.col(key).isNull(),
+            "_bucket": F.coalesce(F.when(F.col(key).isNull(), spread).otherwise(bucket), F.lit(0)),
+        }
     )
-    # Null keys match nothing and are spread. Key and bucket are never null after this, so the join
-    # below puts no filter of its own under one side, and both sides share one shuffle.
-    spread = F.pmod(F.xxhash64("at"), F.lit(NULL_SPREAD))
-    bucket = F.floor(F.unix_seconds("at") / F.lit(bucket_seconds))
-    both = offered.unionByName(asked).select(
-        F.coalesce("key", F.lit("")).alias("key"),
-        F.col("key").isNull().alias("keyless"),
-        F.coalesce(F.when(F.col("key").isNull(), spread).otherwise(bucket), F.lit(0)).alias("bucket"),
-        "at",
-        "side",
-        "version",
-        "request",
+    group = ["_key", "_keyless", "_bucket"]
+    earlier = Window.partitionBy("_key", "_keyless").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        placed.where(~F.col("_keyless"))
+        .groupBy(*group)
+        .agg(F.max(version).alias("_last"))
+        .select(*group, F.last("_last", ignorenulls=True).over(earlier).alias(version))
+        .where(F.col(version).isNotNull())
     )
-    group = ["key", "keyless", "bucket"]
+    opening = carried.withColumn("_opens", F.lit(True))
+    both = placed.withColumn("_opens", F.lit(False)).unionByName(opening, allowMissingColumns=True)
     so_far = (
         Window.partitionBy(*group)
-        .orderBy("at", "side", "version")
+        .orderBy(F.desc("_opens"), at, F.col(version).isNull(), version)
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    local = both.withColumn("here", F.last("version", ignorenulls=True).over(so_far))
-    earlier = Window.partitionBy("key", "keyless").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        local.groupBy(*group)
-        .agg(F.max("version").alias("last"))
-        .select(*group, F.last("last", ignorenulls=True).over(earlier).alias("carried"))
-    )
     return (
-        local.join(carried, group)
-        .where(F.col("side") == 1)
-        .select("request.*", F.coalesce("here", "carried").alias("found"))
+        both.withColumn("found", F.last(version, ignorenulls=True).over(so_far))
+        .where(~F.col("_opens"))
+        .select(*rows.columns, "found")
     )

@@ -6,6 +6,8 @@ table jobs; ``streaming.metrics`` stamps live streams with the same column.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -13,7 +15,8 @@ from glosswell.functions.times import SLOT_MINUTES, days, hour_of_day, hours
 from glosswell.operators.counts import start_rows, window_count, window_sum
 from glosswell.operators.filters import direct_comments
 from glosswell.operators.lookup import BUCKET_SECONDS
-from glosswell.operators.meters import TICK_SECONDS, counts_so_far, one_minute_rates, tick_counts, tick_of
+from glosswell.operators.later import least_later
+from glosswell.operators.meters import TICK_SECONDS, counts_so_far, one_minute_rates, tick_of
 from glosswell.plans.popularity import likes
 from glosswell.plans.threads import reply_credits
 from glosswell.schema import DIRECT
@@ -92,10 +95,6 @@ def user_stamps(comments: DataFrame, window_hours: int, bucket_seconds: int = BU
 # Throughput
 
 
-def _stage(rows: DataFrame, name: str) -> DataFrame:
-    return rows.select(F.lit(name).alias("stage"), STAMP)
-
-
 def input_ticks(comments: DataFrame) -> DataFrame:
     """Comments each query takes in per tick: ``stage, tick, n``.
 
@@ -109,32 +108,32 @@ def input_ticks(comments: DataFrame) -> DataFrame:
     return counts.select("tick", F.inline(per_stage)).where(F.col("n") > 0).select("stage", "tick", "n")
 
 
-def stage_rows(
+def stage_ticks(
     comments: DataFrame,
     article_hours: int = 24,
     slot_days: int = 7,
     user_hours: int = 24,
     bucket_seconds: int = BUCKET_SECONDS,
 ) -> DataFrame:
-    """One row per record that enters a window stage behind the input: ``stage, ingest_ts``."""
-    like_totals = like_scores_stamped(comments, user_hours)
-    parts = [
-        _stage(article_counts_stamped(comments, article_hours), "query1_window"),
-        _stage(article_direct_counts_stamped(comments), "query2_inner_window"),
-        _stage(slot_totals_stamped(comments, slot_days), "query2_final_window"),
-        _stage(like_totals, "query3_likes"),
-        _stage(like_totals, "query3_window"),
-        _stage(reply_credits(comments, keep=(STAMP,), bucket_seconds=bucket_seconds), "query3_window"),
-    ]
-    rows = parts[0]
-    for part in parts[1:]:
-        rows = rows.unionByName(part)
-    return rows
+    """Records that enter each window stage per tick: ``stage, tick, n``.
 
-
-def stage_ticks(comments: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -> DataFrame:
-    """Records that enter each window stage per tick: ``stage, tick, n``."""
-    return tick_counts(stage_rows(comments, bucket_seconds=bucket_seconds), STAMP)
+    Every part is counted per tick before the parts are put together; rows that enter two stages
+    are made once and name both.
+    """
+    parts = {
+        ("query1_window",): article_counts_stamped(comments, article_hours),
+        ("query2_inner_window",): article_direct_counts_stamped(comments),
+        ("query2_final_window",): slot_totals_stamped(comments, slot_days),
+        ("query3_likes", "query3_window"): like_scores_stamped(comments, user_hours),
+        ("query3_window",): reply_credits(comments, keep=(STAMP,), bucket_seconds=bucket_seconds),
+    }
+    counted = [
+        rows.groupBy(tick_of(STAMP).alias("tick"))
+        .agg(F.count(F.lit(1)).alias("n"))
+        .select(F.explode(F.array(*map(F.lit, stages))).alias("stage"), "tick", "n")
+        for stages, rows in parts.items()
+    ]
+    return reduce(DataFrame.unionByName, counted).groupBy("stage", "tick").agg(F.sum("n").alias("n"))
 
 
 def throughput(ticks: DataFrame) -> DataFrame:
@@ -167,21 +166,20 @@ def closings(comments: DataFrame, size: str, delay_seconds: int) -> DataFrame:
     )
 
 
-def latencies(latest: DataFrame, closing: DataFrame) -> DataFrame:
+def latencies(latest: DataFrame, closing: DataFrame, size_seconds: int) -> DataFrame:
     """Milliseconds from a window's latest ingest to its emission: ``window_start, latency_ms``.
 
     A window is emitted when the first comment comes in that puts the watermark in a later
-    window; windows nothing has closed are left out. There is one row per window here, so the
-    ordered pass over all of them is over a short table.
+    window; windows nothing has closed are left out. ``size_seconds`` is the windows' length.
     """
-    later = Window.orderBy(F.desc("window_start")).rowsBetween(Window.unboundedPreceding, -1)
     both = latest.select("window_start", F.col(STAMP).alias("latest"), F.lit(None).cast("timestamp").alias("seen"))
     both = both.unionByName(
         closing.select("window_start", F.lit(None).cast("timestamp").alias("latest"), "seen")
     )
     windows = both.groupBy("window_start").agg(F.max("latest").alias("latest"), F.min("seen").alias("seen"))
+    number = F.floor(F.unix_seconds("window_start") / F.lit(size_seconds))
     return (
-        windows.withColumn("emitted", F.min("seen").over(later))
+        least_later(windows.withColumn("number", number), "number", "seen", "emitted")
         .where(F.col("latest").isNotNull() & F.col("emitted").isNotNull())
         .select(
             "window_start",
@@ -197,19 +195,19 @@ def _latest_per_window(rows: DataFrame) -> DataFrame:
 def article_latency(comments: DataFrame, window_hours: int, delay_seconds: int = 1) -> DataFrame:
     size = hours(window_hours)
     latest = _latest_per_window(article_counts_stamped(comments, window_hours))
-    return latencies(latest, closings(comments, size, delay_seconds))
+    return latencies(latest, closings(comments, size, delay_seconds), window_hours * 3_600)
 
 
 def slot_latency(comments: DataFrame, window_days: int, delay_seconds: int = 0) -> DataFrame:
     latest = _latest_per_window(slot_totals_stamped(comments, window_days))
-    return latencies(latest, closings(direct_comments(comments), days(window_days), delay_seconds))
+    return latencies(latest, closings(direct_comments(comments), days(window_days), delay_seconds), window_days * 86_400)
 
 
 def user_latency(
     comments: DataFrame, window_hours: int, delay_seconds: int = 1, bucket_seconds: int = BUCKET_SECONDS
 ) -> DataFrame:
     latest = _latest_per_window(user_stamps(comments, window_hours, bucket_seconds))
-    return latencies(latest, closings(comments, hours(window_hours), delay_seconds))
+    return latencies(latest, closings(comments, hours(window_hours), delay_seconds), window_hours * 3_600)
 
 
 def latency_lines(rows: DataFrame) -> DataFrame:

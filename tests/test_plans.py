@@ -1,6 +1,7 @@
 """Properties of the results, and a plain model of the running ranking."""
 
 import math
+import random
 import re
 from collections import defaultdict
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from glosswell.functions.scores import like_cents, points
 from glosswell.functions.text import pack_author, unpack_author
+from glosswell.operators.later import least_later
 from glosswell.operators.meters import ALPHA, one_minute_rates
 from glosswell.operators.running import running_totals, time_slice
 from glosswell.operators.slots import SLOT_COLUMNS
@@ -182,6 +184,34 @@ def test_latency_leaves_out_the_open_window(table):
     assert re.fullmatch(r"\d{13},\d+", reports.latency_lines(rows).first().line)
 
 
+def test_least_later_value(spark):
+    rng = random.Random(6)
+    rows = [(n, rng.choice([None, rng.randrange(1000)])) for n in {rng.randrange(-3_000_000, 3_000_000) for _ in range(400)} | {0, -1, 1, 1023, 1024}]
+    rows.append((5_000_000, None))
+    frame = spark.createDataFrame(rows, "n bigint, v bigint")
+    got = {r.n: r.x for r in least_later(frame, "n", "v", "x").collect()}
+    assert got == {n: min((v for m, v in rows if m > n and v is not None), default=None) for n, _ in rows}
+
+
+def final_plan(df):
+    df.collect()
+    return plan_of(df).split("== Initial Plan ==")[0]
+
+
+def test_latency_has_no_window_in_one_task(table):
+    for df in (reports.article_latency(table, 24), reports.slot_latency(table, 7), reports.user_latency(table, 24)):
+        assert "SinglePartition" not in final_plan(df) + plan_of(df)
+
+
+def test_credits_come_from_two_scans(spark, small, tmp_path):
+    read_event_comments(spark, small).write.parquet(str(tmp_path / "c"))
+    rows = spark.read.parquet(str(tmp_path / "c"))
+    for df in (threads.reply_credits(rows), threads.reply_credits(rows, keep=(reports.STAMP,)), threads.reply_credits(rows).select("user_id", "cents")):
+        plan = final_plan(df)
+        assert len(re.findall(r"\bFileScan\b", plan)) == 2
+        assert len(re.findall(r"\bExchange hash", plan)) - len(re.findall("ReusedExchange", plan)) <= 5
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
