@@ -26,9 +26,9 @@ def tick_of(stamp: str) -> Column:
     return F.floor(F.unix_seconds(stamp) / F.lit(TICK_SECONDS))
 
 
-def tick_counts(rows: DataFrame, stamp: str) -> DataFrame:
-    """Rows per stage and tick: ``stage, tick, n``. Empty ticks have no row."""
-    return rows.groupBy("stage", tick_of(stamp).alias("tick")).agg(F.count(F.lit(1)).alias("n"))
+def tick_start(tick: Column) -> Column:
+    """When a tick begins."""
+    return F.timestamp_seconds(tick * F.lit(TICK_SECONDS))
 
 
 def counts_so_far(ticks: DataFrame) -> DataFrame:

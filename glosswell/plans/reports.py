@@ -95,6 +95,12 @@ def user_stamps(comments: DataFrame, window_hours: int, bucket_seconds: int = BU
 # Throughput
 
 
+def stage_counts() -> Column:
+    """Counts ``every`` and ``direct`` of comments as what each query takes in: an array of ``stage, n``."""
+    stages = {"query1_in": "every", "query2_in": "direct", "query3_in": "every"}
+    return F.array(*[F.struct(F.lit(s).alias("stage"), F.col(c).alias("n")) for s, c in stages.items()])
+
+
 def input_ticks(comments: DataFrame) -> DataFrame:
     """Comments each query takes in per tick: ``stage, tick, n``.
 
@@ -103,9 +109,7 @@ def input_ticks(comments: DataFrame) -> DataFrame:
     counts = comments.groupBy(tick_of(STAMP).alias("tick")).agg(
         F.count(F.lit(1)).alias("every"), F.count_if(F.col("depth") == DIRECT).alias("direct")
     )
-    stages = {"query1_in": "every", "query2_in": "direct", "query3_in": "every"}
-    per_stage = F.array(*[F.struct(F.lit(s).alias("stage"), F.col(c).alias("n")) for s, c in stages.items()])
-    return counts.select("tick", F.inline(per_stage)).where(F.col("n") > 0).select("stage", "tick", "n")
+    return counts.select("tick", F.inline(stage_counts())).where(F.col("n") > 0).select("stage", "tick", "n")
 
 
 def stage_ticks(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
 
@@ -30,6 +30,24 @@ def write_batch(rows: DataFrame, batch_id: int, path: str) -> None:
     rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
 
+def write_batch_lines(lines: DataFrame, batch_id: int, path: str) -> None:
+    """The lines of one micro-batch as one text file, in window order; a repeated batch replaces its file."""
+    write_lines(lines, f"{path}/batch={batch_id}")
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """What is directly under a folder, by full path; nothing if there is no such folder."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    return [x.getPath().toString() for x in files.listStatus(folder)] if files.exists(folder) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that the caller has made for itself."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
 def claim(batch: DataFrame, path: str) -> None:
     """Mark a folder of batches as this stream's; refuse one that another stream has marked.
 
@@ -38,13 +56,12 @@ def claim(batch: DataFrame, path: str) -> None:
     """
     spark = batch.sparkSession
     own = f"_stream-{spark.sparkContext.getLocalProperty('sql.streaming.queryId')}"
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    names = [x.getPath().getName() for x in files.listStatus(folder)] if files.exists(folder) else []
+    names = [x.rsplit("/", 1)[1] for x in folders(spark, path)]
     if any(n.startswith("_stream-") and n != own for n in names):
         raise ValueError(f"{path} holds the output of another stream; give the new one a new folder")
     if own not in names:
-        files.mkdirs(spark._jvm.org.apache.hadoop.fs.Path(folder, own))
+        mark = spark._jvm.org.apache.hadoop.fs.Path(path, own)
+        mark.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).mkdirs(mark)
 
 
 def append_table(rows: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
@@ -58,17 +75,22 @@ def append_table(rows: DataFrame, path: str, checkpoint: str) -> DataStreamWrite
 
 
 def each_batch(
-    rows: DataFrame, report: Callable[[DataFrame], DataFrame], path: str, checkpoint: str
+    rows: DataFrame,
+    report: Callable[[DataFrame], DataFrame],
+    path: str,
+    checkpoint: str,
+    write: Callable[[DataFrame, int, str], None] = write_batch,
 ) -> DataStreamWriter:
     """Apply a table report to every micro-batch of finished rows and keep the result.
 
     ``rows`` is an append-mode stream of closed windows: all rows of a window come in one
-    batch, so ranking inside the batch ranks the whole window.
+    batch, so ranking inside the batch ranks the whole window. ``write`` takes the report, the batch and
+    ``path``.
     """
 
     def handle(batch: DataFrame, batch_id: int) -> None:
         claim(batch, path)
-        write_batch(report(batch), batch_id, path)
+        write(report(batch), batch_id, path)
 
     return rows.writeStream.outputMode("append").option("checkpointLocation", checkpoint).foreachBatch(handle)
 
@@ -99,3 +121,9 @@ def to_console(rows: DataFrame, checkpoint: str, lines: int = 2**31 - 1) -> Data
         .option("truncate", "false")
         .option("checkpointLocation", checkpoint)
     )
+
+
+def print_lines(lines: DataFrame) -> None:
+    """Result lines on the console, one line per window."""
+    for row in lines.orderBy("window_start").toLocalIterator():
+        print(row.line)

@@ -17,6 +17,18 @@ def line_messages(lines: DataFrame) -> DataFrame:
     return lines.select(F.col("line").alias("value"))
 
 
+def batch_messages(lines: DataFrame, batch_id: int) -> DataFrame:
+    """Result lines of one micro-batch, each with what tells a repeated one apart: the window is the key
+    and, with the batch, a header. A batch that is sent again brings the same keys and headers."""
+    window = F.unix_millis("window_start").cast("string")
+    header = lambda name, value: F.struct(F.lit(name).alias("key"), value.cast("binary").alias("value"))
+    return lines.select(
+        window.alias("key"),
+        F.col("line").alias("value"),
+        F.array(header("batch", F.lit(str(batch_id))), header("window", window)).alias("headers"),
+    )
+
+
 def send(messages: DataFrame, servers: str, topic: str) -> None:
     messages.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
 

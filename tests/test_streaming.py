@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from glosswell import jobs
 from glosswell.plans import articles, daytime, popularity, reports, threads
-from glosswell.sinks.authors import compact_authors, read_authors, upsert_authors
-from glosswell.sinks.files import append_table, each_batch, to_console, write_lines
+from glosswell.sinks.authors import _places, compact_authors, read_authors, upsert_authors
+from glosswell.sinks.files import append_table, each_batch, to_console, write_batch_lines, write_lines
 from glosswell.sinks.kafka import line_messages, messages
 from glosswell.sources.events import lines_from_events, read_event_comments
 from glosswell.sources.lines import kafka_values, read_lines, stream_lines
@@ -371,14 +371,30 @@ def test_running_ranking_takes_late_rows_while_the_window_is_open(spark, tmp_pat
     assert [int(r.cents) for r in first.collect()] == [100, 8, 7, 5]
 
 
-def test_author_record(spark, table, live_comments, tmp_path):
-    run(upsert_authors(live_threads.author_entries(bounded(live_comments())), str(tmp_path / "a"), str(tmp_path / "ck")))
-    record = read_authors(spark, str(tmp_path / "a"))
-    want = threads.latest_authors(passed(threads.author_versions(table), record))
-    assert rows_of(record.select("comment_id", "user_id", "parent_user_id")) == rows_of(want)
-    assert record.count() > 0.9 * want.count()
-    compact_authors(spark, str(tmp_path / "a"), str(tmp_path / "b"))
-    assert rows_of(read_authors(spark, str(tmp_path / "b"))) == rows_of(record)
+def test_author_record(spark, table, replay, tmp_path):
+    """As a job: increments, a base of what changed, and increments on top of it."""
+    stream = ["authors", "--comments", f"{tmp_path}/in", "--stream", "--once", "--checkpoint", f"{tmp_path}/ck", "--out", f"{tmp_path}/a"]
+    read = lambda: read_authors(spark, f"{tmp_path}/a")
+    chunks = [table.where(F.floor(F.col("comment_id").cast("int") / 250) == part) for part in range(4)]
+    chunks[0].coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    jobs.main([*stream, "--per-trigger", "1"])
+    for part in (1, 2):
+        time.sleep(1.1)
+        chunks[part].coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    jobs.main(stream)
+    before = rows_of(read())
+    jobs.main(["authors", "--out", f"{tmp_path}/a"])
+    assert rows_of(read()) == before and compact_authors(spark, f"{tmp_path}/a") == 0
+    first = {x for _, part, x in _places(spark, f"{tmp_path}/a", "base")}
+    time.sleep(1.1)
+    chunks[3].coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+    jobs.main(stream)
+    want = threads.latest_authors(passed(threads.author_versions(table), read()))
+    assert rows_of(read().select("comment_id", "user_id", "parent_user_id")) == rows_of(want)
+    assert read().count() > 0.9 * want.count()
+    after = rows_of(read())
+    assert 0 < compact_authors(spark, f"{tmp_path}/a") <= 64
+    assert rows_of(read()) == after and first < {x for _, part, x in _places(spark, f"{tmp_path}/a", "base")}
 
 
 def test_author_record_keeps_the_last_write(spark, tmp_path):
@@ -452,19 +468,77 @@ def test_latency_stream(spark, live_comments, tmp_path):
     assert rows.where("latency_ms < 0").count() == 0
 
 
-def test_throughput_listener(spark, table, live_comments, tmp_path):
-    listener = metrics.InputThroughput()
-    spark.streams.addListener(listener)
-    try:
-        stream = append_table(live_comments().select("comment_id"), str(tmp_path / "o"), str(tmp_path / "ck"))
-        run(stream.queryName("inputs"))
-        for _ in range(50):
-            if listener.totals.get("inputs") == table.count():
-                break
-            time.sleep(0.2)
-    finally:
-        spark.streams.removeListener(listener)
-    assert listener.totals["inputs"] == table.count()
+def test_lines_of_a_stream_as_text(spark, table, replay, tmp_path, capsys, monkeypatch):
+    """One text file per micro-batch, on the console, as messages: the lines of the table up to the watermark."""
+    want = [r.line for r in articles.article_top3_lines(table, 24).orderBy("window_start").collect()]
+    args = ["articles", "--comments", replay, "--size", "24", "--stream", "--once", "--per-trigger", "1"]
+    for sink in ("text", "parquet", "console", "kafka"):
+        sent = []
+        monkeypatch.setattr(jobs.kafka, "send", lambda rows, servers, topic: sent.append((rows.collect(), servers, topic)))
+        capsys.readouterr()
+        jobs.main([*args, "--sink", sink, "--to", "host:9092/metrics", "--out", f"{tmp_path}/{sink}", "--checkpoint", f"{tmp_path}/ck_{sink}"])
+        if sink == "text":
+            got = [r.value for r in spark.read.text(f"{tmp_path}/{sink}").collect()]
+        elif sink == "parquet":
+            got = [r.line for r in spark.read.parquet(f"{tmp_path}/{sink}").collect()]
+        elif sink == "console":
+            got = [x for x in capsys.readouterr().out.splitlines() if ", " in x]
+        else:
+            got = [r.value for rows, _, _ in sent for r in rows]
+            assert {x[1:] for x in sent} == {("host:9092", "metrics")}
+            heads = [[(h.key, bytes(h.value).decode()) for h in r.headers] for rows, _, _ in sent for r in rows]
+            assert all(dict(h)["window"] == r.key for h, r in zip(heads, (r for rows, _, _ in sent for r in rows)))
+        assert sorted(got) == sorted(want[:-1])
+    with pytest.raises(SystemExit):
+        jobs.main([*args, "--sink", "kafka", "--out", "x"])
+
+
+def test_a_repeated_batch_replaces_its_file(spark, table, tmp_path):
+    lines = articles.article_top3_lines(table, 24)
+    for _ in range(2):
+        write_batch_lines(lines, 3, f"{tmp_path}/o")
+    assert spark.read.text(f"{tmp_path}/o").count() == lines.count()
+
+
+def test_table_lines_to_every_sink(spark, table, tmp_path, capsys, monkeypatch):
+    table.write.parquet(f"{tmp_path}/c")
+    sent = []
+    monkeypatch.setattr(jobs.kafka, "send", lambda rows, servers, topic: sent.extend(rows.collect()))
+    want = sorted(r.line for r in reports.throughput_lines(reports.input_ticks(table)).collect())
+    for sink in ("text", "parquet", "console", "kafka"):
+        capsys.readouterr()
+        jobs.main(["throughput", "--comments", f"{tmp_path}/c", "--sink", sink, "--to", "h:1/t", "--out", f"{tmp_path}/{sink}"])
+        if sink == "console":
+            assert sorted(x for x in capsys.readouterr().out.splitlines() if " , " in x) == want
+    assert sorted(r.value for r in spark.read.text(f"{tmp_path}/text").collect()) == want
+    assert sorted(r.line for r in spark.read.parquet(f"{tmp_path}/parquet").collect()) == want == sorted(r.value for r in sent)
+
+
+def test_throughput_survives_a_restart(spark, table, tmp_path):
+    """Counts of a stream that ended and went on are those of one that did not."""
+    args = ["throughput", "--comments", f"{tmp_path}/in", "--stream", "--once", "--checkpoint", f"{tmp_path}/ck", "--out", f"{tmp_path}/n"]
+    for part in range(2):
+        table.where(F.col("comment_id").cast("int") % 2 == part).coalesce(2).write.mode("append").parquet(f"{tmp_path}/in")
+        jobs.main([*args, "--per-trigger", "1"])
+    got = metrics.read_input(spark, f"{tmp_path}/n").groupBy("stage").agg(F.sum("n")).collect()
+    want = reports.input_ticks(table).groupBy("stage").agg(F.sum("n")).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, want))
+    jobs.main(["throughput", "--counts", f"{tmp_path}/n", "--out", f"{tmp_path}/lines"])
+    last = {}
+    for line in (r.value.split(" , ") for r in spark.read.text(f"{tmp_path}/lines").collect()):
+        last[line[0]] = max(last.get(line[0], 0), int(line[2]))
+    assert last == dict(map(tuple, want))
+
+
+@pytest.mark.parametrize("files", [1, 1_000])
+def test_minute_rates_of_a_stream(spark, table, replay, tmp_path, files):
+    stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", files).parquet(replay)
+    run(append_table(metrics.minute_rates(bounded(stream, reports.STAMP, 1_200)), f"{tmp_path}/o", f"{tmp_path}/ck"))
+    got = {(r.stage, r.tick): (r.n, r.cumulative, r.rate) for r in spark.read.parquet(f"{tmp_path}/o").collect()}
+    last = max(t for _, t in got)
+    want = {(r.stage, r.tick): (r.n, r.cumulative, r.rate) for r in reports.throughput_rates(reports.input_ticks(table)).collect() if r.tick <= last}
+    assert got.keys() == want.keys() and len(got) > 1_000
+    assert all(got[k][:2] == want[k][:2] and abs(got[k][2] - want[k][2]) < 1e-9 for k in got)
 
 
 def test_console(live_comments, tmp_path):
