@@ -8,15 +8,17 @@ states of prefixes shared with the word before are kept, so each shared prefix i
 
 A token may follow another if no merge across their seam would come before the merges that complete
 them; that is asked once per pair and remembered.
+
+A worker remembers the tokens of words by 64-bit hash in sorted arrays (``word_ids.Memory``), from task
+to task; when these are full, words not met since the last time go.
 """
 
 from __future__ import annotations
 
 import json
 import re
-from array import array
 from collections.abc import Iterable
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,11 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from glosswell.llm.common import map_rows
+from glosswell.llm.word_ids import Memory, gathered
 
 #: Fixed value: how byte-level BPE cuts text into words.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Words whose encodings a worker remembers before it starts anew; bounds memory, never results.
-REMEMBERED_WORDS = 250_000
+#: Words whose tokens a worker remembers, some 35 bytes each, and pairs of tokens; bounds memory, never results.
+REMEMBERED_WORDS, REMEMBERED_PAIRS = 1_200_000, 250_000
+#: Longer words are encoded anew each time.
 REMEMBERED_LENGTH = 64
 NEVER = 1 << 40
 #: The same cut for texts of these characters alone, by the faster standard module.
@@ -45,6 +49,18 @@ def byte_names() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+class Table:
+    """A byte string for each token."""
+
+    def __init__(self, names: list[bytes]):
+        self.flat = np.frombuffer(b"".join(names), np.uint8)
+        self.size = np.array([len(x) for x in names], np.int64)
+        self.begin = np.cumsum(self.size) - self.size
+
+    def joined(self, ids: np.ndarray) -> bytes:
+        return gathered(self.flat, self.begin[ids], self.size[ids]).tobytes()
+
+
 class Encoder:
     """One vocabulary in one worker."""
 
@@ -72,7 +88,10 @@ class Encoder:
         self.special = special
         self.words = regex.compile(WORDS)
         self.marks = regex.compile("(" + "|".join(regex.escape(s) for s in special) + ")") if special else None
-        self.known: dict[str, list[int]] = {}
+        self.memory = Memory("<i4")
+        names = [self.bytes_of.get(i, b"") for i in range(max(self.bytes_of) + 1)]
+        self.raw = Table(names)
+        self.decimals = Table([b"%d," % i for i in range(len(names))])
         self.follows: dict[int, bool] = {}
         self.whole: dict[int, bool] = {}
 
@@ -118,8 +137,9 @@ class Encoder:
             ids[at : at + 2] = [self.joined[rank]]
         return ids == [token]
 
-    def learn(self, words: Iterable[str]) -> None:
-        """Encode words depth first through their common prefixes and remember the results."""
+    def learn(self, words: Iterable[str]) -> dict[str, bytes]:
+        """The tokens of words, depth first through their common prefixes."""
+        known: dict[str, bytes] = {}
         ids_of, follows, longest, lengths = self.ids.get, self.follows, self.ending, self.lengths
         before, path = b"", [-1]
         for raw, word in sorted((w.encode(), w) for w in words):
@@ -147,45 +167,63 @@ class Encoder:
                 ids.append(path[end])
                 end -= lengths[path[end]]
             ids.reverse()
-            self.known[word] = array("i", ids).tobytes()
+            known[word] = np.array(ids, "<i4").tobytes()
             before = raw
+        return known
 
     def cut(self, text: str) -> list[str]:
         return (COMMON if PLAIN.fullmatch(text) else self.words).findall(text)
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text as little-endian 32-bit integers."""
-        cut = []
+    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
+        """The ids of each text."""
+        # A text is cut at the strings of special tokens, which stand between its other pieces.
+        pieces, special, counts = [], {}, []
         for text in texts:
-            parts: list = []
-            for piece in self.marks.split(text or "") if self.marks else [text or ""]:
-                parts.append(self.special[piece] if piece in self.special else self.cut(piece))
-            cut.append(parts)
-        new = set().union(*(p for parts in cut for p in parts if isinstance(p, list)))
-        new.difference_update([w for w in new if w in self.known])
-        self.learn(new)
-        known = self.known.__getitem__
-        out = [
-            b"".join(p.to_bytes(4, "little") if isinstance(p, int) else b"".join(map(known, p)) for p in parts)
-            for parts in cut
-        ]
-        if len(self.known) > REMEMBERED_WORDS:
-            self.known.clear()
-        else:
-            for w in new:
-                if len(w) > REMEMBERED_LENGTH:
-                    del self.known[w]
-        if len(self.follows) > REMEMBERED_WORDS:
-            self.follows.clear()
+            own = self.marks.split(text) if self.marks and text else [text or ""]
+            for piece in own:
+                if piece in self.special:
+                    special[len(pieces)] = self.special[piece]
+                    piece = ""
+                pieces.append(self.cut(piece))
+            counts.append(len(own))
+        ids, ends = self.words_ids(list(chain.from_iterable(pieces)))
+        ends = ends[np.cumsum([0, *map(len, pieces)])]
+        out, at = [], 0
+        for n in counts:
+            if n == 1 and at not in special:
+                out.append(ids[ends[at] : ends[at + 1]])
+            else:
+                parts = [np.array([special[i]], "<i4") if i in special else ids[ends[i] : ends[i + 1]] for i in range(at, at + n)]
+                out.append(np.concatenate(parts))
+            at += n
         return out
 
-    def forget(self) -> None:
-        """Give up what was remembered: a worker outlives its task and other stages need its memory."""
-        self.known.clear()
-        self.follows.clear()
+    def words_ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words one after another, and how many there are before each."""
+        hashes = np.fromiter(map(hash, words), np.int64, len(words)).view(np.uint64)
+        found, at, which = np.unique(hashes, return_index=True, return_inverse=True)
+        new = np.flatnonzero(~self.memory.find(found)[1])
+        if len(new):
+            fresh = [words[i] for i in at[new].tolist()]
+            known = self.learn(fresh)
+            self.memory.add(found[new], [known[w] for w in fresh])
+        place, _ = self.memory.find(found)
+        size = self.memory.size[place][which]
+        ids = gathered(self.memory.flat, self.memory.begin[place][which], size)
+        long = [i for i, a in zip(new.tolist(), at[new].tolist()) if len(words[a]) > REMEMBERED_LENGTH]
+        if long:
+            self.memory.drop(found[long])
+        self.memory.trim(REMEMBERED_WORDS)
+        if len(self.follows) > REMEMBERED_PAIRS:
+            self.follows.clear()
+        return ids, np.concatenate([[0], np.cumsum(size)])
+
+    def decode(self, ids: np.ndarray) -> str:
+        return self.raw.joined(ids).decode("utf-8", "replace")
 
-    def decode(self, ids: list[int]) -> str:
-        return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
+    def decimal(self, ids: np.ndarray) -> bytes:
+        """The ids as decimal numbers with commas between."""
+        return self.decimals.joined(ids)[:-1]
 
 
 ENCODERS: dict[str, Encoder] = {}
@@ -198,9 +236,9 @@ def encoder(path: str) -> Encoder:
     return ENCODERS[path]
 
 
-def lists(packed: list[bytes]) -> pa.ListArray:
-    starts = [0, *accumulate(len(x) // 4 for x in packed)]
-    values = np.frombuffer(b"".join(packed), np.dtype("<i4"))
+def lists(ids: list[np.ndarray]) -> pa.ListArray:
+    starts = [0, *accumulate(map(len, ids))]
+    values = np.concatenate([np.zeros(0, "<i4"), *ids])
     return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.array(values))
 
 
@@ -220,7 +258,6 @@ def encode(documents: DataFrame, vocabulary: str) -> DataFrame:
         work,
         "doc_id long, ids array<int>",
         "text",
-        lambda: encoder(vocabulary).forget(),
     )
 
 
@@ -236,7 +273,7 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
         return {
             "doc_id": part.column("doc_id"),
             "ids": ids,
-            "text": [back(x.values.tolist()) if x.is_valid else "" for x in ids],
+            "text": [back(x.values.to_numpy()) if x.is_valid else "" for x in ids],
         }
 
     return map_rows(encoded.select("doc_id", "ids"), work, "doc_id long, ids array<int>, text string")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -55,10 +56,19 @@ def slices(batches: Iterable[pa.RecordBatch], sized: str | None = None) -> Itera
             yield part.slice(begin)
 
 
+def hand_back() -> None:
+    """Give freed memory back at the end of a task: a worker outlives it, and other stages need it."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:
+        pass  # another C library than glibc
+
+
 def map_rows(
-    df: DataFrame, work: Callable[[pa.RecordBatch], dict | None], schema: str | StructType, sized: str | None = None, done: Callable[[], None] = lambda: None
+    df: DataFrame, work: Callable[[pa.RecordBatch], dict | None], schema: str | StructType, sized: str | None = None
 ) -> DataFrame:
-    """``work`` on every slice of ``df``; it returns the columns of ``schema`` or None. ``done`` ends a task."""
+    """``work`` on every slice of ``df``; it returns the columns of ``schema`` or None."""
     from pyspark.sql.pandas.types import to_arrow_schema
     kinds = to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
 
@@ -70,7 +80,7 @@ def map_rows(
                     [pa.array(made[f.name], f.type) if not isinstance(made[f.name], pa.Array) else made[f.name].cast(f.type) for f in kinds],
                     schema=kinds,
                 )
-        done()
+        hand_back()
 
     return df.mapInArrow(run, schema)
 

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from glosswell.llm import bpe, chat, decontaminate, infill, languages, licenses, lines, negatives, neighbours, packing, shingles, spans, toxicity
-from glosswell.llm.common import held_out, read, sha256
+from glosswell.llm.common import held_out, map_rows, read, sha256
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,14 +36,22 @@ def word_vocabulary() -> str:
 
 
 def token_digests(documents: DataFrame) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 from the ids and the text decoded from them."""
-    decoded = bpe.decode(bpe.encode(documents, vocabulary()), vocabulary())
-    return decoded.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        sha256(F.array_join(F.col("ids").cast("array<string>"), ",")).alias("ids_sha256"),
-        sha256(F.col("text")).alias("decoded_sha256"),
-    )
+    """doc_id, n_tokens, ids_sha256, decoded_sha256 from the ids and the text decoded from them, which stay
+    in the task that made them."""
+    path = vocabulary()
+
+    def work(part: pa.RecordBatch) -> dict:
+        encoder = bpe.encoder(path)
+        ids = encoder.encode(part.column("text").to_pylist())
+        return {
+            "doc_id": part.column("doc_id"),
+            "n_tokens": list(map(len, ids)),
+            "ids_sha256": [hashlib.sha256(encoder.decimal(x)).hexdigest() for x in ids],
+            "decoded_sha256": [hashlib.sha256(encoder.decode(x).encode()).hexdigest() for x in ids],
+        }
+
+    chosen = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return map_rows(chosen, work, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", "text")
 
 
 @registered

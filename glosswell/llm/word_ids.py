@@ -65,9 +65,14 @@ class Memory:
         self.met = np.concatenate([self.met, np.ones(len(hashes), bool)])[order]
         self.flat = np.concatenate([self.flat, more])
 
+    def drop(self, hashes: np.ndarray) -> None:
+        """Forget these; their ids go with the next trim."""
+        kept = ~np.isin(self.hashes, hashes)
+        self.hashes, self.begin, self.size, self.met = (x[kept] for x in (self.hashes, self.begin, self.size, self.met))
+
     def trim(self, most: int) -> None:
         """Between slices: beyond ``most``, keep what was met since the last time, all else if that is too much."""
-        if len(self.hashes) <= most:
+        if len(self.hashes) <= most and len(self.flat) <= 8 * most:
             return
         kept = self.met if 2 * np.count_nonzero(self.met) <= most else np.zeros(len(self.met), bool)
         self.flat = gathered(self.flat, self.begin[kept], self.size[kept])
