@@ -22,13 +22,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from glosswell.llm.common import map_rows, written
+from glosswell.llm.common import hand_back, map_rows, written
 from glosswell.llm.components import components
 from glosswell.llm.words import SPACED, runs, texts_words
 
 WIDTH, PERCENT = 5, 75
-#: Shingles of a column block, on average: about 100 MB in the task that counts it.
-BLOCK_SHINGLES = 5_000_000
+#: Shingles of a column block, on average.
+BLOCK_SHINGLES = 2_500_000
 #: A shingle in this share of all documents is counted beside the blocks; at most 1 / share times
 #: the shingles of a mean document are, and all others are at most this share of a block's rows.
 COMMON_SHARE = 0.005
@@ -106,15 +106,25 @@ def packed(group: np.ndarray, rows: np.ndarray, names: np.ndarray, sizes: np.nda
     return out
 
 
+def joined(table: pa.Table, column: str, kind: str) -> np.ndarray:
+    """A binary column's rows as one array, without a Python object for each."""
+    chunks = [c.buffers()[2] for c in table.column(column).chunks if len(c)]
+    spans = [
+        (np.frombuffer(c.buffers()[1], "<i4")[c.offset], np.frombuffer(c.buffers()[1], "<i4")[c.offset + len(c)])
+        for c in table.column(column).chunks
+        if len(c)
+    ]
+    return np.frombuffer(b"".join(memoryview(x)[a:z] for x, (a, z) in zip(chunks, spans)), kind)
+
+
 def unpacked(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct names, their sizes, the set of each entry, and whether the entry is the first of its
     kind: a set that occurs in several slices comes several times."""
-    joined = lambda c, kind: np.frombuffer(b"".join(table.column(c).to_pylist()), kind)
-    names, kept, same = np.unique(joined("names", "<i8").reshape(-1, 2), axis=0, return_index=True, return_inverse=True)
-    counts = joined("counts", "<i4")
+    names, kept, same = np.unique(joined(table, "names", "<i8").reshape(-1, 2), axis=0, return_index=True, return_inverse=True)
+    counts = joined(table, "counts", "<i4")
     first = np.zeros(len(counts), bool)
     first[kept] = True
-    return names, joined("sizes", "<i4")[kept], np.repeat(same.reshape(-1), counts), np.repeat(first, counts)
+    return names, joined(table, "sizes", "<i4")[kept], np.repeat(same.reshape(-1).astype(np.int32), counts), np.repeat(first, counts)
 
 
 class Sets:
@@ -162,20 +172,30 @@ def counted(columns: int):
 
     def work(table: pa.Table) -> pa.Table:
         names, sizes, rows, first = unpacked(table)
-        raw = np.frombuffer(b"".join(table.column("keys").to_pylist()), np.uint8).reshape(-1, LOW_BITS // 8)
-        keys = np.zeros((int(first.sum()), 8), np.uint8)
-        keys[:, : LOW_BITS // 8] = raw[first]
+        group = np.uint64(table.column("group")[0].as_py() << LOW_BITS)
+        keys = np.zeros((int(np.count_nonzero(first)), 8), np.uint8)
+        keys[:, : LOW_BITS // 8] = joined(table, "keys", np.uint8).reshape(-1, LOW_BITS // 8)[first]
         keys, rows = keys.view("<u8")[:, 0], rows[first]
+        del table, first
+        # What occurs once goes before the keys are put in order with their rows.
+        alike = np.sort(keys)
+        again = np.unique(alike[1:][alike[1:] == alike[:-1]])
+        del alike
+        shared = again[np.minimum(np.searchsorted(again, keys), max(len(again) - 1, 0))] == keys if len(again) else np.zeros(len(keys), bool)
+        keys, rows = keys[shared], rows[shared]
         order = np.argsort(keys, kind="stable")
         keys, rows = keys[order], rows[order]
+        del order, shared
         cuts = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1], [True]])) if len(keys) else np.zeros(1, np.int64)
         times = np.repeat(np.diff(cuts), np.diff(cuts))
-        keys, rows, times = (x[times > 1] for x in (keys, rows, times))
-        keys = keys | np.uint64(table.column("group")[0].as_py() << LOW_BITS)
+        keys = keys | group
         made = packed(
             row_block(names, columns)[rows], rows, names, sizes, {"keys": keys.astype("<u8"), "times": times.astype("<i8")}
         )
-        return pa.table({c: pa.array(v, pa.int64() if c == "group" else pa.binary()) for c, v in made.items()})
+        out = pa.table({c: pa.array(v, pa.int64() if c == "group" else pa.binary()) for c, v in made.items()})
+        del made, keys, rows, times
+        hand_back()
+        return out
 
     return work
 
@@ -208,7 +228,7 @@ def candidates_of(percent: int):
 
     def work(table: pa.Table) -> pa.Table:
         names, sizes, rows, _ = unpacked(table)
-        keys, times = (np.frombuffer(b"".join(table.column(c).to_pylist()), "<i8") for c in ("keys", "times"))
+        keys, times = (joined(table, c, "<i8") for c in ("keys", "times"))
         order = np.lexsort((keys, times, rows))
         rows, keys = rows[order], keys[order]
         once = np.ones(len(rows), bool)
@@ -223,7 +243,10 @@ def candidates_of(percent: int):
                 held = keys[begin:end]
                 for c, v in zip(out, (a, b, n, held, held[:length])):
                     out[c].append(v)
-        return pa.table({c: pa.array(v, pa.int64() if c in "abn" else pa.list_(pa.int64())) for c, v in out.items()})
+        made = pa.table({c: pa.array(v, pa.int64() if c in "abn" else pa.list_(pa.int64())) for c, v in out.items()})
+        del out, keys, times, rows
+        hand_back()
+        return made
 
     return work
 
@@ -321,7 +344,7 @@ def near_duplicates(documents: DataFrame, width: int = WIDTH, percent: int = PER
     docs = outline.select("doc_id", "n", "a", "b")
     classes = docs.where("n > 0").groupBy("a", "b", "n").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
     total = classes.agg(F.sum("n"), F.count("*")).first()
-    columns = max(1, min(1 << 16, math.ceil((total[0] or 0) / BLOCK_SHINGLES)))
+    columns = max(1, min(1 << 64 - LOW_BITS, math.ceil((total[0] or 0) / BLOCK_SHINGLES)))
     common = (
         outline.select(F.explode("common").alias("c"))
         .groupBy("c.key")
@@ -337,11 +360,12 @@ def near_duplicates(documents: DataFrame, width: int = WIDTH, percent: int = PER
 
     matrix = (
         blocks(documents, width, columns, keys, frequent)
+        .repartition(columns, "group")
         .groupBy("group")
         .applyInArrow(counted(columns), f"{MATRIX}, times binary")
         .union(commons(documents, width, columns, keys, times, frequent))
     )
-    found = matrix.groupBy("group").applyInArrow(
+    found = matrix.repartition(columns, "group").groupBy("group").applyInArrow(
         candidates_of(percent), "a long, b long, n long, keys array<long>, prefix array<long>"
     )
     sets = written(found.withColumn("id", F.monotonically_increasing_id()), "sets")
