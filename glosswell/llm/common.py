@@ -23,9 +23,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors see; a temporary one only where the session names none."""
+    """The folder all executors see. Where the session names none, a temporary one, on one machine only."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all machines see")
         named = f"file://{tempfile.mkdtemp(prefix='glosswell-')}"
         spark.conf.set("spark.checkpoint.dir", named)
     return named
