@@ -4,12 +4,16 @@ Each language is a smoothed distribution over hashed character n-grams of words,
 texts it is learned from. A document is a mixture of languages word by word: expectation maximisation
 finds the proportions, and languages join the set one by one as long as they raise the likelihood by
 more than a penalty that grows with the text (as in the Bayesian information criterion).
+
+Languages are tried in blocks of a fixed size, so any number of them can be learned: a text keeps the set
+chosen so far, with what it gives each of its words, and the next block's languages compete with that set.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,14 +21,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from glosswell.llm.common import map_rows
+from glosswell.llm.common import map_rows, written
 
 WORDS = re.compile(r"[^\W\d_]+")
 #: n-grams of up to so many characters, hashed to so many cells: the size of a model per language.
 GRAM = 3
 CELLS_LOG2 = 16
-#: Languages that are learned at most, the most frequent; bounds the model that every task holds.
-MOST_LANGUAGES = 400
+#: Languages of a block: bounds what every task holds (half a megabyte each), not how many there are.
+BLOCK_LANGUAGES = 64
+#: Words looked up at once; bounds memory.
+LOOKED_UP = 4_096
 ROUNDS = 30
 
 
@@ -52,7 +58,8 @@ def words_in(text: str | None) -> list[str]:
 
 @dataclass(frozen=True)
 class Model:
-    """Log probabilities by language and cell; ``penalty`` is per language and log of the words."""
+    """A block of languages: log probabilities by language and cell; ``penalty`` is per language and log
+    of the words."""
 
     names: tuple[str, ...]
     logs: np.ndarray
@@ -61,11 +68,11 @@ class Model:
     def likelihoods(self, words: list[str], known: dict[str, np.ndarray]) -> np.ndarray:
         """Log likelihood of each word under each language, per n-gram of a usual word."""
         new = [w for w in dict.fromkeys(words) if w not in known]
-        if new:
-            at, starts = cells(new)
-            sums = np.add.reduceat(self.logs[:, at], starts[:-1], axis=1) if len(at) else np.zeros((len(self.names), len(new)))
-            for w, x in zip(new, sums.T):
-                known[w] = x
+        for begin in range(0, len(new), LOOKED_UP):
+            some = new[begin : begin + LOOKED_UP]
+            at, starts = cells(some)
+            sums = np.add.reduceat(self.logs[:, at], starts[:-1], axis=1) if len(at) else np.zeros((len(self.names), len(some)))
+            known.update(zip(some, sums.T))
         return np.array([known[w] for w in words]).reshape(-1, len(self.names))
 
     def mixture(self, logs: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, float]:
@@ -83,20 +90,26 @@ class Model:
                 break
         return share, float(weights @ (np.log((p * share).sum(axis=1)) + top[:, 0]))
 
-    def languages(self, text: str | None, known: dict[str, np.ndarray]) -> list[tuple[str, float]]:
-        """The chosen languages and their proportions, largest first; none without letters."""
+    def languages(
+        self, text: str | None, known: dict[str, np.ndarray], names: tuple[str, ...] = (), held: np.ndarray | None = None
+    ) -> tuple[tuple[str, ...], np.ndarray, np.ndarray]:
+        """The languages chosen among those of this block and ``names``, in order, with their proportions and
+        what each gives the text's distinct words; none without letters. ``held`` is the last of ``names``."""
         counted: dict[str, int] = {}
         for w in words_in(text):
             counted[w] = counted.get(w, 0) + 1
         counted = {w: n for w, n in counted.items() if w.isalpha() or any(c.isalpha() for c in w)}
-        if not counted or not self.names:
-            return []
+        every = (*names, *self.names)
+        if not counted or not every:
+            return (), np.zeros(0), np.zeros((0, 0))
         logs, weights = self.likelihoods(list(counted), known), np.array(list(counted.values()), np.float64)
+        if names:
+            logs = np.hstack([np.reshape(held, (len(counted), len(names))), logs])
         single = weights @ logs
         chosen = [int(np.argmax(single))]
         share, reached = np.ones(1), float(single[chosen[0]])
         cost = self.penalty * math.log(weights.sum() + 1)
-        while len(chosen) < len(self.names):
+        while len(chosen) < len(every):
             # No mixture does better than the best language of each word.
             best = logs[:, chosen].max(axis=1, keepdims=True)
             most = weights @ np.maximum(logs, best) - reached
@@ -109,14 +122,63 @@ class Model:
                 break
             chosen.append(j)
             share, reached = more, value
-        return sorted(((self.names[j], float(x)) for j, x in zip(chosen, share)), key=lambda x: (-x[1], x[0]))
+        order = np.argsort(chosen)
+        chosen = [chosen[i] for i in order]
+        return tuple(every[j] for j in chosen), share[order], logs[:, chosen]
+
+
+@dataclass(frozen=True)
+class Learned:
+    """All languages learned, as a written table: lang, logs (doubles by cell)."""
+
+    table: DataFrame
+
+    @property
+    def names(self) -> tuple[str, ...]:
+        return tuple(r.lang for r in self.table.select("lang").orderBy("lang").toLocalIterator())
+
+    def blocks(self, size: int) -> Iterator[tuple[Model, bool]]:
+        """The languages in order, ``size`` at a time, and whether these are the last; one block at least."""
+        rest = self.table
+        while True:
+            rows = rest.orderBy("lang").limit(size + 1).collect()
+            own, last = rows[:size], len(rows) <= size
+            logs = np.array([np.frombuffer(r.logs, "<f8") for r in own]).reshape(len(own), 1 << CELLS_LOG2)
+            yield Model(tuple(r.lang for r in own), logs), last
+            if last:
+                return
+            rest = self.table.where(F.col("lang") > own[-1].lang)
+
+
+def densities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """lang, logs of each language from its cells' counts, which come one language after another."""
+
+    def row(name: str, own: np.ndarray) -> pa.RecordBatch:
+        logs = np.log(own / own.sum()).astype("<f8")
+        return pa.RecordBatch.from_arrays([pa.array([name], pa.string()), pa.array([logs.tobytes()], pa.binary())], ["lang", "logs"])
+
+    name, own = None, np.zeros(0)
+    for batch in batches:
+        langs = np.array(batch.column("lang").to_pylist(), object)
+        at, times = (batch.column(c).to_numpy() for c in ("cell", "times"))
+        edges = [0, *(np.flatnonzero(langs[1:] != langs[:-1]) + 1).tolist(), len(langs)]
+        for begin, end in zip(edges, edges[1:]):
+            if begin == end:
+                continue
+            if langs[begin] != name:
+                if name is not None:
+                    yield row(name, own)
+                name, own = langs[begin], np.full(1 << CELLS_LOG2, 0.05)
+            own[at[begin:end]] += times[begin:end]
+    if name is not None:
+        yield row(name, own)
 
 
-def train(documents: DataFrame) -> Model:
+def train(documents: DataFrame) -> Learned:
     """Counts n-grams over all texts with a language; text and lang are read.
 
-    Rows whose lang or text is null teach nothing. Counts are summed where they arise; what reaches
-    the driver is at most MOST_LANGUAGES rows of 2 ** CELLS_LOG2 numbers.
+    Rows whose lang or text is null teach nothing, nor do texts without words. Counts are summed where they
+    arise; a language brings its task at most 2 ** CELLS_LOG2 rows, and nothing is collected.
     """
     known = documents.select(F.col("text").cast("string"), F.col("lang").cast("string")).where(
         "text is not null and lang is not null"
@@ -137,37 +199,57 @@ def train(documents: DataFrame) -> Model:
     counted = map_rows(known, count, "lang string, cell int, times long", "text").groupBy("lang", "cell").agg(
         F.sum("times").alias("times")
     )
-    rows = (
-        counted.groupBy("lang")
-        .agg(F.sum("times").alias("total"), F.collect_list(F.struct("cell", "times")).alias("cells"))
-        .orderBy(F.desc("total"), "lang")
-        .limit(MOST_LANGUAGES)
-    )
-    names, logs = [], []
-    for row in rows.toLocalIterator():
-        own = np.full(1 << CELLS_LOG2, 0.05)
-        for cell, times in row.cells:
-            own[cell] += times
-        names.append(row.lang)
-        logs.append(np.log(own / own.sum()))
-    order = np.argsort(names) if names else []
-    return Model(
-        tuple(names[i] for i in order), np.array([logs[i] for i in order]).reshape(len(names), 1 << CELLS_LOG2)
-    )
+    dense = counted.repartition("lang").sortWithinPartitions("lang").mapInArrow(densities, "lang string, logs binary")
+    return Learned(written(dense, "languages"))
 
 
-def identify(documents: DataFrame, model: Model) -> DataFrame:
+def identify(documents: DataFrame, learned: Learned, block: int = BLOCK_LANGUAGES) -> DataFrame:
     """doc_id, lang_pred, score, langs, shares: the main language of each whole text, its proportion,
-    and all languages found with theirs, largest first.
+    and all languages found with theirs, largest first; equal ones by name.
+
+    Every language learned is tried, ``block`` of them at a time; between two blocks each text's set is
+    written. The best single language of a text is never lost; one that joins no set when its block comes
+    is not tried again.
 
     ``und`` with score 0 and no languages if a text is null or has no letter, or if nothing was
     learned. One row per row of ``documents``; only doc_id and text are read.
     """
-    held = documents.sparkSession.sparkContext.broadcast(model)
+    spark = documents.sparkSession
+    state = documents.select(
+        F.col("doc_id").cast("long"),
+        F.col("text").cast("string"),
+        F.lit(None).cast("array<string>").alias("names"),
+        F.lit(None).cast("array<double>").alias("held"),
+    )
 
-    def work(part: pa.RecordBatch) -> dict:
+    def chosen(part: pa.RecordBatch, model: Model) -> Iterator[tuple]:
         known: dict[str, np.ndarray] = {}
-        found = [held.value.languages(t, known) for t in part.column("text").to_pylist()]
+        names, held = part.column("names").to_pylist(), part.column("held")
+        for i, text in enumerate(part.column("text").to_pylist()):
+            before = held[i].values.to_numpy() if held[i].is_valid else None
+            yield model.languages(text, known, tuple(names[i] or ()), before)
+
+    for model, last in learned.blocks(block):
+        shared = spark.sparkContext.broadcast(model)
+        if last:
+            break
+
+        def narrowed(part: pa.RecordBatch, shared=shared) -> dict:
+            found = list(chosen(part, shared.value))
+            return {
+                "doc_id": part.column("doc_id"),
+                "text": part.column("text"),
+                "names": [list(names) for names, _, _ in found],
+                "held": [np.ravel(logs) for _, _, logs in found],
+            }
+
+        state = written(map_rows(state, narrowed, state.schema, "text"), "mixtures")
+        shared.unpersist()
+
+    def work(part: pa.RecordBatch) -> dict:
+        found = [
+            sorted(zip(names, shares.tolist()), key=lambda x: (-x[1], x[0])) for names, shares, _ in chosen(part, shared.value)
+        ]
         return {
             "doc_id": part.column("doc_id"),
             "lang_pred": [x[0][0] if x else "und" for x in found],
@@ -176,9 +258,4 @@ def identify(documents: DataFrame, model: Model) -> DataFrame:
             "shares": [[share for _, share in x] for x in found],
         }
 
-    return map_rows(
-        documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")),
-        work,
-        "doc_id long, lang_pred string, score double, langs array<string>, shares array<double>",
-        "text",
-    )
+    return map_rows(state, work, "doc_id long, lang_pred string, score double, langs array<string>, shares array<double>", "text")

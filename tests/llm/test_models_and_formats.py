@@ -205,6 +205,55 @@ def test_languages_and_their_shares(spark):
     assert [r.score for r in got[3:6]] == [0.0] * 3
 
 
+def test_every_one_of_many_languages_is_tried(spark):
+    """More languages than a block holds, each with letters of its own; the last by name and the rarest too."""
+    letters = [chr(0x4E00 + 3 * i) + chr(0x4E01 + 3 * i) + chr(0x4E02 + 3 * i) for i in range(1_000)]
+    said = lambda i, n: " ".join("".join(random.Random(f"{i}-{k}").choices(letters[i], k=4)) for k in range(n))
+    learned = [(i, said(i, 12 + 50 * (i < 500)), f"x{i:04}") for i in range(1_000)]
+    model = languages.train(spark.createDataFrame(learned, "doc_id long, text string, lang string"))
+    asked = [0, 1, 63, 64, 399, 400, 401, 500, 998, 999]
+    texts = [said(i, 9) for i in asked] + [f"{said(3, 60)} {said(999, 40)}", "", None, "12"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = languages.identify(docs, model, block=400).orderBy("doc_id").collect()
+    assert [r.lang_pred for r in got] == [*(f"x{i:04}" for i in asked), "x0003", "und", "und", "und"]
+    assert got[10].langs == ["x0003", "x0999"] and abs(got[10].shares[1] - 0.4) < 0.1
+
+
+def plain_mixture(model, text):
+    """Expectation maximisation over every set of up to two languages, in plain loops."""
+    words = [w for w in languages.words_in(text) if any(c.isalpha() for c in w)]
+    given = {w: [sum(float(row[c]) for c in languages.cells([w])[0]) for row in model.logs] for w in set(words)}
+
+    def fitted(names):
+        share = [1 / len(names)] * len(names)
+        for _ in range(300):
+            parts = []
+            for w in words:
+                p = [s * np.exp(given[w][j] - max(given[w])) for s, j in zip(share, names)]
+                parts.append([x / sum(p) for x in p])
+            share = [sum(x) / len(words) for x in zip(*parts)]
+        value = sum(max(given[w]) + np.log(sum(s * np.exp(given[w][j] - max(given[w])) for s, j in zip(share, names))) for w in words)
+        return value - model.penalty * np.log(len(words) + 1) * len(names), share
+
+    every = [(i,) for i in range(len(model.names))] + [(i, j) for j in range(len(model.names)) for i in range(j)]
+    (_, share), names = max(((fitted(names), names) for names in every), key=lambda x: x[0][0])
+    return dict(zip((model.names[j] for j in names), share))
+
+
+def test_mixtures_match_brute_force(spark):
+    learned = [(i, spoken(x, i, 60), x) for i, x in enumerate(["aa", "bb", "cc"] * 20)]
+    learned = languages.train(spark.createDataFrame(learned, "doc_id long, text string, lang string"))
+    ((model, last),) = learned.blocks(64)
+    assert last
+    texts = [f"{spoken(a, i, 4 + 3 * i)} {spoken(b, i + 50, 30 - 3 * i)}" for i in range(10) for a, b in (("aa", "bb"), ("cc", "cc"))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for block in (64, 1):
+        for r in languages.identify(docs, learned, block=block).collect():
+            want = plain_mixture(model, texts[r.doc_id])
+            assert set(r.langs) == set(want)
+            assert all(abs(want[x] - y) < 0.02 for x, y in zip(r.langs, r.shares))
+
+
 def test_languages_without_anything_learned(spark):
     model = languages.train(empty(spark))
     assert {r.lang_pred for r in languages.identify(awkward(spark), model).collect()} == {"und"}
