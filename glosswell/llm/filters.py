@@ -2,15 +2,84 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from glosswell.llm.common import hand_back, slices
+
 #: Bits of one row that is sent to the driver.
 CHUNK_LOG2 = 20
+#: The same of a pair of filters; their chunks are merged by as many tasks as there are partitions.
+PAIR_LOG2 = 17
+
+
+class SeenOnceTwice:
+    """Two Bloom filters of 2 ** ``log2`` bits: positions seen, and positions seen again.
+
+    ``add`` takes one row of positions per thing; a thing added twice has all its positions in ``twice``.
+    """
+
+    def __init__(self, log2: int):
+        self.once = np.zeros(max(1, (1 << log2) // 8), np.uint8)
+        self.twice = np.zeros_like(self.once)
+
+    def add(self, positions: np.ndarray) -> None:
+        at, times = np.unique(positions, return_counts=True)
+        again = at[(times > 1) | is_set(self.once, at)]
+        for bits, new in ((self.twice, again), (self.once, at)):
+            np.bitwise_or.at(bits, new >> 3, np.uint8(1) << (new & 7).astype(np.uint8))
+
+    def merge(self, once: np.ndarray, twice: np.ndarray, begin: int) -> None:
+        """Take in a stretch of another pair: what both have seen is seen twice."""
+        held = slice(begin, begin + len(once))
+        self.twice[held] |= twice | (self.once[held] & once)
+        self.once[held] |= once
+
+
+def seen_twice(df: DataFrame, positions: Callable[[pa.RecordBatch], np.ndarray], log2: int, sized: str) -> bytes:
+    """The filter of positions seen twice in ``df``, of 2 ** ``log2`` bits; its size is all that is collected.
+
+    Every task fills a pair of filters of its own; their chunks are compressed, dealt by place and merged
+    as they come, so a task holds its own chunks however many tasks there were.
+    """
+    chunk_log2 = min(PAIR_LOG2, max(3, log2))
+    size = (1 << chunk_log2) // 8
+    kinds = pa.schema([("chunk", pa.int32()), ("once", pa.binary()), ("twice", pa.binary())])
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        pair, pack = SeenOnceTwice(log2), zstandard.ZstdCompressor(level=1).compress
+        for part in slices(batches, sized):
+            pair.add(positions(part))
+        for chunk in np.flatnonzero(pair.once.reshape(-1, size).any(axis=1)).tolist():
+            own = slice(chunk * size, (chunk + 1) * size)
+            made = [[chunk], [pack(pair.once[own].tobytes())], [pack(pair.twice[own].tobytes())]]
+            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(made, kinds)], schema=kinds)
+        del pair
+        hand_back()
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        unpack, held = zstandard.ZstdDecompressor().decompress, {}
+        for batch in batches:
+            for chunk, *packed in zip(*(batch.column(c).to_pylist() for c in kinds.names)):
+                pair = held.setdefault(chunk, SeenOnceTwice(chunk_log2))
+                pair.merge(*(np.frombuffer(unpack(x), np.uint8) for x in packed), 0)
+        for chunk, pair in held.items():
+            if pair.twice.any():
+                yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), pa.array([pair.twice.tobytes()])], ["chunk", "bits"])
+
+    filled = df.mapInArrow(fill, "chunk int, once binary, twice binary").repartition("chunk")
+    out = bytearray(max(1, (1 << log2) // 8))
+    for row in filled.mapInArrow(join, "chunk int, bits binary").collect():
+        out[row.chunk * size : (row.chunk + 1) * size] = row.bits
+    return bytes(out)
 
 
 def collected_bits(positions: DataFrame, column: str, log2: int) -> bytes:

@@ -1,9 +1,10 @@
 """Lines that many documents repeat: all but one document lose them.
 
-Two Bloom filters over the lines of all documents, by position: seen once, and seen by a second
-document. Only lines all of whose positions were seen twice are suspects and are shuffled; their
-128-bit keys are then counted exactly. A full filter only makes more lines suspects. Positions are
-counted where they arise before they are shuffled, so the most frequent line costs each task one row.
+Two Bloom filters over the lines of all documents: seen once, and seen twice. Every task fills its own
+pair, and pairs are merged by place (seen by both is seen twice), so no line is shuffled for them. Only
+lines all of whose positions were seen twice are suspects and are shuffled; their 128-bit keys are then
+counted exactly. Filters are sized by the bytes of all texts up to a bound; a full one only makes more
+lines suspects.
 """
 
 from __future__ import annotations
@@ -17,10 +18,12 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from glosswell.llm.common import map_rows, written
-from glosswell.llm.filters import collected_bits, is_set
+from glosswell.llm.filters import is_set, seen_twice
 
-#: Bits of the filter that every task holds: 2 ** 26 bits are 8 MB. Size moves work, never results.
-FILTER_LOG2 = 26
+#: Bits of a filter at most: 2 ** 28 bits are 32 MB, and a task that fills has two. Size moves work, never results.
+MOST_LOG2 = 28
+#: Bits for each line that the texts can hold by their bytes; lines are usually a few times as long.
+BITS_PER_LINE = 8
 BLANKS = b" \t\n\x0b\x0c\r"
 
 
@@ -45,11 +48,17 @@ def hashed(texts: list[str | None], min_chars: int) -> tuple[np.ndarray, np.ndar
     return np.frombuffer(b"".join(found), "<i8").reshape(-1, 2), np.array(rows, np.int64)
 
 
+def filter_size(documents: DataFrame, min_chars: int) -> int:
+    """log2 of the bits that the lines of ``documents`` need: there are no more than bytes / ``min_chars``."""
+    bytes_ = documents.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return min(MOST_LOG2, max(10, int(BITS_PER_LINE * bytes_ / max(1, min_chars)).bit_length()))
+
+
 def drop_repeated_lines(
     documents: DataFrame,
     min_docs: int = 5,
     min_chars: int = 40,
-    filter_log2: int = FILTER_LOG2,
+    filter_log2: int | None = None,
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """doc_id, text, n_lines, n_dropped: the documents without lines that others keep.
@@ -61,23 +70,24 @@ def drop_repeated_lines(
     One row per row of ``documents``. A null or empty text is one empty line. Rows that share an id
     are one document when counting. Null ids are not counted and never the one that keeps a line.
     Further columns are not read, but for those named in ``carry``, which come along unchanged.
+
+    ``filter_log2`` is the size of the filters; by default that of the table (``filter_size``).
     """
-    whole = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *carry)
-    documents = whole.select("doc_id", "text")
-    mask = (1 << filter_log2) - 1
-
-    def positions(part: pa.RecordBatch) -> dict:
-        hashes, _ = hashed(part.column("text").to_pylist(), min_chars)
-        at, times = np.unique(hashes & mask, return_counts=True)
-        return {"at": at, "times": np.minimum(times, 2)}
-
-    twice = (
-        map_rows(documents, positions, "at long, times long", "text")
-        .groupBy("at")
-        .agg(F.sum("times").alias("times"))
-        .where("times > 1")
+    # Columns that come along are put away, so that none clashes with those made here.
+    whole = documents.select(
+        F.col("doc_id").cast("long"),
+        F.col("text").cast("string"),
+        F.struct(F.lit(0).alias("none"), *carry).alias("carried"),
     )
-    bits = documents.sparkSession.sparkContext.broadcast(collected_bits(twice, "at", filter_log2))
+    # Rows with the same id lie by their texts too, so that no id (null, say) gathers those of many texts.
+    documents = whole.select("doc_id", "text", F.xxhash64("text").alias("text_hash"))
+    log2 = filter_log2 or filter_size(documents, min_chars)
+    mask = (1 << log2) - 1
+
+    def positions(part: pa.RecordBatch) -> np.ndarray:
+        return hashed(part.column("text").to_pylist(), min_chars)[0] & mask
+
+    bits = documents.sparkSession.sparkContext.broadcast(seen_twice(documents.select("text"), positions, log2, "text"))
 
     def suspects(part: pa.RecordBatch) -> dict:
         hashes, rows = hashed(part.column("text").to_pylist(), min_chars)
@@ -88,9 +98,10 @@ def drop_repeated_lines(
             "a": hashes[both, 0],
             "b": hashes[both, 1],
             "doc_id": part.column("doc_id").take(pa.array(rows[both])),
+            "text_hash": part.column("text_hash").take(pa.array(rows[both])),
         }
 
-    suspected = written(map_rows(documents, suspects, "a long, b long, doc_id long", "text"), "lines")
+    suspected = written(map_rows(documents, suspects, "a long, b long, doc_id long, text_hash long", "text"), "lines")
     keepers = (
         suspected.groupBy("a", "b")
         .agg(F.count_distinct("doc_id").alias("docs"), F.max("doc_id").alias("keeper"))
@@ -101,15 +112,15 @@ def drop_repeated_lines(
     drops = (
         suspected.join(keepers, ["a", "b"])
         .where("doc_id is null or doc_id <> keeper")
-        .groupBy("doc_id")
+        .groupBy("doc_id", "text_hash")
         .agg(F.collect_set(F.struct("a", "b")).alias("drops"))
-        .toDF("drop_id", "drops")
+        .toDF("drop_id", "drop_hash", "drops")
     )
 
     def cut(part: pa.RecordBatch) -> dict:
         from xxhash import xxh3_128_digest
 
-        out = {c: part.column(c) for c in ("doc_id", *carry)} | {"text": [], "n_lines": [], "n_dropped": []}
+        out = {c: part.column(c) for c in ("doc_id", "carried")} | {"text": [], "n_lines": [], "n_dropped": []}
         drops = part.column("drops")
         for i, text in enumerate(part.column("text").to_pylist()):
             lines, gone = (text or "").split("\n"), []
@@ -125,5 +136,7 @@ def drop_repeated_lines(
         return out
 
     schema = StructType(whole.schema.fields).add("n_lines", "long").add("n_dropped", "long")
-    marked = whole.join(drops, F.col("doc_id").eqNullSafe(F.col("drop_id")), "left").drop("drop_id")
-    return map_rows(marked, cut, schema, "text")
+    same = F.col("doc_id").eqNullSafe(F.col("drop_id")) & (F.xxhash64("text") == F.col("drop_hash"))
+    marked = whole.join(drops, same, "left").drop("drop_id", "drop_hash")
+    kept = map_rows(marked, cut, schema, "text")
+    return kept.select("doc_id", "text", *(F.col(f"carried.`{c}`") for c in carry), "n_lines", "n_dropped")

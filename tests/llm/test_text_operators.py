@@ -129,6 +129,41 @@ def test_lines_of_awkward_rows(spark):
     assert lines.drop_repeated_lines(empty(spark)).collect() == []
 
 
+def test_lines_seen_once_are_not_shuffled(spark, monkeypatch):
+    """Tables that are written hold no line but those of two documents or more."""
+    tables = {}
+    monkeypatch.setattr(lines, "written", lambda df, name: tables.setdefault(name, df.cache()))
+    once = [prose(f"once{i}", 12) for i in range(300)]
+    rows = [(i, "\n".join([once[i], "The same line in every document there is, and long enough."])) for i in range(300)]
+    got = lines.drop_repeated_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(6), filter_log2=22)
+    assert {r.n_dropped for r in got.collect() if r.doc_id < 299} == {1}
+    assert tables["lines"].count() == 300 and tables["lines"].select("a", "b").distinct().count() == 1
+
+
+def test_lines_of_many_null_ids_and_clashing_carried_columns(spark):
+    shared = [f"A line, number {i}, that a great many of the documents hold." for i in range(6)]
+    rows = [(None if i < 40 else i, f"{shared[i % 6]}\n{shared[(i + 1) % 6]}\nown {i}", i) for i in range(80)]
+    clash = spark.createDataFrame([(*r, "x", 7, 8) for r in rows], "doc_id long, text string, n_lines long, drops string, drop_id long, carried long")
+    got = lines.drop_repeated_lines(clash, carry=("drops", "drop_id", "carried"))
+    assert got.columns == ["doc_id", "text", "drops", "drop_id", "carried", "n_lines", "n_dropped"]
+    want = [(d, t, n, g) for d, t, n, g in plain_lines([r[:2] for r in rows])]
+    assert rows_of(got, "doc_id", "text", "n_lines", "n_dropped") == sorted(want, key=lambda r: [repr(v) for v in r])
+    assert {tuple(r) for r in got.select("drops", "drop_id", "carried").collect()} == {("x", 7, 8)}
+
+
+@pytest.mark.parametrize("log2", [4, 10, 19])
+def test_pairs_of_filters_miss_nothing_that_comes_twice(spark, log2):
+    draw = np.random.default_rng(5)
+    keys = np.concatenate([draw.integers(0, 1 << 40, 3_000), draw.integers(0, 1 << 40, 50).repeat(2)])
+    table = spark.createDataFrame([(int(k),) for k in draw.permutation(keys)], "key long").repartition(7)
+    mask = (1 << log2) - 1
+    at = lambda k: np.stack([k & mask, (k >> 20) & mask], axis=1)
+    bits = np.frombuffer(filters.seen_twice(table, lambda part: at(part.column("key").to_numpy()), log2, None), np.uint8)
+    assert len(bits) == max(1, (1 << log2) // 8)
+    held = filters.is_set(bits, at(keys)).all(axis=1)
+    assert held[3_000:].all() and (log2 < 19 or held[:3_000].mean() < 0.05)
+
+
 def test_filter_holds_all_positions(spark):
     at = spark.createDataFrame([(0,), (63,), (64,), (8191,), (5_000_000,)], "at long")
     bits = np.frombuffer(filters.collected_bits(at, "at", 23), np.uint8)
