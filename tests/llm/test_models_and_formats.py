@@ -102,6 +102,64 @@ def test_licences_in_wrapped_lines(spark, mark):
     assert [r.licenses for r in got] == [[t.license] for t in licenses.TEMPLATES] * 2
 
 
+def plain_licenses(scanner, text):
+    """Licences by wording alone: every template against every window of its size, nothing compressed."""
+    words, found = licenses.words_of(text), set()
+    for i, t in enumerate(scanner.templates):
+        size = len(scanner.words[i]) + scanner.spare[i]
+        for at in range(max(1, len(words) - size + 1)):
+            if set(t.names) <= set(words[at : at + size]) and scanner.confirmed(i, words[at : at + size]):
+                found.add(t.license)
+    return sorted(found)
+
+
+def reworded(draw, template, edits):
+    """A notice with so many words missing or added, any but its names."""
+    words = template.text.split()
+    for _ in range(edits):
+        at = draw.randrange(1, len(words))
+        plain = not set(licenses.words_of(words[at])) & set(template.names)
+        words[at : at + 1] = [] if plain and draw.random() < 0.5 else [draw.choice(["dear", "very", "reader"]), words[at]]
+    return " ".join(words)
+
+
+def test_licences_match_brute_force(spark):
+    """The bound on savings loses no wording of any window, down to the most words that may differ."""
+    draw, scanner = random.Random(8), licenses.Scanner(licenses.TEMPLATES, licenses.Settings())
+    texts = []
+    for i, t in enumerate(licenses.TEMPLATES):
+        for k in range(8):
+            edits = max(0, scanner.spare[i] + draw.choice([0, 0, 0, 1, -1]))
+            texts.append(f"{prose(f'{i}{k}', 25)} {reworded(draw, t, edits)} {prose(f'{k}{i}', 25)}")
+    for k in range(12):  # Licence words in any order.
+        said = [w for t in draw.sample(licenses.TEMPLATES, 4) for w in t.text.split()]
+        texts.append(" ".join(draw.sample(said, len(said))))
+    got = licenses.scan(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r.licenses for r in got] == [plain_licenses(scanner, t) for t in texts]
+    assert sum(bool(r.licenses) for r in got) > 100
+
+
+def test_licences_are_found_by_compression():
+    """Compressors that save nothing find nothing, whatever the wording."""
+    scanner = licenses.Scanner(licenses.TEMPLATES, licenses.Settings())
+    (block,) = licenses.blocks(licenses.TEMPLATES[1].text, scanner.around)
+    assert [f["license"] for f in scanner.findings(block)] == ["Apache-2.0"]
+    scanner.given = [scanner.plain] * len(scanner.given)
+    assert scanner.findings(block) == []
+
+
+def test_licence_words_in_any_order_are_compared_with_few_templates(monkeypatch):
+    """Texts of nothing but licence words are compressed, but hardly ever compared by wording."""
+    scanner, draw, compared = licenses.Scanner(licenses.TEMPLATES, licenses.Settings()), random.Random(4), []
+    confirmed = scanner.confirmed
+    monkeypatch.setattr(scanner, "confirmed", lambda i, words: compared.append(len(words)) or confirmed(i, words))
+    words = [w for t in licenses.TEMPLATES for w in t.text.split()] * 8
+    draw.shuffle(words)
+    for block in licenses.blocks(" ".join(words), scanner.around):
+        scanner.findings(block)
+    assert sum(compared) < 2 * len(words)
+
+
 def test_licence_templates_cannot_be_without_hints():
     for t in licenses.TEMPLATES:
         said = licenses.words_of(t.text)
