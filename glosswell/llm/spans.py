@@ -1,6 +1,7 @@
 """Passages that documents repeat: spans of sentences, joined over all documents.
 
-Every run of consecutive sentences that has enough words is hashed where it stands. Runs are counted by hash, with
+Every run of several consecutive sentences that has enough words, and every sentence that is long enough
+by itself, is hashed where it stands. Runs are counted by hash, with
 the first place of each; the runs that stand elsewhere too go back to their documents, which lose the
 sentences under them. The most frequent run costs each task one row when counted, and meets one row
 when joined.
@@ -17,8 +18,9 @@ from pyspark.sql import functions as F
 
 from glosswell.llm.common import map_rows, written
 
-#: Words that a run has at least.
-WORDS = 10
+#: Words that a run of several sentences has at least, and a sentence that is a run by itself.
+WORDS = 15
+ALONE = 25
 #: A sentence with the blanks behind it: up to . ! ? before a blank, or the end of a line.
 SENTENCES = re.compile(r"[^\n]*?(?:[.!?][\"')\]]*(?=\s)\s+|\n\s*|$)", re.S)
 
@@ -28,12 +30,13 @@ def sentences(text: str | None) -> list[str]:
     return [s for s in SENTENCES.findall(text or "") if s]
 
 
-def runs(pieces: list[str], words: int) -> list[tuple[int, int, bytes]]:
+def runs(pieces: list[str], words: int, alone: int) -> list[tuple[int, int, bytes]]:
     """(first sentence, sentences, 128-bit hash) of all runs; case and blanks do not count, nor do
     pieces without words.
 
-    From every sentence on, and up to every sentence, the shortest run that has the words. Any passage of
-    whole sentences with so many words is covered by runs that lie in it.
+    A run has two sentences or more with ``words`` words, or ``alone`` words. From every sentence on, and up
+    to every sentence, the shortest one. Any passage of whole sentences that is a run is covered by runs
+    that lie in it.
     """
     from xxhash import xxh3_128
 
@@ -43,7 +46,7 @@ def runs(pieces: list[str], words: int) -> list[tuple[int, int, bytes]]:
     for end, (_, w) in enumerate(cut):
         seen += len(w)
         # Runs that begin before ``end`` and get their words by it; the last is the shortest up to it.
-        while seen >= words:
+        while begin <= end and (seen >= alone or (seen >= words and begin < end)):
             found.add((begin, end))
             seen -= len(cut[begin][1])
             begin += 1
@@ -55,11 +58,12 @@ def runs(pieces: list[str], words: int) -> list[tuple[int, int, bytes]]:
     ]
 
 
-def drop_repeated_spans(documents: DataFrame, words: int = WORDS) -> DataFrame:
+def drop_repeated_spans(documents: DataFrame, words: int = WORDS, alone: int = ALONE) -> DataFrame:
     """doc_id, text, n_sentences, n_removed, spans: documents without repeated passages.
 
-    A run is the fewest consecutive sentences with at least ``words`` words, from one of them on or up
-    to one, so every repeated passage of whole sentences with ``words`` words is found. Of all places of the same run (case and blanks aside), the first stays: the
+    A run is the fewest consecutive sentences, two at least, with ``words`` words or more, from one of them
+    on or up to one, or a sentence with ``alone`` words, so every repeated passage of whole sentences with as
+    many is found. Of all places of the same run (case and blanks aside), the first stays: the
     smallest doc_id, then the place in the text. Sentences covered by any other place are removed;
     ``spans`` are their ranges (first sentence, number), ``text`` is what is left, unchanged.
 
@@ -75,7 +79,7 @@ def drop_repeated_spans(documents: DataFrame, words: int = WORDS) -> DataFrame:
     def places(part: pa.RecordBatch) -> dict:
         rows, firsts, counts, hashes = [], [], [], []
         for i, text in enumerate(part.column("text").to_pylist()):
-            for first, count, name in runs(sentences(text), words):
+            for first, count, name in runs(sentences(text), words, alone):
                 rows.append(i)
                 firsts.append(first)
                 counts.append(count)

@@ -19,23 +19,12 @@ def docs(spark, texts):
 
 
 def plain_spans(texts):
-    """Removed sentences of each text by comparing all runs as text."""
-    cut = [spans.sentences(t) for t in texts]
-    where = {}
-    for d, pieces in enumerate(cut):
-        kept = [i for i, p in enumerate(pieces) if p.split()]
-        for at in range(len(kept)):
-            for size in (1, 2, 3):
-                run = kept[at : at + size]
-                said = " | ".join(" ".join(pieces[i].lower().split()) for i in run)
-                n = len(said.replace("|", " ").split())
-                if len(run) == size and n >= (10 if size == 3 else 25):
-                    where.setdefault((size, said), []).append((d, run[0], run[-1]))
-    gone = [set() for _ in texts]
-    for places in where.values():
-        for d, first, last in sorted(places)[1:]:
-            gone[d].update(range(first, last + 1))
-    return [("".join(p for i, p in enumerate(pieces) if i not in g), len(pieces), len(g)) for pieces, g in zip(cut, gone)]
+    """What is left of each text, its sentences and how many go, by comparing all stretches as text."""
+    out = []
+    for t, gone in zip(texts, whole_passages(texts)):
+        pieces = spans.sentences(t)
+        out.append(("".join(p for i, p in enumerate(pieces) if i not in gone), len(pieces), len(gone)))
+    return out
 
 
 def test_spans_match_brute_force(spark):
@@ -54,7 +43,7 @@ def test_span_of_passage_goes_from_all_but_the_first(spark):
     assert all(PASSAGE[5:300] not in t and n for _, t, n in got[1:4])
 
 
-def whole_passages(texts, words=10):
+def whole_passages(texts, words=spans.WORDS, alone=spans.ALONE):
     """Sentences in stretches of whole sentences, of so many words or more, that an earlier place holds too."""
     cut = [[" ".join(p.lower().split()) for p in spans.sentences(t)] for t in texts]
     place, out = {}, [set() for _ in texts]
@@ -63,7 +52,7 @@ def whole_passages(texts, words=10):
         for at in range(len(kept)):
             for end in range(at, len(kept)):
                 said = tuple(pieces[i] for i in kept[at : end + 1])
-                if len(" ".join(said).split()) >= words and place.setdefault(said, (d, at)) != (d, at):
+                if len(" ".join(said).split()) >= (words if len(said) > 1 else alone) and place.setdefault(said, (d, at)) != (d, at):
                     out[d].update(range(kept[at], kept[end] + 1))
     return out
 
@@ -77,13 +66,25 @@ def test_spans_of_few_or_very_short_sentences(spark):
     texts = [f"{edits(i)}{alone}{edits(i + 10)}{two}{edits(i + 20)}{tail}{edits(i + 30)}\n{broken}last {i}" for i in range(3)]
     texts += [prose(i, 50) for i in range(3)] + ["Too short to count. Is it not? " + edits(99), "Too short to count. Is it not? x"]
     texts += [f"{PASSAGE[60:400]} {prose(5, 30)}", PASSAGE]
-    got = sorted(spans.drop_repeated_spans(docs(spark, texts)).collect(), key=lambda r: r.doc_id)
-    for r, want in zip(got, whole_passages(texts)):
+    got = sorted(spans.drop_repeated_spans(docs(spark, texts), words=10, alone=12).collect(), key=lambda r: r.doc_id)
+    for r, want in zip(got, whole_passages(texts, 10, 12)):
         assert {i for s in r.spans for i in range(s["first"], s["first"] + s["count"])} == want
     for r in got[1:3]:
         assert not any(x.strip() in r.text for x in (alone, two, tail, "bit00", "bit291"))
 
 
+def test_a_sentence_is_no_span_by_itself_unless_it_is_long(spark):
+    common = "Everyone writes this one sentence of twenty words at some time or other and no harm is done by it. "
+    long = f"{' '.join(f'word{i}' for i in range(spans.ALONE))}. "
+    several = "There are eight words in this first sentence. And the second one has seven words more. "
+    texts = [f"Own {i}. {common}Own too {i}. {long}Own again {i}. {several}Own at last {i}." for i in range(3)]
+    got = sorted(spans.drop_repeated_spans(docs(spark, texts)).collect(), key=lambda r: r.doc_id)
+    assert got[0].text == texts[0]
+    for i, r in enumerate(got[1:], 1):
+        assert r.text == f"Own {i}. {common}Own too {i}. Own again {i}. Own at last {i}." and r.n_removed == 3
+    assert [r.text for r in got] == [t for t, _, _ in plain_spans(texts)]
+
+
 def test_spans_of_awkward_rows(spark):
     got = spans.drop_repeated_spans(awkward(spark)).collect()
     assert len(got) == 11
