@@ -41,6 +41,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written_by(df: DataFrame, name: str, column: str, buckets: int) -> tuple[DataFrame, str]:
+    """Like ``written``, in buckets by ``column``: joins by that column leave the table where it lies.
+    Also returns the table's name, for ``dropped`` once nothing new is read from it."""
+    spark = df.sparkSession
+    table = f"glosswell_{name}_{uuid.uuid4().hex}"
+    writer = df.repartition(buckets, column).write.option("compression", "zstd").bucketBy(buckets, column)
+    writer.option("path", f"{shared_folder(spark)}/glosswell/{table}").format("parquet").saveAsTable(table)
+    return spark.table(table), table
+
+
+def dropped(spark: SparkSession, table: str) -> None:
+    """Take a table of ``written_by`` out of the catalog; its files stay."""
+    spark.sql(f"DROP TABLE {table}")
+
+
 def slices(batches: Iterable[pa.RecordBatch], sized: str | None = None) -> Iterator[pa.RecordBatch]:
     """Cut batches into slices of at most SLICE_ROWS rows and about SLICE_BYTES of column ``sized``."""
     for batch in batches:

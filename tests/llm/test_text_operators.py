@@ -4,6 +4,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from glosswell.llm import components, decontaminate, filters, lines, shingles, spans, words
 from tests.llm.helpers import awkward, empty, lower, prose, rows_of
@@ -268,6 +269,58 @@ def test_groups_across_blocks_and_pivot_rounds(spark, monkeypatch):
     assert [g[1:] for g in got] == plain_groups(texts)
 
 
+def test_matrix_takes_no_more_bytes_in_more_blocks(spark, monkeypatch):
+    texts = [prose(i // 2, 200 + i % 2, 3000) for i in range(40)]
+    made, plain = [], shingles.blocks
+
+    def spied(documents, width, columns, *more):
+        got = plain(documents, width, columns, *more)
+        held = got.select(F.sum(sum(F.coalesce(F.octet_length(c), F.lit(0)) for c, kind in got.dtypes if kind == "binary")))
+        made.append((columns, held.first()[0]))
+        return got
+
+    monkeypatch.setattr(shingles, "blocks", spied)
+    for size in (1 << 30, 100):
+        monkeypatch.setattr(shingles, "BLOCK_SHINGLES", size)
+        got = sorted(rows_of(shingles.near_duplicates(docs(spark, texts)), "doc_id", "n_shingles", "component_id"))
+        assert [g[1:] for g in got] == plain_groups(texts)
+    (one, least), (many, most) = made
+    assert one == 1 and many > 30 and most <= 1.05 * least
+
+
+def test_rounds_leave_sets_where_they_lie(spark, monkeypatch):
+    """Only pairs are shuffled for the count in full, not the shingles of all sets."""
+    texts = [edited(prose(i // 3, 150, 3000), i, 0.01) for i in range(30)]
+    plans, plain = [], shingles.confirmed
+
+    def spied(*args):
+        got = plain(*args)
+        plans.append(got._jdf.queryExecution().executedPlan().toString())
+        return got
+
+    monkeypatch.setattr(shingles, "confirmed", spied)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        got = sorted(rows_of(shingles.near_duplicates(docs(spark, texts)), "doc_id", "n_shingles", "component_id"))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert [g[1:] for g in got] == plain_groups(texts)
+    assert plans and all(plan.count("Bucketed: true") >= 2 for plan in plans)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("glosswell_")]
+
+
+def test_groups_of_copies_in_many_slices(spark, monkeypatch):
+    """Copies that a full filter lets through, and slices that are alike."""
+    texts = [edited(prose(i % 5, 80, 3000), i % 3, 0.01) for i in range(40)] + [prose("once", 50, 3000)] * 9
+    want = plain_groups(texts)
+    for log2, share in ((shingles.FILTER_LOG2, shingles.FREQUENT_SHARE), (6, 1.0)):
+        monkeypatch.setattr(shingles, "FILTER_LOG2", log2)
+        monkeypatch.setattr(shingles, "FREQUENT_SHARE", share)
+        table = docs(spark, texts).repartition(8, "doc_id")
+        got = sorted(rows_of(shingles.near_duplicates(table.union(table)), "doc_id", "n_shingles", "component_id"))
+        assert [g[1:] for g in got[::2]] == want and got[::2] == got[1::2]
+
+
 def test_groups_of_awkward_rows(spark):
     got = shingles.near_duplicates(awkward(spark))
     found = {(r.doc_id, r.component_id) for r in got.collect()}
