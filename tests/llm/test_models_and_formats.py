@@ -1,7 +1,9 @@
 """Chat formatting, licences, toxicity, languages, neighbours, tokens, the pipeline."""
 
 import hashlib
+import math
 import random
+import re
 import textwrap
 import zlib
 
@@ -361,6 +363,60 @@ def test_neighbours_of_few_tied_and_unusable_vectors(spark):
     assert [r.vec_id for r in same.where("query_id = 50").orderBy("rank").collect()] == [0, 1, 2, 3, 4]
 
 
+def test_neighbours_meet_in_pairs_of_partitions(spark, monkeypatch):
+    """Neither vectors nor queries are copied by the number of the others, and no list of blocks is in the plan."""
+    for name, value in (("BLOCK_ROWS", 150), ("QUERY_ROWS", 4), ("PARTS", 3), ("SHARES", 4)):
+        monkeypatch.setattr(neighbours, name, value, raising=False)
+    monkeypatch.setattr(neighbours, "QUERY_BYTES", 500, raising=False)
+    draw = np.random.default_rng(8)
+    rows = [(i, draw.standard_normal(24 if i % 7 else 5).tolist()) for i in range(2500)]
+    nearest = neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    plan = nearest._jdf.queryExecution().optimizedPlan().toString()
+    assert "Generate" not in plan and plan.count("Join") == 1
+    above = plan[: plan.index("Join")]
+    assert "Repartition" in above and not re.search(r"Repartition.*(block|part#)", above)
+    got = rows_of(nearest, "query_id", "rank", "vec_id", "score")
+    want = {r[:1] + r[2:3]: r[3] for r in plain_nearest(rows)}
+    assert sorted(r[:2] for r in got) == [(q, n) for q in range(0, 2500, 50) for n in range(1, 6)]
+    assert len([r for r in got if want.get((r[0], r[2])) == r[3]]) >= 0.97 * 250
+
+
+def test_neighbours_of_far_scales(spark):
+    """Squares out of the range of doubles leave no cosine out."""
+    rows = [(i, [float(x) * scale for x in (i % 3 - 1, i % 5, i % 7 + 1)]) for i, scale in enumerate([1e-300, 1.0, 1e300] * 20)]
+    got = rows_of(neighbours.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>")), "query_id", "rank", "vec_id", "score")
+    plain = {i: np.array([i % 3 - 1, i % 5, i % 7 + 1], float) for i in range(60)}
+    for q in (0, 50):
+        cosine = {i: w @ plain[q] / math.sqrt((w @ w) * (plain[q] @ plain[q])) for i, w in plain.items() if i != q}
+        assert [r[3] for r in got if r[0] == q] == pytest.approx(sorted(cosine.values())[:-6:-1])
+
+
+def test_collisions_are_counted_in_bits():
+    draw = np.random.default_rng(4)
+    for arrays, n in ((128, 200), (7, 64), (1, 3)):
+        hit = draw.random((arrays, n)) < 0.5
+        for least in (1, 3, 64, 71, 129):
+            got = np.unpackbits(neighbours.at_least(neighbours.bits_of(hit), least).view(np.uint8), count=n, bitorder="little")
+            assert (got == (hit.sum(axis=0) >= least)).all()
+    # Up to so many vectors, every one is a mark and windows are exact; beyond, they reach to the next marks.
+    for n in (100, 1000):
+        vectors = draw.standard_normal((n, 16))
+        block = neighbours.Block(np.arange(n), vectors, 5)
+        own, at = neighbours.units(vectors) @ block.axes, neighbours.units(vectors[:1])[0] @ block.axes
+        got = np.unpackbits(block.reached(at, 0.9).view(np.uint8), count=n, bitorder="little").astype(bool)
+        share = ((own >= at - 0.9) & (own < at + 0.9)).mean(axis=1)
+        want = share >= neighbours.THRESHOLD
+        assert (got == want).all() if n == 100 else got[want].all() and not got[share < neighbours.THRESHOLD - 0.05].any()
+
+
+def test_best_of_blocks_are_put_together():
+    ids = np.array([[4, 9, 0, 4, 2, 7], [1, 0, 0, 0, 0, 0]])
+    scores = np.array([[0.5, 0.4, -np.inf, 0.5, 0.4, 0.9], [0.1] + [-np.inf] * 5])
+    got_ids, got = neighbours.merged(3, ids, scores)
+    assert got_ids[0].tolist() == [7, 4, 2] and got[0].tolist() == [0.9, 0.5, 0.4]
+    assert got_ids[1, 0] == 1 and got[1].tolist() == [0.1, -np.inf, -np.inf]
+
+
 # tokens
 
 
